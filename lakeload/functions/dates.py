@@ -25,8 +25,11 @@ def run_instant(spark: SparkSession, when: str | datetime) -> int:
     text = when.isoformat(sep=" ") if isinstance(when, datetime) else when
     if not text or not _STARTS_WITH_A_DATE.match(text):
         raise ValueError(f"not an ISO date or timestamp: {when!r}")
-    parsed = spark.sql("SELECT unix_micros(try_cast(:text AS TIMESTAMP))", args={"text": text})
-    micros = parsed.first()[0]
+    # Over a literal row the optimizer works out the result; no Spark job runs.
+    [(micros,)] = spark.sql(
+        "SELECT unix_micros(try_cast(text AS TIMESTAMP)) FROM VALUES (:text) AS t(text)",
+        args={"text": text},
+    ).collect()
     if micros is None:
         raise ValueError(f"not an ISO date or timestamp: {when!r}")
     return micros

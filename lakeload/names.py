@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_PART = re.compile(r"`(?:[^`]|``)+`|[^.`]+")
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -26,10 +22,8 @@ def folding(spark: SparkSession) -> Callable[[str], str]:
 
 
 def sibling(table: str, suffix: str) -> str:
-    """A table name next to ``table``, in the same catalog and database."""
-    *where, last = _PART.findall(table)
-    last = last[1:-1].replace("``", "`") if last.startswith("`") else last
-    return ".".join([*where, quoted(f"{last}__{suffix}")])
+    """A name next to ``table`` in Spark's own catalog, where names are plain words."""
+    return f"{table.replace('`', '')}__{suffix}"
 
 
 def in_builtin_catalog(spark: SparkSession, table: str) -> bool:
@@ -37,7 +31,7 @@ def in_builtin_catalog(spark: SparkSession, table: str) -> bool:
 
     Any other catalog (Iceberg and the like) takes all writes through ``DataFrame.writeTo``.
     """
-    parts = [part.strip("`") for part in _PART.findall(table)]
+    parts = table.replace("`", "").split(".")
     catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
     builtin = spark.conf.get("spark.sql.catalog.spark_catalog", None) in (None, "builtin")
     return catalog == "spark_catalog" and builtin

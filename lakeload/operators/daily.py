@@ -24,8 +24,10 @@ class DayLoad:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.sql(
-            "SELECT :table_name AS table_name, :logical_date AS logical_date, "
-            "CAST(:records_processed AS BIGINT) AS records_processed, :operation AS operation",
+            "SELECT table_name, logical_date, "
+            "CAST(records_processed AS BIGINT) AS records_processed, operation "
+            "FROM VALUES (:table_name, :logical_date, :records_processed, :operation) "
+            "AS t(table_name, logical_date, records_processed, operation)",
             args=asdict(self),
         )
 

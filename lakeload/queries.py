@@ -180,16 +180,18 @@ def table_create_scan(spark, sf_dir):
 @query("SELECT * FROM supplier UNION ALL SELECT * FROM supplier")
 def table_append(spark, sf_dir):
     table = workspace(spark).table("supplier")
-    ll.create(given(spark, sf_dir, "supplier"), table)
-    ll.append(given(spark, sf_dir, "supplier"), table)
+    suppliers = given(spark, sf_dir, "supplier")
+    ll.create(suppliers, table)
+    ll.append(suppliers, table)
     return spark.table(table)
 
 
 @query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def table_replace(spark, sf_dir):
     table = workspace(spark).table("orders")
-    ll.create(given(spark, sf_dir, "orders"), table)
-    ll.replace(given(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F"), table)
+    orders = given(spark, sf_dir, "orders")
+    ll.create(orders, table)
+    ll.replace(orders.filter(F.col("o_orderstatus") == "F"), table)
     return spark.table(table)
 
 

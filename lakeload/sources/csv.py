@@ -36,9 +36,9 @@ def load_csv(
     small files, a second pass over everything at scale. With a schema (a ``StructType`` or a DDL
     string) the input is read once. The schema is matched to the header by name, so it may be
     wider than the file and in another order; a header column it lacks is an error, or inferred
-    when ``infer_new`` is set. Every file's header is checked against the first one's, and a cell
-    that does not fit its type fails the read instead of turning into null; pass
-    ``mode="PERMISSIVE"`` for nulls.
+    when ``infer_new`` is set. Every file's header must be that of the first one, and a cell that
+    does not fit its type fails the read instead of turning into null; pass ``mode="PERMISSIVE"``
+    for nulls.
     """
     path = resolve_path(path, root)
     reader = spark.read.options(**{"header": True, **options})
@@ -60,5 +60,21 @@ def load_csv(
     typed = StructType()
     for name in header:
         typed.add(name, known[fold(name)].dataType)
-    checked = {"header": True, "enforceSchema": False, "mode": "FAILFAST", **options}
-    return spark.read.options(**checked).schema(typed).csv(path)
+    strict = {
+        "header": True,
+        "mode": "FAILFAST",
+        "enforceSchema": _renamed(spark, path, header, options),
+        **options,
+    }
+    return spark.read.options(**strict).schema(typed).csv(path)
+
+
+def _renamed(spark: SparkSession, path: str, header: list[str], options: dict) -> bool:
+    """Whether Spark had to number header cells because they were empty or doubled.
+
+    Such names are not in the files, so the files cannot be checked against them.
+    """
+    if not any(name.endswith(str(i)) for i, name in enumerate(header)):
+        return False
+    first = spark.read.options(**{**options, "header": False}).csv(path).first()
+    return list(first) != header

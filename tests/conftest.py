@@ -36,3 +36,17 @@ def zone(spark):
     """Change the session's time zone for one test."""
     yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.fixture
+def csv(tmp_path):
+    """Write CSV text to a file, or several to a folder, and give the path."""
+
+    def write(*texts, name="input"):
+        folder = tmp_path / name
+        folder.mkdir()
+        for n, text in enumerate(texts):
+            (folder / f"part-{n}.csv").write_text(text)
+        return str(folder / "part-0.csv") if len(texts) == 1 else str(folder)
+
+    return write

@@ -1,0 +1,218 @@
+import pytest
+from pyspark.sql import functions as F
+
+import lakeload as ll
+
+DAY_1, DAY_2 = "2024-11-10", "2024-11-11"
+
+
+def per_day(spark, table):
+    counts = spark.table(table).groupBy(ll.iso_utc(F.col("logical_date")).alias("d")).count()
+    return {row.d: row["count"] for row in counts.collect()}
+
+
+def failing(df):
+    boom = F.raise_error(F.lit("boom")).cast("bigint")
+    return df.withColumn("id", F.when(F.col("id") == 4, boom).otherwise(F.col("id")))
+
+
+@pytest.fixture
+def table(spark, place):
+    """Ten rows on each of two days."""
+    name = place.table("daily")
+    ll.load_day(spark.range(10), name, DAY_1)
+    ll.load_day(spark.range(10), name, DAY_2)
+    return name
+
+
+def test_report(spark, place):
+    name = place.table("daily")
+    first = ll.load_day(spark.range(10), name, DAY_1)
+    assert first == ll.DayLoad(name, "2024-11-10T00:00:00", 10, "created")
+    assert ll.load_day(spark.range(3), name, DAY_2).operation == "appended"
+    again = ll.load_day(spark.range(4), name, DAY_2, mode="overwrite")
+    assert (again.operation, again.records_processed) == ("overwritten", 4)
+    assert first.to_df(spark).dtypes == [
+        ("table_name", "string"),
+        ("logical_date", "string"),
+        ("records_processed", "bigint"),
+        ("operation", "string"),
+    ]
+    assert first.to_df(spark).first()[:] == (name, "2024-11-10T00:00:00", 10, "created")
+
+
+def test_append_twice_adds_twice(spark, table):
+    ll.load_day(spark.range(10), table, DAY_2)
+    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 20}
+
+
+def test_overwrite_can_be_repeated(spark, table):
+    for _ in range(2):
+        ll.load_day(spark.range(7), table, DAY_2, mode="overwrite")
+        assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 7}
+
+
+def test_overwrite_leaves_the_session_setting_alone(spark, table):
+    ll.load_day(spark.range(7), table, DAY_2, mode="overwrite")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+@pytest.mark.parametrize("zone_name", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("day", ["2024-11-11T00:00:00Z", "2024-11-11T01:02:03.450Z"])
+def test_overwrite_with_nothing_empties_the_day(spark, table, zone, zone_name, day):
+    zone(zone_name)
+    ll.load_day(spark.range(3), table, day)
+    before = spark.table(table).count()
+    held = ll.day_slice(spark.table(table), day).count()
+    done = ll.load_day(spark.range(0), table, day, mode="overwrite")
+    assert (done.records_processed, done.operation) == (0, "overwritten")
+    assert ll.day_slice(spark.table(table), day).count() == 0
+    assert spark.table(table).count() == before - held
+
+
+def test_overwrite_from_the_table_itself(spark, table):
+    kept = ll.day_slice(spark.table(table), DAY_2).filter("id < 2").drop("logical_date")
+    ll.load_day(kept, table, DAY_2, mode="overwrite")
+    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 2}
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_failed_load_changes_nothing(spark, table, mode):
+    with pytest.raises(Exception, match="boom"):
+        ll.load_day(failing(spark.range(10)), table, DAY_2, mode=mode)
+    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 10}
+
+
+def test_failed_first_load_creates_nothing(spark, place):
+    name = place.table("daily")
+    with pytest.raises(Exception, match="boom"):
+        ll.load_day(failing(spark.range(10)), name, DAY_1)
+    assert not ll.exists(spark, name)
+    assert ll.load_day(spark.range(10), name, DAY_1).operation == "created"
+
+
+def test_mismatch_shows_as_such(spark, table):
+    """It is not taken for a missing table."""
+    with pytest.raises(ValueError, match="not in the table"):
+        ll.load_day(spark.range(3).withColumn("extra", F.lit(1)), table, DAY_2)
+
+
+def test_empty_first_load(spark, place):
+    name = place.table("daily")
+    assert ll.load_day(spark.range(0), name, DAY_1).records_processed == 0
+    assert spark.table(name).columns == ["id", "logical_date"]
+    assert ll.load_day(spark.range(2), name, DAY_1).operation == "appended"
+
+
+def test_evolution(spark, table):
+    ll.load_day(spark.sql("SELECT 1L AS id, 'x' AS extra"), table, "2024-11-12", evolve=True)
+    ll.load_day(spark.range(3), table, DAY_2, mode="overwrite", evolve=True)
+    stored = spark.table(table)
+    assert stored.columns == ["id", "extra", "logical_date"]
+    assert stored.count() == 14
+    assert stored.agg(F.count("extra")).first()[0] == 1
+
+
+def test_a_logical_date_column_in_the_input_is_replaced(spark, table):
+    rows = spark.table(table).filter("id = 0")
+    ll.load_day(rows, table, "2024-11-12")
+    assert per_day(spark, table)["2024-11-12T00:00:00"] == 2
+
+
+def test_sessions_in_other_zones_see_the_same_instants(spark, place, zone):
+    name = place.table("daily")
+    ll.load_day(spark.range(1), name, "2024-11-10T00:00:00Z")
+    zone("America/New_York")
+    # The night clocks go back: two runs an hour apart at the same wall-clock time.
+    ll.load_day(spark.range(2), name, "2024-11-03T05:30:00Z")
+    ll.load_day(spark.range(3), name, "2024-11-03T06:30:00Z")
+    ll.load_day(spark.range(4), name, "2024-11-10")
+    expected = {
+        "2024-11-10T00:00:00": 1,
+        "2024-11-03T05:30:00": 2,
+        "2024-11-03T06:30:00": 3,
+        "2024-11-10T05:00:00": 4,
+    }
+    assert per_day(spark, name) == expected
+    assert ll.day_slice(spark.table(name), "2024-11-10").count() == 4
+    zone("Asia/Tokyo")
+    assert per_day(spark, name) == expected
+    assert ll.day_slice(spark.table(name), "2024-11-10T00:00:00Z").count() == 1
+
+
+def test_a_day_is_one_partition(spark, table):
+    day = ll.day_slice(spark.table(table), DAY_2)
+    assert len(day.inputFiles()) < len(spark.table(table).inputFiles())
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(logical_date" in plan
+    assert all("logical_date=2024-11-11" in file for file in day.inputFiles())
+
+
+def test_other_partitioning_cannot_be_overwritten(spark, place):
+    name = place.table("flat")
+    ll.create(ll.with_logical_date(spark.range(3), DAY_1), name)
+    with pytest.raises(ValueError, match="not partitioned"):
+        ll.load_day(spark.range(3), name, DAY_1, mode="overwrite")
+    assert spark.table(name).count() == 3
+
+
+def test_overwrite_in_a_table_made_elsewhere(spark, place, zone):
+    zone("America/New_York")
+    name = place.table("daily")
+    spark.sql(
+        f"CREATE TABLE {name} (id BIGINT, logical_date TIMESTAMP) USING parquet "
+        "PARTITIONED BY (logical_date)"
+    )
+    for day in (DAY_1, DAY_2):
+        ll.load_day(spark.range(10), name, day)
+    ll.load_day(spark.range(3), name, DAY_2, mode="overwrite")
+    assert per_day(spark, name) == {"2024-11-10T05:00:00": 10, "2024-11-11T05:00:00": 3}
+    ll.load_day(spark.range(0), name, DAY_2, mode="overwrite")
+    assert per_day(spark, name) == {"2024-11-10T05:00:00": 10}
+
+
+def test_bad_arguments(spark, table):
+    with pytest.raises(ValueError, match="mode"):
+        ll.load_day(spark.range(1), table, DAY_1, mode="replace")
+    with pytest.raises(ValueError, match="not an ISO date"):
+        ll.load_day(spark.range(1), table, None)
+
+
+def written_plan(spark):
+    """The plan of the last write."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    executions = store.executionsList()
+    plans = [executions.apply(i).physicalPlanDescription() for i in range(executions.size())]
+    return [plan for plan in plans if "InsertIntoHadoopFsRelationCommand" in plan][-1]
+
+
+@pytest.mark.parametrize("mode", ["create", "append", "overwrite"])
+def test_loads_neither_shuffle_nor_sort(spark, place, csv, mode):
+    path, name = csv("id,a\n1,x\n2,y\n"), place.table("daily")
+    rows = ll.load_csv(spark, path, schema="id bigint, a string")
+    ll.load_day(rows, name, DAY_1)
+    if mode != "create":
+        ll.load_day(rows, name, DAY_1, mode=mode)
+    plan = written_plan(spark)
+    assert "Scan csv" in plan and "CollectMetrics" in plan
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_a_load_of_known_types_reads_its_input_once(spark, place, csv):
+    path, name = csv("id,a\n1,x\n2,y\n"), place.table("daily")
+    ll.daily_load(spark, path, name, DAY_1)
+    context = spark.sparkContext
+    context.setJobGroup("second day", "")
+    ll.daily_load(spark, path, name, DAY_2)
+    jobs = context.statusTracker().getJobIdsForGroup("second day")
+    context.setJobGroup("", "")
+    assert len(jobs) == 2  # the header line, and the load
+
+
+def test_rows_are_counted_once_after_a_shuffle(spark, table):
+    """A skewed input: a third of the rows share one key."""
+    skewed = spark.range(9000).withColumn("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+    spread = skewed.repartition(4, "id")
+    done = ll.load_day(spread, table, "2024-11-12")
+    assert done.records_processed == 9000
+    assert per_day(spark, table)["2024-11-12T00:00:00"] == 9000

@@ -1,0 +1,98 @@
+import pytest
+
+import lakeload as ll
+
+
+@pytest.mark.parametrize(
+    "path, root, resolved",
+    [
+        ("/data/in.csv", "/root", "/data/in.csv"),
+        ("s3a://bucket/in.csv", "/root", "s3a://bucket/in.csv"),
+        ("file:/data/in.csv", "/root", "file:/data/in.csv"),
+        ("in/a.csv", "/root/", "/root/in/a.csv"),
+        ("in/a.csv", "s3a://bucket/x", "s3a://bucket/x/in/a.csv"),
+        ("in/a.csv", None, "in/a.csv"),
+    ],
+)
+def test_resolve_path(path, root, resolved):
+    assert ll.resolve_path(path, root) == resolved
+
+
+def test_inferred_types(spark, csv):
+    df = ll.load_csv(spark, csv("i,l,d,s,day,at\n1,3000000000,1.5,x,2024-01-02,2024-01-02T03:04:05\n"))
+    assert [t for _, t in df.dtypes] == ["int", "bigint", "double", "string", "date", "timestamp"]
+
+
+def test_one_odd_cell_makes_the_column_text(spark, csv):
+    assert ll.load_csv(spark, csv("a,b\n1,1\n2,two\n")).dtypes == [("a", "int"), ("b", "string")]
+
+
+def test_header_only(spark, csv):
+    df = ll.load_csv(spark, csv("a,b\n"))
+    assert df.dtypes == [("a", "string"), ("b", "string")]
+    assert df.count() == 0
+
+
+def test_null_empty_and_quoted_cells(spark, csv):
+    text = 'a,b,c\n1,,"x, ""y"""\n,"",z\n'
+    rows = ll.load_csv(spark, csv(text), escape='"').collect()
+    assert [tuple(r) for r in rows] == [(1, None, 'x, "y"'), (None, None, "z")]
+
+
+def test_schema_is_matched_by_name(spark, csv):
+    df = ll.load_csv(spark, csv("B,a\n1,2\n"), schema="z string, a bigint, b double")
+    assert df.dtypes == [("B", "double"), ("a", "bigint")]
+    assert df.first()[:] == (1.0, 2)
+
+
+def test_column_missing_from_the_schema(spark, csv):
+    path = csv("a,b,c\n1,2.5,x\n")
+    with pytest.raises(ValueError, match="'b', 'c'"):
+        ll.load_csv(spark, path, schema="a bigint")
+    df = ll.load_csv(spark, path, schema="a bigint", infer_new=True)
+    assert df.dtypes == [("a", "bigint"), ("b", "double"), ("c", "string")]
+
+
+def test_cell_that_does_not_fit_its_type(spark, csv):
+    path = csv("a,b\n1,2\nx,3\n")
+    with pytest.raises(Exception, match="Malformed"):
+        ll.load_csv(spark, path, schema="a int, b int").collect()
+    lenient = ll.load_csv(spark, path, schema="a int, b int", mode="PERMISSIVE").collect()
+    assert [tuple(r) for r in lenient] == [(1, 2), (None, 3)]
+
+
+def test_files_with_different_headers(spark, csv):
+    path = csv("a,b\n1,2\n", "b,a\n3,4\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        ll.load_csv(spark, path, schema="a int, b int").collect()
+
+
+@pytest.mark.parametrize("header, names", [(",a,b", ["_c0", "a", "b"]), ("x,x,b", ["x0", "x1", "b"])])
+def test_headers_spark_renames(spark, csv, header, names):
+    path = csv(f"{header}\n1,2,3\n")
+    inferred = ll.load_csv(spark, path)
+    assert inferred.columns == names
+    assert ll.load_csv(spark, path, schema=inferred.schema).first()[:] == (1, 2, 3)
+
+
+def test_numbered_names_are_still_checked(spark, csv):
+    path = csv("x0,x1\n1,2\n", "x1,x0\n3,4\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        ll.load_csv(spark, path, schema="x0 int, x1 int").collect()
+
+
+def test_options(spark, csv):
+    df = ll.load_csv(spark, csv("a;b\n1;n/a\n"), schema="a int, b int", sep=";", nullValue="n/a")
+    assert df.first()[:] == (1, None)
+
+
+def test_only_needed_columns_are_parsed(spark, csv):
+    df = ll.load_csv(spark, csv("a,b,c\n1,2,3\n"), schema="a int, b int, c int").select("b")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<b:int>" in plan
+
+
+def test_from_rows(spark):
+    df = ll.from_rows(spark, [("test1", 100), ("test2", 200)], ["name", "value"])
+    assert df.dtypes == [("name", "string"), ("value", "bigint")]
+    assert df.count() == 2
