@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

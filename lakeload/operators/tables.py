@@ -94,15 +94,20 @@ def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
         return
 
     retired = sibling(table, f"old_{uuid.uuid4().hex}")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
+    _rename(spark, table, retired)
     try:
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        _rename(spark, staged, table)
     except Exception:
-        spark.sql(f"ALTER TABLE {retired} RENAME TO {table}")
+        _rename(spark, retired, table)
         raise
     drop(spark, retired)
 
 
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    name = name.replace("`", "").removeprefix("spark_catalog.")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+
+
 def _description(spark: SparkSession, table: str) -> dict:
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
 
