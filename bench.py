@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import lakeload as ll
-from lakeload.queries import CSV_OPTIONS, DAY_1, QUERIES, as_csv, drop_workspaces, given, workspace
+from lakeload.queries import DAY_1, QUERIES, as_csv, drop_workspaces, given, workspace
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -63,7 +63,7 @@ def step_by_step(spark: SparkSession, path: str, table: str) -> None:
 
 def in_one_pass(spark: SparkSession, path: str, table: str) -> None:
     schema = given(spark, SF_DIR, "lineitem").schema
-    ll.load_day(ll.load_csv(spark, path, schema=schema, **CSV_OPTIONS), table, DAY_1)
+    ll.load_day(ll.load_csv(spark, path, schema=schema), table, DAY_1)
 
 
 def compare_loads(spark: SparkSession) -> dict:

@@ -26,9 +26,6 @@ _csv_inputs: dict[tuple, str] = {}
 
 DAY_1, DAY_2, DAY_3 = "2024-11-10T00:00:00Z", "2024-11-11T00:00:00Z", "2024-11-12T00:00:00Z"
 
-# Spark would write three decimals; the tables hold microseconds.
-CSV_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-
 # The given tables in the columns of the batch jobs.
 USER_COLUMNS = {
     "c_custkey": "user_id",
@@ -90,7 +87,9 @@ def as_csv(
         if columns:
             rows = rows.select(*[column(old).alias(new) for old, new in columns.items()])
         path = workspace(spark).path(table)
-        rows.write.options(**CSV_OPTIONS).csv(path, header=True)
+        # By default only three decimals are written; the tables hold microseconds.
+        times = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+        rows.write.option("timestampNTZFormat", times).csv(path, header=True)
         _csv_inputs[key] = path
     return _csv_inputs[key]
 
@@ -114,14 +113,14 @@ def csv_scan(spark, sf_dir):
 def csv_scan_typed(spark, sf_dir):
     """A given schema: one pass over the text."""
     schema = given(spark, sf_dir, "lineitem").schema
-    return ll.load_csv(spark, as_csv(spark, sf_dir, "lineitem"), schema=schema, **CSV_OPTIONS)
+    return ll.load_csv(spark, as_csv(spark, sf_dir, "lineitem"), schema=schema)
 
 
 @query("SELECT * FROM events")
 def csv_scan_quoted(spark, sf_dir):
     """Cells with commas and quotes, and times to the microsecond."""
     schema = given(spark, sf_dir, "events").schema
-    return ll.load_csv(spark, as_csv(spark, sf_dir, "events"), schema=schema, **CSV_OPTIONS)
+    return ll.load_csv(spark, as_csv(spark, sf_dir, "events"), schema=schema)
 
 
 @query(
@@ -323,7 +322,7 @@ def daily_load_facts(spark, sf_dir):
     path = as_csv(spark, sf_dir, "lineitem")
     schema = given(spark, sf_dir, "lineitem").schema
     for _ in range(2):
-        ll.daily_load(spark, path, table, DAY_1, schema=schema, mode="overwrite", **CSV_OPTIONS)
+        ll.daily_load(spark, path, table, DAY_1, schema=schema, mode="overwrite")
     stats = {
         "n_lines": ("count", "*"),
         "n_orders": ("count_distinct", "l_orderkey"),

@@ -96,3 +96,9 @@ def test_from_rows(spark):
     df = ll.from_rows(spark, [("test1", 100), ("test2", 200)], ["name", "value"])
     assert df.dtypes == [("name", "string"), ("value", "bigint")]
     assert df.count() == 2
+
+
+def test_microseconds_need_no_format(spark, csv):
+    path = csv("t\n2024-01-02T03:04:05.678901\n2024-01-02 03:04:05.5\n")
+    rows = ll.load_csv(spark, path, schema="t timestamp_ntz").collect()
+    assert [row.t.microsecond for row in rows] == [678901, 500000]

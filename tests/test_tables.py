@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import lakeload as ll
 from lakeload.names import in_builtin_catalog, sibling
+from lakeload.operators import tables
 from lakeload.operators.tables import conformed
 
 
@@ -231,3 +232,19 @@ def test_writes_to_other_catalogs():
     df.writeTo.return_value.using.assert_not_called()
     ll.replace(df, "lake.db.t")
     df.writeTo.return_value.createOrReplace.assert_called_once_with()
+
+
+def test_the_old_table_comes_back_if_the_new_one_cannot_take_its_place(spark, place, monkeypatch):
+    table = place.table("t")
+    ll.create(rows(spark, 0, 3), table)
+    rename = tables._rename
+
+    def rename_but_not_the_stage(spark, old, new):
+        if "__stage_" in old:
+            raise RuntimeError("no catalog")
+        rename(spark, old, new)
+
+    monkeypatch.setattr(tables, "_rename", rename_but_not_the_stage)
+    with pytest.raises(RuntimeError):
+        ll.replace(spark.sql("SELECT 'x' AS name"), table)
+    assert values(spark, table) == [(0,), (1,), (2,)]
