@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,10 +37,15 @@ def new_workspace(spark: SparkSession) -> Workspace:
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; unset on a local master, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="lakeload-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not folder and spark.conf.get("spark.master").startswith("local"):
+        folder = _local_folder()
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lakeload-")

@@ -1,6 +1,7 @@
 """Every registered query against its SQL counterpart in DuckDB."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF_DIR = Path("/root/testdata/sf0.01")
+SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01"))
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,16 @@ def canonical(columns, rows):
     )
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def test_every_query_has_an_oracle():
     assert entry.queries().keys() == entry.oracle_sql().keys()
 
@@ -42,6 +53,8 @@ def test_same_as_duckdb(spark, duck, key):
     theirs = canonical([d[0] for d in result.description], result.fetchall())
     assert ours == theirs
     assert ours[1]
+    described = duck.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()
+    assert dict(df.dtypes) == {name: TYPES[kind.split("_")[0]] for name, kind, *_ in described}
 
 
 def test_entry(spark):

@@ -1,0 +1,54 @@
+import os
+from unittest.mock import MagicMock
+
+import pytest
+
+from lakeload import queries
+from lakeload.workspace import new_workspace, shared_folder
+
+
+def session(**conf):
+    fake = MagicMock()
+    fake.conf.get.side_effect = lambda key, default=None: conf.get(key, default)
+    return fake
+
+
+def test_the_cluster_names_the_folder(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    named = session(**{"spark.master": "yarn", "spark.checkpoint.dir": "s3a://shared/ckpt/"})
+    assert shared_folder(named) == "s3a://shared/ckpt"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session(**{"spark.master": "spark://host:7077"}))
+
+
+def test_a_local_session_may_use_its_own():
+    local = session(**{"spark.master": "local[4]"})
+    assert shared_folder(local) == shared_folder(local)
+    assert os.path.isdir(shared_folder(local))
+
+
+def test_workspaces_are_apart(spark):
+    one, two = new_workspace(spark), new_workspace(spark)
+    spark.range(3).writeTo(one.table("t")).using("parquet").create()
+    assert not spark.catalog.tableExists(two.table("t"))
+    for made in (one, two):
+        made.drop(spark)
+        assert not os.path.exists(made.location)
+
+
+def test_queries_leave_nothing_after_the_sweep(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    queries.drop_workspaces(spark)
+    before = set(os.listdir(shared_folder(spark)))
+    queries.QUERIES["profile_users"](spark, sf_dir).collect()
+    queries.QUERIES["table_replace"](spark, sf_dir).collect()
+    queries.drop_workspaces(spark, keep_inputs=True)
+    kept = set(os.listdir(shared_folder(spark))) - before
+    assert len(kept) == 1
+    again = queries.QUERIES["profile_users"](spark, sf_dir)
+    assert again.first().total_users > 0
+    queries.drop_workspaces(spark)
+    assert set(os.listdir(shared_folder(spark))) == before
