@@ -46,9 +46,10 @@ def as_datetime(micros: int) -> datetime:
 
 def parse_iso(text: Column) -> Column:
     """ISO text column to timestamp; malformed text raises, absent text stays null."""
-    parsed = F.try_to_timestamp(text)
-    bad = F.raise_error(F.concat(F.lit("not an ISO date or timestamp: "), text))
-    return F.when(text.isNotNull() & parsed.isNull(), bad.cast("timestamp")).otherwise(parsed)
+    complaint = F.raise_error(F.concat(F.lit("not an ISO date or timestamp: "), text))
+    return F.coalesce(
+        F.try_to_timestamp(text), F.when(text.isNotNull(), complaint.cast("timestamp"))
+    )
 
 
 def iso_utc(ts: Column) -> Column:
