@@ -8,7 +8,7 @@ from lakeload.workspace import new_workspace
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,2]")  # a failed task gets a second try
         .appName("lakeload-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")

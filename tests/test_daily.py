@@ -216,3 +216,21 @@ def test_rows_are_counted_once_after_a_shuffle(spark, table):
     done = ll.load_day(spread, table, "2024-11-12")
     assert done.records_processed == 9000
     assert per_day(spark, table)["2024-11-12T00:00:00"] == 9000
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_a_task_that_dies_half_way_is_written_and_counted_once(spark, table, mode):
+    def dies_once(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        for batch in batches:
+            yield batch
+            if task.attemptNumber() == 0 and task.partitionId() == 1:
+                raise RuntimeError("executor lost")
+
+    rows = spark.range(0, 40000, 1, 4).mapInPandas(dies_once, "id bigint")
+    done = ll.load_day(rows, table, "2024-11-12", mode=mode)
+    assert done.records_processed == 40000
+    stored = ll.day_slice(spark.table(table), "2024-11-12")
+    assert stored.select(F.count("*"), F.count_distinct("id")).first()[:] == (40000, 40000)
