@@ -86,6 +86,6 @@ def daily_load(
     to the table are inferred, and only with ``evolve``.
     """
     if schema is None and exists(spark, table):
-        schema = spark.table(table).drop("logical_date").schema
+        schema = spark.table(table).schema
     rows = load_csv(spark, path, root=root, schema=schema, infer_new=evolve, **options)
     return load_day(rows, table, logical_date, mode=mode, evolve=evolve).to_df(spark)

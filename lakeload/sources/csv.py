@@ -6,9 +6,9 @@ import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from lakeload.names import column, folding
+from lakeload.names import folding
 
 _URI = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:/")
 
@@ -30,51 +30,54 @@ def load_csv(
     infer_new: bool = False,
     **options,
 ) -> DataFrame:
-    """Scan CSV files.
+    """Scan CSV files that all have the same header.
 
     Without a schema the types are inferred, which reads the whole input once more: fine for
     small files, a second pass over everything at scale. With a schema (a ``StructType`` or a DDL
     string) the input is read once. The schema is matched to the header by name, so it may be
     wider than the file and in another order; a header column it lacks is an error, or inferred
-    when ``infer_new`` is set. Every file's header must be that of the first one, and a cell that
-    does not fit its type fails the read instead of turning into null; pass ``mode="PERMISSIVE"``
-    for nulls.
+    when ``infer_new`` is set.
+
+    A cell that does not fit its given type, or one inferred from a sample, fails the read instead
+    of turning into null; pass ``mode="PERMISSIVE"`` for nulls. ``options`` are those of Spark's
+    CSV source.
     """
     path = resolve_path(path, root)
-    reader = spark.read.options(**{"header": True, **options})
+    # Unless told otherwise, Spark lays the schema over every file without a look at its header.
+    options = {"header": True, "enforceSchema": False, **options}
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
+        if "samplingRatio" in options:
+            options.setdefault("mode", "FAILFAST")
+        inferred = spark.read.options(inferSchema=True, **options).csv(path)
+        return _scan(spark, path, inferred.schema, options) if _numbered(inferred) else inferred
 
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     fold = folding(spark)
-    known = {fold(field.name): field for field in schema}
-    header = reader.csv(path).columns
-    new = [name for name in header if fold(name) not in known]
+    types = {fold(field.name): field.dataType for field in schema}
+    header = spark.read.options(**options).csv(path).columns
+    new = [name for name in header if fold(name) not in types]
     if new and not infer_new:
         raise ValueError(f"{path} has columns the schema lacks: {new}")
     if new:
-        inferred = spark.read.options(**{"header": True, "inferSchema": True, **options}).csv(path)
-        known.update((fold(f.name), f) for f in inferred.select(*map(column, new)).schema)
+        inferred = spark.read.options(inferSchema=True, **options).csv(path)
+        types.update((fold(name), inferred.schema[name].dataType) for name in new)
+    typed = StructType([StructField(name, types[fold(name)]) for name in header])
+    return _scan(spark, path, typed, {"mode": "FAILFAST", **options})
+
 
-    typed = StructType()
-    for name in header:
-        typed.add(name, known[fold(name)].dataType)
-    strict = {
-        "header": True,
-        "mode": "FAILFAST",
-        "enforceSchema": _renamed(spark, path, header, options),
-        **options,
-    }
-    return spark.read.options(**strict).schema(typed).csv(path)
+def _scan(spark: SparkSession, path: str, schema: StructType, options: dict) -> DataFrame:
+    scanned = spark.read.options(**options).schema(schema).csv(path)
+    if _numbered(scanned):
+        first = spark.read.options(**{**options, "header": False}).csv(path).first()
+        if list(first) != scanned.columns:
+            return spark.read.options(**{**options, "enforceSchema": True}).schema(schema).csv(path)
+    return scanned
 
 
-def _renamed(spark: SparkSession, path: str, header: list[str], options: dict) -> bool:
-    """Whether Spark had to number header cells because they were empty or doubled.
+def _numbered(df: DataFrame) -> bool:
+    """Whether Spark may have numbered header cells, which it does to empty and doubled ones.
 
-    Such names are not in the files, so the files cannot be checked against them.
+    Files cannot be checked against names they do not contain.
     """
-    if not any(name.endswith(str(i)) for i, name in enumerate(header)):
-        return False
-    first = spark.read.options(**{**options, "header": False}).csv(path).first()
-    return list(first) != header
+    return any(name.endswith(str(i)) for i, name in enumerate(df.columns))

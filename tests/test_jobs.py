@@ -157,3 +157,12 @@ def test_relative_path(spark, place, csv, tmp_path):
         spark, "inbox/part-0.csv", place.table("daily"), "2024-11-10", root=tmp_path
     )
     assert report.first().records_processed == 10
+
+
+def test_a_logical_date_column_in_the_file_is_replaced_on_every_day(spark, place, csv):
+    table = place.table("daily")
+    path = csv("id,logical_date\n1,long ago\n")
+    for day in ("2024-11-10", "2024-11-11"):
+        ll.daily_load(spark, path, table, day)
+    assert ll.day_slice(spark.table(table), "2024-11-11").count() == 1
+    assert dict(spark.table(table).dtypes)["logical_date"] == "timestamp"

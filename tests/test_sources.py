@@ -102,3 +102,16 @@ def test_microseconds_need_no_format(spark, csv):
     path = csv("t\n2024-01-02T03:04:05.678901\n2024-01-02 03:04:05.5\n")
     rows = ll.load_csv(spark, path, schema="t timestamp_ntz").collect()
     assert [row.t.microsecond for row in rows] == [678901, 500000]
+
+
+def test_inferred_files_with_different_headers(spark, csv):
+    path = csv("a,b\n1,2\n", "b,a\n3,4\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        ll.load_csv(spark, path).collect()
+
+
+def test_types_inferred_from_a_sample_do_not_turn_cells_into_nulls(spark, csv):
+    path = csv("a\n" + "1\n" * 5000 + "x\n")
+    with pytest.raises(Exception, match="Malformed"):
+        ll.load_csv(spark, path, samplingRatio=0.001).collect()
+    assert ll.load_csv(spark, path).dtypes == [("a", "string")]
