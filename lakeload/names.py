@@ -12,6 +12,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column(name: str) -> Column:
     """The column of exactly that name, dots included."""
     return F.col(quoted(name))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.dates import as_datetime, instant, run_instant
-from lakeload.names import in_builtin_catalog
-from lakeload.operators.tables import FORMAT, _description, _text, conformed, exists
+from lakeload.names import in_builtin_catalog, text_literal
+from lakeload.operators.tables import FORMAT, conformed, description, exists
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def _overwrite(rows: DataFrame, table: str, micros: int, counted: Observation) -
         rows.writeTo(table).overwrite(F.col("logical_date") == instant(micros))
         return
 
-    described = _description(spark, table)
+    described = description(spark, table)
     if described.get("partition_columns") != ["logical_date"]:
         raise ValueError(f"{table} is not partitioned by logical_date")
     # Dynamic, because a static overwrite deletes the old partition before it starts writing, and
@@ -117,7 +117,7 @@ def _overwrite(rows: DataFrame, table: str, micros: int, counted: Observation) -
         zone = described.get("storage_properties", {}).get("timeZone")
         spark.sql(
             f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
-            f"(logical_date = {_text(_partition_value(spark, micros, zone))})"
+            f"(logical_date = {text_literal(_partition_value(spark, micros, zone))})"
         )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from lakeload.names import column, folding, in_builtin_catalog, quoted, sibling
+from lakeload.names import column, folding, in_builtin_catalog, quoted, sibling, text_literal
 
 FORMAT = "parquet"
 
@@ -71,7 +71,11 @@ def replace(df: DataFrame, table: str) -> None:
     else:
         staged = sibling(table, f"stage_{uuid.uuid4().hex}")
         create(df, staged)
-        _put_in_place(spark, staged, table)
+        try:
+            _put_in_place(spark, staged, table)
+        except Exception:
+            _discard(spark, staged, table)
+            raise
 
 
 def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
@@ -86,10 +90,10 @@ def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
     With another schema or layout the tables are renamed, and the old one comes back if the new
     one cannot take its place.
     """
-    old, new = _description(spark, table), _description(spark, staged)
+    old, new = description(spark, table), description(spark, staged)
     if _layout(old) == _layout(new) and old["type"] == new["type"] == "MANAGED":
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(new['location'])}")
-        spark.sql(f"ALTER TABLE {staged} SET LOCATION {_text(old['location'])}")
+        _set_location(spark, table, new["location"])
+        _set_location(spark, staged, old["location"])
         drop(spark, staged)
         return
 
@@ -103,12 +107,25 @@ def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
     drop(spark, retired)
 
 
+def _discard(spark: SparkSession, staged: str, table: str) -> None:
+    """Drop a stage that was not used; not if the table has its directory already."""
+    if exists(spark, staged):
+        live = description(spark, table)["location"]
+        if description(spark, staged)["location"] != live:
+            drop(spark, staged)
+
+
+def _set_location(spark: SparkSession, table: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {text_literal(location)}")
+
+
 def _rename(spark: SparkSession, table: str, name: str) -> None:
     name = name.replace("`", "").removeprefix("spark_catalog.")
     spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
 
 
-def _description(spark: SparkSession, table: str) -> dict:
+def description(spark: SparkSession, table: str) -> dict:
+    """What the catalog knows of the table."""
     return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
 
 
@@ -117,10 +134,6 @@ def _layout(described: dict) -> dict:
     return {key: described[key] for key in keys if described.get(key)}
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def conformed(df: DataFrame, table: str, *, evolve: bool = False) -> DataFrame:
     """``df`` with the table's columns, in the table's order."""
     spark = df.sparkSession

@@ -234,6 +234,10 @@ def test_writes_to_other_catalogs():
     df.writeTo.return_value.createOrReplace.assert_called_once_with()
 
 
+def names(spark, place):
+    return [t.name for t in spark.catalog.listTables(place.database)]
+
+
 def test_the_old_table_comes_back_if_the_new_one_cannot_take_its_place(spark, place, monkeypatch):
     table = place.table("t")
     ll.create(rows(spark, 0, 3), table)
@@ -248,3 +252,25 @@ def test_the_old_table_comes_back_if_the_new_one_cannot_take_its_place(spark, pl
     with pytest.raises(RuntimeError):
         ll.replace(spark.sql("SELECT 'x' AS name"), table)
     assert values(spark, table) == [(0,), (1,), (2,)]
+    assert names(spark, place) == ["t"]
+
+
+@pytest.mark.parametrize("fails_at, kept", [(1, [(0,), (1,), (2,)]), (2, [(7,), (8,)])])
+def test_a_trade_that_fails_loses_nothing(spark, place, monkeypatch, fails_at, kept):
+    table = place.table("t")
+    ll.create(rows(spark, 0, 3), table)
+    set_location, calls = tables._set_location, []
+
+    def sometimes(spark, name, location):
+        calls.append(name)
+        if len(calls) == fails_at:
+            raise RuntimeError("no catalog")
+        set_location(spark, name, location)
+
+    monkeypatch.setattr(tables, "_set_location", sometimes)
+    with pytest.raises(RuntimeError):
+        ll.replace(rows(spark, 7, 9), table)
+    assert values(spark, table) == kept
+    monkeypatch.undo()
+    ll.replace(rows(spark, 0, 1), table)
+    assert values(spark, table) == [(0,)]
