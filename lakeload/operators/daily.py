@@ -81,12 +81,13 @@ def day_slice(df: DataFrame, logical_date: str | datetime) -> DataFrame:
 
 
 def _create(rows: DataFrame, table: str) -> None:
-    writer = rows.writeTo(table).partitionedBy(F.col("logical_date"))
     if in_builtin_catalog(rows.sparkSession, table):
         # Parquet partitions keep the timestamp as text in the directory name. Pinning its zone
         # lets sessions in different zones agree on the instant.
-        writer = writer.using(FORMAT).option("timeZone", "UTC")
-    writer.create()
+        writer = rows.write.format(FORMAT).option("timeZone", "UTC")
+        writer.partitionBy("logical_date").saveAsTable(table)
+    else:
+        rows.writeTo(table).partitionedBy(F.col("logical_date")).create()
 
 
 def _append(rows: DataFrame, table: str) -> None:

@@ -38,10 +38,10 @@ def drop(spark: SparkSession, table: str) -> None:
 
 def create(df: DataFrame, table: str) -> None:
     """Write a new table. It is an error if it exists."""
-    writer = df.writeTo(table)
     if in_builtin_catalog(df.sparkSession, table):
-        writer = writer.using(FORMAT)
-    writer.create()
+        df.write.format(FORMAT).saveAsTable(table)
+    else:
+        df.writeTo(table).create()
 
 
 def append(df: DataFrame, table: str, *, evolve: bool = False) -> None:
