@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lakeload as ll
+from lakeload.operators import daily
 
 DAY_1, DAY_2 = "2024-11-10", "2024-11-11"
 
@@ -234,3 +235,53 @@ def test_a_task_that_dies_half_way_is_written_and_counted_once(spark, table, mod
     assert done.records_processed == 40000
     stored = ll.day_slice(spark.table(table), "2024-11-12")
     assert stored.select(F.count("*"), F.count_distinct("id")).first()[:] == (40000, 40000)
+
+
+# Other catalogs are not available here, so only which calls they get is checked.
+
+
+@pytest.fixture
+def calls(monkeypatch):
+    """Treat every catalog as a foreign one; run its writes, but keep only their names."""
+    made = []
+
+    class Writer:
+        def __init__(self, df, table):
+            self.df = df
+
+        def partitionedBy(self, column):
+            made.append(f"partitionedBy {column._jc.toString()}")
+            return self
+
+        def _write(self, name):
+            made.append(name)
+            self.df.write.format("noop").mode("overwrite").save()
+
+        def create(self):
+            self._write("create")
+
+        def append(self):
+            self._write("append")
+
+        def overwrite(self, condition):
+            self._write(f"overwrite {condition._jc.toString()}")
+
+    monkeypatch.setattr(daily, "in_builtin_catalog", lambda spark, table: False)
+    monkeypatch.setattr(
+        "pyspark.sql.classic.dataframe.DataFrame.writeTo", lambda df, table: Writer(df, table)
+    )
+    return made
+
+
+def test_other_catalogs(spark, table, place, calls):
+    done = ll.load_day(spark.range(3), place.table("new"), DAY_1)
+    assert (done.operation, done.records_processed) == ("created", 3)
+    assert ll.load_day(spark.range(4), table, DAY_1).operation == "appended"
+    done = ll.load_day(spark.range(0), table, DAY_1, mode="overwrite")
+    assert (done.operation, done.records_processed) == ("overwritten", 0)
+    assert calls == [
+        "partitionedBy logical_date",
+        "create",
+        "append",
+        "overwrite =(logical_date, timestamp_micros(1731196800000000L))",
+    ]
