@@ -7,23 +7,24 @@ Spark would read that in the zone of the Python process instead of the zone of t
 from __future__ import annotations
 
 import re
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_STARTS_WITH_A_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
+# Spark would complete "2024" to its first day and "12:30" by the current date.
+_STARTS_WITH_A_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
-def run_instant(spark: SparkSession, when: str | datetime) -> int:
-    """Microseconds of a run date given as ISO text or a datetime.
+def run_instant(spark: SparkSession, when: str | date) -> int:
+    """Microseconds of a run date given as ISO text, a date or a datetime.
 
     Without an offset it is taken in the session's time zone. A missing or malformed date
     raises: a load is never filed under the current time by accident.
     """
-    text = when.isoformat(sep=" ") if isinstance(when, datetime) else when
-    if not text or not _STARTS_WITH_A_DATE.match(text):
+    text = str(when) if isinstance(when, date) else when
+    if not text or not re.match(_STARTS_WITH_A_DATE, text):
         raise ValueError(f"not an ISO date or timestamp: {when!r}")
     # Over a literal row the optimizer works out the result; no Spark job runs.
     [(micros,)] = spark.sql(
@@ -48,7 +49,8 @@ def parse_iso(text: Column) -> Column:
     """ISO text column to timestamp; malformed text raises, absent text stays null."""
     complaint = F.raise_error(F.concat(F.lit("not an ISO date or timestamp: "), text))
     return F.coalesce(
-        F.try_to_timestamp(text), F.when(text.isNotNull(), complaint.cast("timestamp"))
+        F.when(text.rlike(_STARTS_WITH_A_DATE), F.try_to_timestamp(text)),
+        F.when(text.isNotNull(), complaint.cast("timestamp")),
     )
 
 

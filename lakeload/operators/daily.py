@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ class DayLoad:
 def load_day(
     df: DataFrame,
     table: str,
-    logical_date: str | datetime,
+    logical_date: str | date,
     *,
     mode: str = "append",
     evolve: bool = False,
@@ -75,7 +75,7 @@ def load_day(
     )
 
 
-def day_slice(df: DataFrame, logical_date: str | datetime) -> DataFrame:
+def day_slice(df: DataFrame, logical_date: str | date) -> DataFrame:
     """The rows of one run date; on a daily table only that partition is read."""
     return df.filter(F.col("logical_date") == instant(run_instant(df.sparkSession, logical_date)))
 

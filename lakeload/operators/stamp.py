@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeload.functions.dates import instant, run_instant
 
 
-def with_logical_date(df: DataFrame, logical_date: str | datetime) -> DataFrame:
+def with_logical_date(df: DataFrame, logical_date: str | date) -> DataFrame:
     """Add ``logical_date``, the run the rows belong to, as a timestamp constant."""
     return df.withColumn("logical_date", instant(run_instant(df.sparkSession, logical_date)))
 

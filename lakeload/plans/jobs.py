@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +71,7 @@ def daily_load(
     spark: SparkSession,
     path: str | os.PathLike,
     table: str,
-    logical_date: str | datetime,
+    logical_date: str | date,
     *,
     root: str | os.PathLike | None = None,
     schema: StructType | str | None = None,

@@ -9,6 +9,8 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+from lakeload.names import text_literal
+
 
 @dataclass(frozen=True)
 class Workspace:
@@ -32,14 +34,14 @@ def new_workspace(spark: SparkSession) -> Workspace:
     """A fresh, empty workspace under the shared folder the cluster names."""
     database = f"lakeload_{uuid.uuid4().hex}"
     location = f"{shared_folder(spark)}/{database}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE {database} LOCATION {text_literal(location)}")
     return Workspace(database, location)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; unset on a local master, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.conf.get("spark.master").startswith("local"):
+    if not folder and spark.conf.get("spark.master", "").startswith("local"):
         folder = _local_folder()
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ MIDNIGHT = 1731196800000000  # 2024-11-10T00:00:00Z
         "2024-11-10T00:00:00Z",
         "2024-11-10T00:00:00+00:00",
         "2024-11-10T02:00:00+02:00",
+        date(2024, 11, 10),
         datetime(2024, 11, 10),
         datetime(2024, 11, 10, tzinfo=timezone.utc),
         datetime(2024, 11, 10, 5, 30, tzinfo=timezone(timedelta(hours=5, minutes=30))),
@@ -72,6 +73,12 @@ def test_iso_utc_in_any_zone(spark, zone, name):
     assert [r[0] for r in rows.select(ll.iso_utc(instants)).collect()] == texts
 
 
+@pytest.mark.parametrize("text", ["soon", "", "12:30", "2024", "2024-11-10 25:00:00"])
+def test_parse_iso_wants_a_whole_date(spark, text):
+    with pytest.raises(Exception, match="not an ISO date"):
+        spark.range(1).select(ll.parse_iso(F.lit(text))).collect()
+
+
 def test_parse_iso_keeps_nulls(spark):
     rows = spark.createDataFrame([(None,)], "text string")
     assert rows.select(ll.parse_iso(F.col("text"))).first()[0] is None
