@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeload.llm import quality, tokens
+from lakeload.llm import quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,24 @@ def op1_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query()
+def op4_secret_scan(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    found = F.col("secrets")
+    kinds = [rule.kind for rule in secrets.BASE_RULES]
+    base = F.filter(found, lambda s: s.kind.isin(kinds))
+
+    def n(kind):
+        return F.size(F.filter(found, lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return secrets.find_secrets(docs).select(
+        "doc_id",
+        *map(n, kinds),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(found).alias("spans"),
+    )
+
+
 @query(
     r"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
