@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import quality, secrets, tokens
+from lakeload.llm import packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,3 +117,17 @@ def op6_quality_rules(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+@query()
+def op8_best_fit_packing(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, WORD_BPE, capacity=4096, end_id=1).select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
