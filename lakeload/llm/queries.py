@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import packing, quality, secrets, tokens
+from lakeload.llm import binary, packing, quality, secrets, tokens
+from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,14 @@ def op4_secret_scan(spark, sf_dir):
     )
 
 
+@query()
+def op5_token_id_files(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    path = new_path(spark, "token-ids")
+    binary.write_ids(docs, path, BYTE_BPE, end_id=0)
+    return binary.read_checksums(spark, path)
+
+
 @query(
     r"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
