@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, packing, quality, secrets, tokens
+from lakeload.llm import binary, packing, quality, resharding, secrets, tokens
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +128,25 @@ def op6_quality_rules(spark, sf_dir):
     )
 
 
+@query()
+def op7_min_cost_resharding(spark, sf_dir):
+    """The given files, dealt to 16 shards by their names, to shards of near equal bytes."""
+    files = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    old = F.pmod(F.xxhash64("_metadata.file_name"), F.lit(16)).cast("int").alias("old_shard")
+    docs = files.select("doc_id", "text", old)
+    path = new_path(spark, "shards")
+    placed = resharding.reshard(docs, path, old_shard="old_shard", shards=16)
+    return placed.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query()
 def op8_best_fit_packing(spark, sf_dir):
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
