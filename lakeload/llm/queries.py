@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, packing, quality, resharding, secrets, tokens
+from lakeload.llm import binary, ngram_join, packing, quality, resharding, secrets, tokens
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,9 @@ def op8_best_fit_packing(spark, sf_dir):
         "sequence_id",
         "offset",
     )
+
+
+@query()
+def op9_ngram_jaccard(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    return ngram_join.near_copies(docs, words=5, per_cent=75)
