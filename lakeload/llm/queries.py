@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, ngram_join, packing, quality, resharding, secrets, tokens
+from lakeload.llm import binary, decontamination, ngram_join, packing, quality, resharding, secrets, tokens
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,15 @@ def op1_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query()
+def op2_decontamination(spark, sf_dir):
+    """Each passage of the benchmark that a document holds, and where."""
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    benchmark = given(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontamination.with_leaks(docs, benchmark).select("doc_id", F.explode("leaks").alias("l"))
+    return found.select("doc_id", "l.item_id", "l.start", "l.end", "l.edits")
+
+
 @query()
 def op4_secret_scan(spark, sf_dir):
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
