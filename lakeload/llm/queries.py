@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, decontamination, ngram_join, packing, quality, resharding, secrets, tokens
+from lakeload.llm import binary, decontamination, language_model, ngram_join, packing, quality, resharding, secrets, tokens
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,3 +174,10 @@ def op8_best_fit_packing(spark, sf_dir):
 def op9_ngram_jaccard(spark, sf_dir):
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
     return ngram_join.near_copies(docs, words=5, per_cent=75)
+
+
+@query()
+def op10_class_bigrams(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return language_model.score(docs, ~held_out)
