@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-import numpy as np
-
 BATCH_BYTES = 1 << 20
 REMEMBERED_BYTES = 160 << 20
 # What an entry costs beside its text: dictionary slot, two object headers, the ids.
@@ -25,6 +25,11 @@ _ENTRY_BYTES = 200
 _DOUBTFUL = re.compile(r"[\s᠎] ")
 _SAFE = re.compile(r"(?<=[^\s᠎])(?= )")
 
+# A word of Latin letters, each of them one letter in lower case too, and perhaps a sign. Tokenizers
+# split these in front of the sign.
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]?)")
+_PLAIN_SAMPLE = ("Word", " word", " Äpfel", " éèçñ", "Ünïcödé", " ıĳſɏ", " McDonald", " a")
+
 
 def split_before_spaces(text: str) -> list[str]:
     """Cut before each space that follows something other than white space."""
@@ -39,20 +44,54 @@ def split_at_spaces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: the printable ones for
+    themselves, the others in turn for those from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Encodes texts with one tokenizer file; ids come as little-endian bytes, ``width`` each."""
 
     def __init__(self, path: str) -> None:
+        if sys.byteorder != "little":
+            raise RuntimeError("ids are packed on little-endian machines")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._dtype = f"<u{self.width}"
+        self._code = "H" if self.width == 2 else "I"
         self._split = split_at_spaces if self._drops_white_space() else split_before_spaces
+        self._lower = self._drops_white_space()
+        self._plain = all(self._words([w]) == [self._ids(w)] for w in _PLAIN_SAMPLE)
         self._known: dict[str, bytes] = {}
         self._bytes = 0
 
+    def _ids(self, piece: str) -> bytes:
+        return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words straight from the tokenizer's model.
+
+        They need no splitting, and its bookkeeping for one word costs more than the merges.
+        """
+        tokenize = self.tokenizer.model.tokenize
+        found = []
+        for word in words:
+            word = word.strip().lower() if self._lower else word
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+            found.append(self._packed([token.id for token in tokenize(letters)]))
+        return found
+
     def _drops_white_space(self) -> bool:
         return not self.tokenizer.encode(" \n", add_special_tokens=False).ids
 
@@ -77,12 +116,33 @@ class Encoder:
         for pieces in cut:
             new.update(pieces)
         new.difference_update(self._known)
-        for batch in _by_bytes(new):
+        rest = self._learn_words(new) if self._plain else new
+        for batch in _by_bytes(rest):
             encoded = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
             for piece, encoding in zip(batch, encoded, strict=True):
-                ids = np.array(encoding.ids, dtype=self._dtype).tobytes()
-                self._known[piece] = ids
-                self._bytes += 4 * len(piece) + len(ids) + _ENTRY_BYTES
+                self._keep(piece, self._packed(encoding.ids))
+
+    def _learn_words(self, new: set[str]) -> list[str]:
+        """Learn the plain words among new pieces; the pieces that are none."""
+        rest, plain = [], []
+        for piece in new:
+            match = _PLAIN.fullmatch(piece)
+            if match:
+                plain.append(match.groups())
+            else:
+                rest.append(piece)
+        unknown = list({word for word, _ in plain if word not in self._known})
+        for word, ids in zip(unknown, self._words(unknown), strict=True):
+            self._keep(word, ids)
+        signs = {sign: self._ids(sign) for _, sign in plain if sign}
+        for word, sign in plain:
+            if sign:
+                self._keep(word + sign, self._known[word] + signs[sign])
+        return rest
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self._known[piece] = ids
+        self._bytes += 4 * len(piece) + len(ids) + _ENTRY_BYTES
 
 
 def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
