@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, decontamination, language_model, ngram_join, packing, quality, resharding, secrets, tokens
+from lakeload.llm import binary, decontamination, html, language_model, ngram_join, packing, quality, resharding, secrets, tokens
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op2_decontamination(spark, sf_dir):
     return found.select("doc_id", "l.item_id", "l.start", "l.end", "l.edits")
 
 
+@query()
+def op3_html_text(spark, sf_dir):
+    pages = given(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query()
 def op4_secret_scan(spark, sf_dir):
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
