@@ -97,10 +97,59 @@ def near_copies(
     component unless it reaches an id. Repeated rows all appear; other columns are not kept; an
     empty table gives no rows. No partner or candidate is left out, however large a group is.
     """
-    spark = docs.sparkSession
-    rows = docs.select(column(doc_id).cast("bigint").alias("doc_id"), column(text).alias("body"))
+    rows = _rows(docs, doc_id, text)
+    return _labelled(rows, words, per_cent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = SHINGLE_WORDS,
+    per_cent: int = PER_CENT,
+) -> DataFrame:
+    """``docs`` with one row of each group that :func:`near_copies` finds, columns as they are.
+
+    The row with the smallest id stays, an id before none; of rows with equal ids and texts one.
+    Rows without a word are in no group and all stay.
+    """
+    labels = _labelled(_rows(docs, doc_id, text), words, per_cent)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    kept = labels.filter("n_shingles > 0").groupBy("root").agg(F.min(first).alias("k"))
+    lone = labels.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
+    keys = stored(kept.select("k.doc_id", "k.text_key").unionByName(lone), "kept")
+    again = labels.filter("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    repeated = again.filter("n > 1").join(keys, ["doc_id", "text_key"], "left_semi")
+
+    given = F.struct(*[column(name).alias(f"c{k}") for k, name in enumerate(docs.columns)])
+    rows = docs.select(given.alias("row"), *_keys(doc_id, text))
+    few = keys.count() <= BROADCAST_IDS
+    on = rows["id"].eqNullSafe(keys["doc_id"]) & (rows["key"] == keys["text_key"])
+    found = rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    if not repeated.isEmpty():
+        same = Window.partitionBy("id", "key").orderBy("key")
+        words_ = F.trim(F.translate(F.coalesce(column("body"), F.lit("")), "\t\n\x0b\x0c\r", "     "))
+        numbered = found.withColumn("again", F.row_number().over(same))
+        found = numbered.filter((F.col("again") == 1) | (words_ == ""))
+    return found.select(*[F.col(f"row.c{k}").alias(n) for k, n in enumerate(docs.columns)])
+
+
+def _keys(doc_id: str, text: str):
+    """What tells rows apart: equal rows have equal keys."""
+    body = column(text)
+    return column(doc_id).cast("bigint").alias("id"), F.xxhash64(body).alias("key"), body.alias("body")
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(*_keys(doc_id, text)).withColumnsRenamed({"id": "doc_id", "key": "text_key"})
+
+
+def _labelled(rows: DataFrame, words: int, per_cent: int) -> DataFrame:
+    """Each row's ``doc_id``, ``text_key``, ``n_shingles``, ``root`` and ``component_id``."""
+    spark = rows.sparkSession
     seen = stored(_scanned(rows, words), "shingles")
-    members = seen.filter("kind = 0").select("doc_id", "n", "node")
+    members = seen.filter("kind = 0").select("doc_id", "text_key", "n", "node")
     nodes = (
         seen.filter("kind = 0 AND n > 0")
         .groupBy("node")
@@ -109,31 +158,31 @@ def near_copies(
     nodes = stored(nodes, "nodes")
     tiles = stored(_tiles(spark, rows, _frequent(seen), words, per_cent), "tiles")
 
-    links = _verified(spark, rows, nodes, _first_pairs(tiles, per_cent), words, per_cent)
-    links = stored(links, "pairs")
-    joined = components(links)
-    rest = _other_pairs(tiles, nodes, joined, per_cent)
-    more = _verified(spark, rows, nodes, stored(rest, "pairs"), words, per_cent)
-    roots = components(links.unionByName(stored(more, "pairs")))
+    links = _verified(rows, nodes, _first_pairs(tiles, per_cent), words, per_cent)
+    links = stored(links, "links")
+    rest = _other_pairs(tiles, nodes, components(links), per_cent)
+    more = stored(_verified(rows, nodes, rest, words, per_cent), "links")
+    roots = components(links.unionByName(more))
 
     least = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "doc_id"
     )
     named = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = least.join(named, "root").select("node", "component_id")
+    labels = least.join(named, "root").select("node", "root", "component_id")
     found = members.join(labels, "node", "left")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
         "doc_id",
+        "text_key",
         F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias(
-            "component_id"
-        ),
+        "root",
+        own.alias("component_id"),
     )
 
 
 def _scanned(rows: DataFrame, size: int) -> DataFrame:
     """Kind 0: a row for each document. Kind 1: a shingle that many documents of a slice have."""
-    schema = "kind int, doc_id bigint, n int, node bigint, bits binary"
+    schema = "kind int, doc_id bigint, n int, node bigint, bits binary, text_key bigint"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[np.ndarray] = []
@@ -151,7 +200,7 @@ def _scanned(rows: DataFrame, size: int) -> DataFrame:
                     frequent += _counted(pending)
                     pending, gathered = [], 0
             ids = batch.column("doc_id").to_pylist()
-            yield _scan_rows(0, ids, n, nodes, bits)
+            yield _scan_rows(0, ids, n, nodes, bits, batch.column("text_key"))
             if frequent:
                 yield _scan_rows(1, [s for s, _ in frequent], [c for _, c in frequent])
         frequent = _counted(pending)
@@ -161,7 +210,9 @@ def _scanned(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(scan, schema)
 
 
-def _scan_rows(kind: int, ids: list, n: list, nodes=None, bits=None) -> pa.RecordBatch:
+def _scan_rows(
+    kind: int, ids: list, n: list, nodes=None, bits=None, keys=None
+) -> pa.RecordBatch:
     none = [None] * len(ids)
     return pa.RecordBatch.from_arrays(
         [
@@ -170,8 +221,9 @@ def _scan_rows(kind: int, ids: list, n: list, nodes=None, bits=None) -> pa.Recor
             pa.array(n, pa.int32()),
             pa.array(nodes or none, pa.int64()),
             pa.array(bits or none, pa.binary()),
+            pa.array(none, pa.int64()) if keys is None else keys,
         ],
-        ["kind", "doc_id", "n", "node", "bits"],
+        ["kind", "doc_id", "n", "node", "bits", "text_key"],
     )
 
 
@@ -363,7 +415,6 @@ def _pairs(rows: pa.RecordBatch, per_cent: int) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(
-    spark: SparkSession,
     rows: DataFrame,
     nodes: DataFrame,
     pairs: DataFrame,
