@@ -137,6 +137,8 @@ def banded(
         step[:-1] = np.minimum(step[:-1], cost[1:] + 1)  # one of the passage left out
         cost = np.minimum.accumulate(step - offsets) + offsets  # some of the text put in
         cost[(i + offsets < 0) | (i + offsets > n)] = _FAR
+        if i % 16 == 0 and cost.min() > budget:
+            break  # edits only become more
     return m + offsets, cost
 
 
@@ -195,7 +197,12 @@ class Finder:
         shift = longest + 2
         span = len(joined) // p.width + longest + 4
         keys = item * span + band + shift
-        found, counts = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
+        keys = np.concatenate([keys, keys - 1])
+        # What a copy keeps are different q-grams of the passage, at different places of the text.
+        found, counts = _distinct(keys, np.tile(p.at[posting], 2))
+        many = counts >= p.least[found // span]
+        left = np.isin(keys, found[many])
+        found, counts = _distinct(keys[left], np.tile(at[which], 2)[left])
         items = found // span
         enough = counts >= p.least[items]
         for key, k in zip(found[enough].tolist(), items[enough].tolist(), strict=True):
@@ -227,6 +234,16 @@ class Finder:
                 found.append((k, at, at + len(passage), 0))
 
 
+def _distinct(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key, and how many different values it comes with."""
+    if not len(keys):
+        return keys, keys
+    order = np.lexsort([values, keys])
+    keys, values = keys[order], values[order]
+    new = np.append(True, (np.diff(keys) != 0) | (np.diff(values) != 0))
+    return np.unique(keys[new], return_counts=True)
+
+
 def _best(hits: list) -> list:
     """Of hits of a passage that overlap, the one with the fewest edits."""
     kept: list = []
