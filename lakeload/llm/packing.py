@@ -18,8 +18,8 @@ from lakeload.llm.storage import stored
 from lakeload.names import column
 
 OPEN_BINS = 64
-#: So many partitions hand their last open bins to one task.
-PARTITIONS_A_GROUP = 64
+#: So many partitions hand what is in their last open bins to one task.
+PARTITIONS_A_GROUP = 16
 _OUT_BYTES = 4 << 20
 
 
@@ -96,8 +96,8 @@ def pack(
     with equal ids or texts are packed each for itself; an empty table gives no rows.
 
     Each task packs what it reads as it reads it, with ``open_bins`` bins open. Those that are open
-    at the end of a task are not full: a second round packs these, as items, with those of the
-    neighbouring tasks. So a text is tokenized once and never shuffled, but for the few in such
+    at the end of a task are not full: a second round packs their pieces again, the longest first,
+    with those of the neighbouring tasks. So a text is tokenized once and never shuffled, but for the few in such
     bins.
     """
     rows = docs.select(column(doc_id), column(text).alias("text" if doc_id != "text" else "body"))
@@ -128,16 +128,20 @@ def pack(
 
     placed = stored(rows.mapInArrow(packed, schema), "packed")
     left = placed.filter("open")
-    bins = left.groupBy("part", "bin").agg(F.sum("length").alias("length"))
-    moved = bins.groupBy((F.col("part") / PARTITIONS_A_GROUP).cast("bigint").alias("grp")).applyInPandas(
-        lambda key, group: _repacked(int(key[0]), group, capacity, open_bins),
-        "part bigint, bin bigint, sequence_id bigint, base bigint",
+    group = (F.col("part") / PARTITIONS_A_GROUP).cast("bigint").alias("grp")
+    moved = (
+        left.select(group, "part", "bin", "offset", "length")
+        .groupBy("grp")
+        .applyInPandas(
+            lambda key, rows: _repacked(int(key[0]), rows, capacity, open_bins),
+            "part bigint, bin bigint, offset bigint, sequence_id bigint, place bigint",
+        )
     )
     columns = [column(doc_id), "piece", "start", "length", "ids", "sequence_id", "offset"]
     done = placed.filter("NOT open").withColumn(
         "sequence_id", F.shiftleft(F.col("part"), 32) + F.col("bin")
     )
-    rest = left.join(moved, ["part", "bin"]).withColumn("offset", F.col("offset") + F.col("base"))
+    rest = left.join(moved, ["part", "bin", "offset"]).withColumn("offset", F.col("place"))
     return done.select(columns).unionByName(rest.select(columns))
 
 
@@ -172,23 +176,22 @@ class _Rows:
             self.rows, self.full = [], 0
 
 
-def _repacked(grp: int, group: pd.DataFrame, capacity: int, open_bins: int) -> pd.DataFrame:
-    """Pack open bins into new ones, the longest first; at most a bounded number comes here."""
-    group = group.sort_values(["length", "part", "bin"], ascending=[False, True, True])
+def _repacked(grp: int, rows: pd.DataFrame, capacity: int, open_bins: int) -> pd.DataFrame:
+    """Pack the pieces of open bins anew, the longest first; a bounded number of bins comes here."""
+    rows = rows.sort_values(["length", "part", "bin", "offset"], ascending=[False, True, True, True])
     bins = OpenBins(capacity, open_bins)
-    rows, n = [], 0
-    items = zip(group["part"], group["bin"], group["length"], strict=True)
+    found = []
+    sequences = 0
 
     def number(contents: list) -> None:
-        nonlocal n
+        nonlocal sequences
+        sequences += 1
         # Negative, so that no sequence of the first round has the same.
-        sequence = -(grp << 32) - n - 1
-        rows.extend((part, bin_, sequence, base) for base, (part, bin_) in contents)
-        n += 1
+        found.extend((*piece, -(grp << 32) - sequences, place) for place, piece in contents)
 
-    for part, bin_, length in items:
-        for full in bins.put(int(length), (part, bin_)):
+    for part, bin_, offset, length in rows[["part", "bin", "offset", "length"]].itertuples(index=False):
+        for full in bins.put(length, (part, bin_, offset)):
             number(full)
     for full in bins.rest():
         number(full)
-    return pd.DataFrame(rows, columns=["part", "bin", "sequence_id", "base"])
+    return pd.DataFrame(found, columns=["part", "bin", "offset", "sequence_id", "place"])
