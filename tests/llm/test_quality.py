@@ -1,0 +1,96 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeload.llm import quality
+from lakeload.llm.quality import Rule, ordered, quality_cascade, with_verdicts
+
+from .conftest import PROSE
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def figures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = {}
+    for i in range(len(words) - 2):
+        windows.setdefault(tuple(words[i : i + 3]), []).append(i)
+    covered = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(3)}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+    }
+
+
+TEXTS = ["a b c a b c", "a a a a", "a b", "a b c", "a b c d a b c e c d a", "x\nx\n\n \nx y\nx y"]
+TEXTS += ["** # $a %%&|<> b", "one\x0btwo\x0cthree\rfour", PROSE, PROSE + "\n" + PROSE, "日本 語語 é"]
+
+
+def test_figures(documents, awkward):
+    docs = documents(TEXTS).unionByName(awkward)
+    for row in with_verdicts(docs).collect():
+        wanted = figures(row.text)
+        assert {name: row[name] for name in wanted} == wanted, row.text[:80]
+        failed = wanted["n_words"] < 50 or 100 * wanted["n_repeat_words"] > 50 * wanted["n_words"]
+        assert row.base_failed == failed
+        assert not (row.base_failed and row.kept)
+
+
+def test_cascade_keeps_what_verdicts_keep(documents, awkward):
+    docs = documents(TEXTS).unionByName(awkward)
+    kept = quality_cascade(docs)
+    assert kept.columns == docs.columns
+    wanted = with_verdicts(docs).filter("kept").select(docs.columns)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_order_never_changes_the_result(documents, monkeypatch):
+    docs = documents(TEXTS)
+    found = []
+    for order in (1, -1):
+        monkeypatch.setattr(quality, "ordered", lambda rules, costs, o=order: list(rules)[::o])
+        found.append(sorted(r.doc_id for r in quality_cascade(docs).collect()))
+    assert found[0] == found[1]
+
+
+def test_rejections_per_cost_decide_the_order():
+    rules = [Rule(name, lambda f: f("n_words") < 1) for name in "abc"]
+    costs = {"a": (1.0, 0.1), "b": (0.1, 0.1), "c": (1.0, 0.9)}
+    assert [r.name for r in ordered(rules, costs)] == ["b", "c", "a"]
+
+
+def test_null_verdicts_keep(documents):
+    unsure = Rule("unsure", lambda f: F.lit(None).cast("boolean"))
+    assert quality_cascade(documents(TEXTS), [unsure]).count() == len(TEXTS)
+    assert quality_cascade(documents(TEXTS), []).count() == len(TEXTS)
+
+
+def test_nothing(documents):
+    assert quality_cascade(documents([])).count() == 0
+    assert with_verdicts(documents([])).count() == 0
+
+
+def test_clashing_columns(documents):
+    docs = documents(TEXTS).withColumnRenamed("lang", "kept").withColumnRenamed("source", "n_words")
+    assert quality_cascade(docs).columns == docs.columns
+    row = with_verdicts(docs).filter("doc_id = 0").first()
+    assert (row.n_words, row.kept) == (6, False)
+
+
+@pytest.mark.parametrize("words", [3, 4, 5])
+def test_a_long_text_that_repeats(documents, words):
+    text = " ".join(f"w{i % words}" for i in range(30_000))
+    row = with_verdicts(documents([text])).first()
+    assert row.n_repeat_words == 30_000
+
+
+def test_no_python_in_the_plan(documents):
+    plan = quality_cascade(documents(TEXTS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

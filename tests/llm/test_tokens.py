@@ -1,0 +1,155 @@
+"""Token counts, ids in files, packing: all against the tokenizers library itself."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from lakeload.llm import encoding
+from lakeload.llm.binary import EliasFano, read_checksums, read_ids, write_ids
+from lakeload.llm.encoding import Encoder
+from lakeload.llm.packing import OpenBins, pack
+from lakeload.llm.queries import BYTE_BPE, WORD_BPE
+from lakeload.llm.storage import new_path
+from lakeload.llm.tokens import with_token_counts
+
+
+@pytest.fixture(scope="module", params=[BYTE_BPE, WORD_BPE])
+def tokenizer(request):
+    return request.param
+
+
+def ids_of(path, text):
+    encoded = Tokenizer.from_file(path).encode(text or "", add_special_tokens=False)
+    return encoded.ids
+
+
+ODD = ["a", "B", " ", "  ", "\n", "\t", " ", "'s", "<|endoftext|>", "1", "é", "́", "\x1c"]
+ODD += ["\x85", "᠎", "​", "!", ".", "　", "İ", "Word", "ǅ", "日", "_"]
+
+
+def test_pieces_encode_as_whole_texts(tokenizer):
+    chance = random.Random(1)
+    texts = ["".join(chance.choices(ODD, k=chance.randint(0, 14))) for _ in range(4000)]
+    whole = Tokenizer.from_file(tokenizer).encode_batch(texts, add_special_tokens=False)
+    encoder = Encoder(tokenizer)
+    ours = [np.frombuffer(ids, f"<u{encoder.width}").tolist() for ids in encoder.encode(texts)]
+    assert ours == [encoded.ids for encoded in whole]
+
+
+def test_memory_of_pieces_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(encoding, "REMEMBERED_BYTES", 2000)
+    monkeypatch.setattr(encoding, "BATCH_BYTES", 100)
+    encoder = Encoder(tokenizer)
+    texts = [f"word{i} word{i + 1} again" for i in range(500)]
+    assert list(encoder.count(texts)) == [len(ids_of(tokenizer, t)) for t in texts]
+    assert encoder._bytes < 10_000
+
+
+def test_counts(awkward, texts_of, tokenizer):
+    clashing = awkward.withColumnRenamed("lang", "n_tokens").withColumnRenamed("source", "text_")
+    counted = with_token_counts(clashing, tokenizer)
+    assert counted.columns == ["doc_id", "text", "n_tokens", "text_", "n_chars", "n_bytes", "over_limit"]
+    assert counted.count() == awkward.count()
+    for row in counted.collect():
+        assert row.n_bytes == len((row.text or "").encode())
+        assert row.n_tokens == len(ids_of(tokenizer, row.text))
+        assert row.over_limit == (row.n_tokens > 512)
+
+
+def test_counts_of_nothing(documents):
+    assert with_token_counts(documents([]), BYTE_BPE).count() == 0
+
+
+@pytest.mark.parametrize(
+    "numbers",
+    [[], [0], [5], [0, 0, 0], [1, 2, 3, 1000, 1000, 5_000_000], list(range(0, 4000, 3)), [7] * 2000],
+)
+def test_elias_fano(numbers):
+    read = EliasFano.from_bytes(EliasFano.of(numbers).to_bytes())
+    assert read.select(range(len(numbers))).tolist() == numbers
+    for k in {0, len(numbers) // 2, len(numbers) - 1} if numbers else ():
+        assert read.select([k]).tolist() == [numbers[k]]
+    with pytest.raises(IndexError):
+        read.select([len(numbers)])
+
+
+def test_elias_fano_is_small():
+    ends = np.cumsum(np.random.default_rng(3).integers(1, 2000, 100_000))
+    size = len(EliasFano.of(ends).to_bytes())
+    assert size * 8 / len(ends) < np.log2(ends[-1] / len(ends)) + 2.5
+
+
+def test_elias_fano_needs_order():
+    with pytest.raises(ValueError):
+        EliasFano.of([3, 2])
+
+
+@pytest.mark.parametrize("block_ids", [1, 500, 1 << 20])
+def test_id_files(spark, awkward, texts_of, block_ids):
+    path = new_path(spark, "ids")
+    write_ids(awkward, path, BYTE_BPE, end_id=0, partitions=3, block_ids=block_ids)
+    rows = sorted(read_ids(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [i for i, _ in texts_of(awkward)]
+    wanted = sorted([*ids_of(BYTE_BPE, t), 0] for _, t in texts_of(awkward))
+    assert sorted(r.ids for r in rows) == wanted
+    assert [r.start for r in rows] == np.cumsum([0, *[len(r.ids) for r in rows]])[:-1].tolist()
+    sums = {(r.start, r.n_tokens, r.ids_crc32) for r in read_checksums(spark, path).collect()}
+    assert sums == {
+        (r.start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in rows
+    }
+
+
+def test_id_files_of_nothing(spark, documents):
+    path = new_path(spark, "ids")
+    write_ids(documents([]), path, BYTE_BPE)
+    assert read_ids(spark, path).count() == 0
+
+
+def test_open_bins_take_the_tightest_and_close_the_fullest():
+    bins = OpenBins(10, most=2)
+    assert list(bins.put(6, "a")) == []
+    assert list(bins.put(5, "b")) == []
+    assert list(bins.put(4, "c")) == [[(0, "a"), (6, "c")]]  # fits a exactly
+    assert list(bins.put(8, "d")) == []
+    assert list(bins.put(7, "e")) == [[(0, "d")]]  # fits nowhere: the fullest goes
+    assert list(bins.rest()) == [[(0, "e")], [(0, "b")]]
+    with pytest.raises(ValueError):
+        list(bins.put(11, "x"))
+
+
+@pytest.mark.parametrize("capacity, open_bins", [(64, 2), (4096, 64)])
+def test_packing(awkward, capacity, open_bins):
+    packed = pack(awkward, WORD_BPE, capacity=capacity, end_id=1, open_bins=open_bins)
+    rows = packed.collect()
+    pieces = {}
+    for row in rows:
+        assert len(row.ids) == 4 * row.length
+        pieces.setdefault(row.sequence_id, []).append(row)
+    for sequence in pieces.values():
+        sequence.sort(key=lambda r: r.offset)
+        ends = np.cumsum([r.length for r in sequence]).tolist()
+        assert [r.offset for r in sequence] == [0, *ends[:-1]]
+        assert ends[-1] <= capacity
+    wanted = []
+    for row in awkward.collect():
+        ids = [*ids_of(WORD_BPE, row.text), 1]
+        for k, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            wanted.append((row.doc_id, k, start, part))
+    found = [(r.doc_id, r.piece, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in rows]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+def test_packing_is_close_to_the_bound(spark, documents):
+    chance = random.Random(4)
+    texts = [" ".join(["the"] * chance.randint(1, 300)) for _ in range(6000)]
+    packed = pack(documents(texts).repartition(8), WORD_BPE, capacity=1024).cache()
+    tokens = packed.agg({"length": "sum"}).first()[0]
+    assert packed.select("sequence_id").distinct().count() <= 1.02 * tokens / 1024 + 1
+
+
+def test_packing_nothing(documents):
+    assert pack(documents([]), WORD_BPE).count() == 0
