@@ -133,7 +133,7 @@ def pack(
         left.select(group, "part", "bin", "offset", "length")
         .groupBy("grp")
         .applyInPandas(
-            lambda key, rows: _repacked(int(key[0]), rows, capacity, open_bins),
+            lambda key, rows: _repacked(int(key[0]), rows, capacity),
             "part bigint, bin bigint, offset bigint, sequence_id bigint, place bigint",
         )
     )
@@ -176,10 +176,14 @@ class _Rows:
             self.rows, self.full = [], 0
 
 
-def _repacked(grp: int, rows: pd.DataFrame, capacity: int, open_bins: int) -> pd.DataFrame:
-    """Pack the pieces of open bins anew, the longest first; a bounded number of bins comes here."""
+def _repacked(grp: int, rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """Pack the pieces of open bins anew, the longest first.
+
+    What comes here filled a bounded number of bins, so all bins may stay open: the short pieces
+    come last and fill the gaps that long ones leave.
+    """
     rows = rows.sort_values(["length", "part", "bin", "offset"], ascending=[False, True, True, True])
-    bins = OpenBins(capacity, open_bins)
+    bins = OpenBins(capacity, len(rows))
     found = []
     sequences = 0
 
