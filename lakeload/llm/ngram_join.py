@@ -158,7 +158,7 @@ def _labelled(rows: DataFrame, words: int, per_cent: int) -> DataFrame:
     nodes = stored(nodes, "nodes")
     tiles = stored(_tiles(spark, rows, _frequent(seen), words, per_cent), "tiles")
 
-    links = _verified(rows, nodes, _first_pairs(tiles, per_cent), words, per_cent)
+    links = _verified(rows, nodes, _first_pairs(tiles, nodes, per_cent), words, per_cent)
     links = stored(links, "links")
     rest = _other_pairs(tiles, nodes, components(links), per_cent)
     more = stored(_verified(rows, nodes, rest, words, per_cent), "links")
@@ -288,9 +288,9 @@ def _frequent_last(found: np.ndarray, hashes: np.ndarray, ranks: np.ndarray) ->
     return np.concatenate([found[~hit], common])
 
 
-def _first_pairs(tiles: DataFrame, per_cent: int) -> DataFrame:
-    """For each node the neighbour below it by size, and the smallest node it may be similar to,
-    each the one it shares most tiles with."""
+def _first_pairs(tiles: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
+    """A pair for each node: of the neighbours below it by size, and of the smallest nodes it may
+    be similar to, the one it shares most tiles with; if bitmaps do not rule it out."""
     tile = Window.partitionBy("token").orderBy("n", "node")
     # Sizes within a band differ by less than similar sets may.
     band = F.floor(F.log("n") / np.log(100 / per_cent))
@@ -306,8 +306,30 @@ def _first_pairs(tiles: DataFrame, per_cent: int) -> DataFrame:
     ).select("x", "n", "kind", F.col("other.node").alias("y"), F.col("other.n").alias("m"))
     able = both.filter(f"y IS NOT NULL AND x <> y AND 100 * m >= {per_cent} * n")
     shared = able.groupBy("kind", "x", "y").agg(F.count("*").alias("shared"))
-    best = shared.groupBy("kind", "x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
-    return best.select("x", "y")
+    most = F.max_by(F.struct("y", "shared"), F.struct("shared", "y")).alias("most")
+    best = shared.groupBy("kind", "x").agg(most).select("x", "most.y", "most.shared").distinct()
+    bits = nodes.select("node", "n", "bits")
+    first, second = (
+        bits.withColumnsRenamed({"node": end, "n": f"n_{end}", "bits": f"bits_{end}"})
+        for end in ("x", "y")
+    )
+    able = best.join(first, "x").join(second, "y").mapInArrow(
+        lambda batches: _not_ruled_out(batches, per_cent), "x bigint, y bigint, shared bigint"
+    )
+    return able.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
+
+
+def _not_ruled_out(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for n, m, a, b in zip(
+            *(batch.column(c).to_pylist() for c in ("n_x", "n_y", "bits_x", "bits_y")), strict=True
+        ):
+            width = min(len(a), len(b))
+            one, two = (folded(np.frombuffer(bits, np.uint8)[None, :], width) for bits in (a, b))
+            differ = int(np.bitwise_count(one ^ two).sum())
+            keep.append((n + m - differ) // 2 >= least_overlap(n, m, per_cent))
+        yield batch.select(["x", "y", "shared"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _other_pairs(
@@ -454,7 +476,8 @@ def _verified(
 
     # Rows with the id of a node's document but another text drop out by their fingerprint.
     known = picked.mapInArrow(sets, "node bigint, shingles array<bigint>")
-    sent = known.join(ends, "node").select("x", "y", "node", "shingles")
+    told = F.broadcast(ends) if pairs.count() <= BROADCAST_IDS // 2 else ends
+    sent = known.join(told, "node").select("x", "y", "node", "shingles")
     met = sent.groupBy("x", "y").agg(
         F.first(F.when(F.col("node") == F.col("x"), F.col("shingles")), True).alias("a"),
         F.first(F.when(F.col("node") == F.col("y"), F.col("shingles")), True).alias("b"),
