@@ -3,11 +3,13 @@
 A text is cut at safe boundaries, places at which its tokens are those of the left part followed by
 those of the right part, so that only short pieces reach the tokenizer, in batches of about equal
 bytes. A piece seen before is not encoded again: prose repeats its words, and a lookup is far
-cheaper than an encoding. What is remembered is bounded by bytes and forgotten when full.
+cheaper than an encoding. What is remembered is bounded by bytes; when half of that is full, what was
+not met while it filled is forgotten.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -16,7 +18,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 BATCH_BYTES = 1 << 20
-REMEMBERED_BYTES = 160 << 20
+REMEMBERED_BYTES = 256 << 20
 # What an entry costs beside its text: dictionary slot, two object headers, the ids.
 _ENTRY_BYTES = 200
 
@@ -27,16 +29,16 @@ _SAFE = re.compile(r"(?<=[^\s᠎])(?= )")
 
 # A word of Latin letters, each of them one letter in lower case too, and perhaps a sign. Tokenizers
 # split these in front of the sign.
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]?)")
-_PLAIN_SAMPLE = ("Word", " word", " Äpfel", " éèçñ", "Ünïcödé", " ıĳſɏ", " McDonald", " a")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]?)")
+_PLAIN_SAMPLE = ("Word", "word", "Äpfel", "éèçñ", "Ünïcödé", "ıĳſɏ", "McDonald", "a")
 
 
 def split_before_spaces(text: str) -> list[str]:
-    """Cut before each space that follows something other than white space."""
+    """Cut before each space that follows something other than white space; those spaces go."""
     if _DOUBTFUL.search(text):
-        return _SAFE.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]]
+        first, *rest = _SAFE.split(text)
+        return [first, *[piece[1:] for piece in rest]]
+    return text.split(" ")
 
 
 def split_at_spaces(text: str) -> list[str]:
@@ -69,8 +71,10 @@ class Encoder:
         self._code = "H" if self.width == 2 else "I"
         self._split = split_at_spaces if self._drops_white_space() else split_before_spaces
         self._lower = self._drops_white_space()
-        self._plain = all(self._words([w]) == [self._ids(w)] for w in _PLAIN_SAMPLE)
+        self._plain = all(self._words([w]) == [self._ids(" " + w)] for w in _PLAIN_SAMPLE)
+        # Ids of pieces that follow a space, with that space.
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._bytes = 0
 
     def _ids(self, piece: str) -> bytes:
@@ -87,7 +91,7 @@ class Encoder:
         tokenize = self.tokenizer.model.tokenize
         found = []
         for word in words:
-            word = word.strip().lower() if self._lower else word
+            word = word.lower() if self._lower else " " + word
             letters = word.encode().decode("latin-1").translate(_LETTERS)
             found.append(self._packed([token.id for token in tokenize(letters)]))
         return found
@@ -99,28 +103,40 @@ class Encoder:
         """The ids of each text, in order; a null text is an empty one."""
         for batch in _by_bytes(texts):
             cut = [self._split(text) for text in batch]
+            # The first piece of a text has no space before it.
+            first = self._batch([pieces[0] for pieces in cut])
+            cut = [pieces[1:] for pieces in cut]
             self._learn(cut)
             known = self._known.__getitem__
-            for pieces in cut:
-                yield b"".join(map(known, pieces))
+            for ids, pieces in zip(first, cut, strict=True):
+                yield ids + b"".join(map(known, pieces))
 
     def count(self, texts: Iterable[str | None]) -> Iterator[int]:
         """The number of ids of each text, in order."""
         return (len(ids) // self.width for ids in self.encode(texts))
 
     def _learn(self, cut: list[list[str]]) -> None:
-        if self._bytes > REMEMBERED_BYTES:
-            self._known = {}
+        if 2 * self._bytes > REMEMBERED_BYTES:
+            self._known, self._older = {}, self._known
             self._bytes = 0
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)
         new.difference_update(self._known)
+        for piece in new.intersection(self._older) if self._older else ():
+            self._keep(piece, self._older[piece])
+            new.remove(piece)
         rest = self._learn_words(new) if self._plain else new
-        for batch in _by_bytes(rest):
+        rest = list(rest)
+        for piece, ids in zip(rest, self._batch([" " + piece for piece in rest]), strict=True):
+            self._keep(piece, ids)
+
+    def _batch(self, pieces: list[str]) -> list[bytes]:
+        found: list[bytes] = []
+        for batch in _by_bytes(pieces):
             encoded = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
-            for piece, encoding in zip(batch, encoded, strict=True):
-                self._keep(piece, self._packed(encoding.ids))
+            found.extend(self._packed(encoding.ids) for encoding in encoded)
+        return found
 
     def _learn_words(self, new: set[str]) -> list[str]:
         """Learn the plain words among new pieces; the pieces that are none."""
@@ -163,4 +179,6 @@ def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a file, kept from task to task."""
+    # Pieces and ids are no containers: looking through them for cycles is in vain.
+    gc.set_threshold(100_000, 20, 100)
     return Encoder(path)
