@@ -10,6 +10,7 @@ from lakeload.operators import (
     exists,
     load_day,
     profile,
+    purge,
     replace,
     report,
     with_load_times,
@@ -33,6 +34,7 @@ __all__ = [
     "load_day",
     "parse_iso",
     "profile",
+    "purge",
     "refresh_and_profile",
     "refresh_products",
     "refresh_users",

@@ -45,6 +45,12 @@ def as_datetime(micros: int) -> datetime:
     return _EPOCH + timedelta(microseconds=micros)
 
 
+def iso_text(micros: int) -> str:
+    """The instant as ISO text in UTC, spelled as :func:`iso_utc` does."""
+    text = as_datetime(micros).replace(tzinfo=None).isoformat()
+    return (text.rstrip("0") if "." in text else text) + "Z"
+
+
 def parse_iso(text: Column) -> Column:
     """ISO text column to timestamp; malformed text raises, absent text stays null."""
     complaint = F.raise_error(F.concat(F.lit("not an ISO date or timestamp: "), text))
@@ -55,11 +61,13 @@ def parse_iso(text: Column) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    """Timestamp to ISO text in UTC, whatever the session's zone.
+    """Timestamp to ISO text in UTC, whatever the session's zone, ending in ``Z``.
+
+    Read back, by :func:`parse_iso` or as a run date, it is the same instant in any session.
 
     Counting microseconds up from a zone-free 1970 avoids rendering through the session's zone,
     where hours skipped or repeated by daylight saving would come out wrong.
     """
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     wall_clock = F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
-    return F.replace(wall_clock.cast("string"), F.lit(" "), F.lit("T"))
+    return F.concat(F.replace(wall_clock.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))

@@ -8,14 +8,14 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.dates import as_datetime, instant, run_instant
+from lakeload.functions.dates import as_datetime, instant, iso_text, run_instant
 from lakeload.names import in_builtin_catalog, text_literal
-from lakeload.operators.tables import FORMAT, conformed, description, exists
+from lakeload.operators.tables import FORMAT, conforming, description, exists, insert
 
 
 @dataclass(frozen=True)
 class DayLoad:
-    """What one load did."""
+    """What one load did. The date is in UTC and can be given back as a run date in any session."""
 
     table_name: str
     logical_date: str
@@ -61,15 +61,17 @@ def load_day(
     if not exists(spark, table):
         _create(rows, table)
         operation = "created"
-    elif mode == "append":
-        _append(conformed(rows, table, evolve=evolve), table)
-        operation = "appended"
     else:
-        _overwrite(conformed(rows, table, evolve=evolve), table, micros, counted)
-        operation = "overwritten"
+        with conforming(rows, table, evolve=evolve) as fitting:
+            if mode == "append":
+                insert(fitting, table)
+                operation = "appended"
+            else:
+                _overwrite(fitting, table, micros, counted)
+                operation = "overwritten"
     return DayLoad(
         table_name=table,
-        logical_date=as_datetime(micros).replace(tzinfo=None).isoformat(),
+        logical_date=iso_text(micros),
         records_processed=counted.get["records"],
         operation=operation,
     )
@@ -90,13 +92,6 @@ def _create(rows: DataFrame, table: str) -> None:
         rows.writeTo(table).partitionedBy(F.col("logical_date")).create()
 
 
-def _append(rows: DataFrame, table: str) -> None:
-    if in_builtin_catalog(rows.sparkSession, table):
-        rows.write.insertInto(table)
-    else:
-        rows.writeTo(table).append()
-
-
 def _overwrite(rows: DataFrame, table: str, micros: int, counted: Observation) -> None:
     spark = rows.sparkSession
     if not in_builtin_catalog(spark, table):

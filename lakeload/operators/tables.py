@@ -7,17 +7,30 @@ catalog are Parquet.
 from __future__ import annotations
 
 import json
+import re
+import time
 import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    ByteType,
     DataType,
     DateType,
     DecimalType,
     DoubleType,
     FloatType,
+    IntegerType,
     IntegralType,
+    LongType,
+    MapType,
+    NumericType,
+    ShortType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -32,8 +45,18 @@ def exists(spark: SparkSession, table: str) -> bool:
 
 
 def drop(spark: SparkSession, table: str) -> None:
-    """Drop the table if it is there."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Drop the table if it is there, with its files and those that it replaced.
+
+    Files of an external table that lie where someone else put them stay.
+    """
+    if in_builtin_catalog(spark, table) and exists(spark, table):
+        purge(spark, table, timedelta(0))
+        described = description(spark, table)
+        drop_entry(spark, table)
+        if described["type"] != "MANAGED" and _ours(described):
+            _delete(spark, described["location"])
+    else:
+        drop_entry(spark, table)
 
 
 def create(df: DataFrame, table: str) -> None:
@@ -47,72 +70,187 @@ def create(df: DataFrame, table: str) -> None:
 def append(df: DataFrame, table: str, *, evolve: bool = False) -> None:
     """Add rows to an existing table, columns matched by name.
 
-    Columns that only one side has are an error, unless ``evolve`` is set: then new ones are added
-    to the table and missing ones filled with null.
+    Columns that only one side has are an error, and so are types that would cut values. With
+    ``evolve`` new columns are added to the table, missing ones filled with null, and a column that
+    must be wider to take the rows is made so. The rows are then written aside first, so that a
+    table only changes for rows that can be read.
     """
-    rows = conformed(df, table, evolve=evolve)
-    if in_builtin_catalog(df.sparkSession, table):
+    with conforming(df, table, evolve=evolve) as rows:
+        insert(rows, table)
+
+
+def insert(rows: DataFrame, table: str) -> None:
+    """Add rows that have the table's columns in the table's order."""
+    if in_builtin_catalog(rows.sparkSession, table):
         rows.write.insertInto(table)
     else:
         rows.writeTo(table).append()
 
 
-def replace(df: DataFrame, table: str) -> None:
+def replace(
+    df: DataFrame,
+    table: str,
+    *,
+    partition_by: Sequence[str] | None = None,
+    check: Callable[[DataFrame], object] | None = None,
+) -> None:
     """Put ``df`` in place of the table's rows and schema, creating it if need be.
 
     The new rows are written out in full before the old ones are given up: a failing write leaves
-    the table as it was, and ``df`` may read the very table it replaces.
+    the table as it was, and ``df`` may read the very table it replaces. So does ``check``, called
+    with the rows as written (in other catalogs: with ``df``), if it raises. ``partition_by``
+    defaults to the table's own partitioning, as far as ``df`` has the columns.
+
+    In the session catalog the new files lie in a folder of their own, and one change of the
+    catalog's entry turns the table to it; no file moves. Comments and properties stay. The old
+    files stay too, for queries that still read them, until :func:`purge`. Only a table that is or
+    becomes partitioned trades names with its stage instead, which moves its folder and drops the
+    old files at once.
     """
     spark = df.sparkSession
+    there = exists(spark, table)
+    if partition_by is None:
+        before = description(spark, table).get("partition_columns", []) if there else []
+        partition_by = [name for name in before if name in df.columns]
     if not in_builtin_catalog(spark, table):
-        df.writeTo(table).createOrReplace()
-    elif not exists(spark, table):
-        create(df, table)
+        if check:
+            check(df)
+        writer = df.writeTo(table)
+        if partition_by:
+            writer = writer.partitionedBy(*map(column, partition_by))
+        writer.createOrReplace()
+        return
+
+    old = description(spark, table) if there else None
+    staged = sibling(table, f"stage_{uuid.uuid4().hex}")
+    writer = df.write.format(FORMAT)
+    # In a partitioned table's folder names instants are written in one zone; see load_day.
+    writer = writer.option("timeZone", "UTC").partitionBy(*partition_by) if partition_by else writer
+    moves = bool(partition_by or (old or {}).get("partition_columns"))
+    if old and not moves:
+        writer = writer.option("path", f"{_folder(old)}__v_{uuid.uuid4().hex}")
+    if old is None:
+        writer.saveAsTable(table)
     else:
-        staged = sibling(table, f"stage_{uuid.uuid4().hex}")
-        create(df, staged)
-        try:
-            _put_in_place(spark, staged, table)
-        except Exception:
+        writer.saveAsTable(staged)
+    try:
+        if check:
+            check(spark.table(staged if old else table))
+        if moves and old:
+            _trade_names(spark, staged, table)
+        elif old:
+            _turn(spark, staged, table, old)
+    except Exception:
+        if old is None:
+            drop(spark, table)
+        elif exists(spark, staged):
             _discard(spark, staged, table)
-            raise
+        raise
+
+
+def purge(spark: SparkSession, table: str, older_than: timedelta = timedelta(days=7)) -> int:
+    """Delete the files that :func:`replace` left for running queries; how many versions went."""
+    limit = int((time.time() - older_than.total_seconds()) * 1000)
+    gone = 0
+    for name in _retired(spark, table):
+        if int(name.rpartition("__old_")[2].split("_")[0]) <= limit:
+            _delete(spark, description(spark, name)["location"])
+            drop_entry(spark, name)
+            gone += 1
+    return gone
+
+
+def drop_entry(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _retired(spark: SparkSession, table: str) -> list[str]:
+    prefix = sibling(table, "old_")
+    database, _, name = prefix.rpartition(".")
+    within = f" IN {database}" if database else ""
+    found = spark.sql(f"SHOW TABLES{within} LIKE '{name}*'").collect()
+    return [f"{database}.{row.tableName}" if database else row.tableName for row in found]
+
+
+def _folder(described: dict) -> str:
+    """Where a table's versions lie side by side."""
+    return re.sub("__v_[0-9a-f]{32}$", "", described["location"].rstrip("/"))
+
 
+def _ours(described: dict) -> bool:
+    """Whether the files are the table's own: managed, or written by an earlier replace."""
+    return described["type"] == "MANAGED" or _folder(described) != described["location"].rstrip("/")
 
-def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
-    """Let ``table`` have what ``staged`` holds.
 
-    Where the two differ only in their files, the tables trade directories: no file moves, which
-    on an object store would copy the whole table, and readers meet either the old rows or the
-    new ones. Should the process die between the two trades, both tables name the new directory;
-    such a left-over stage must be pointed elsewhere before it is dropped. Stage names are never
-    used twice, so a later load does not touch it.
+def _turn(spark: SparkSession, staged: str, table: str, old: dict) -> None:
+    """Let the table's entry name the staged files.
 
-    With another schema or layout the tables are renamed, and the old one comes back if the new
-    one cannot take its place.
+    Whatever dies in between, each set of files keeps an entry that owns none of them: dropping
+    left-over entries deletes nothing. With another schema there is a moment, of two statements
+    about the catalog, in which only the left-over entries name the rows.
     """
-    old, new = description(spark, table), description(spark, staged)
-    if _layout(old) == _layout(new) and old["type"] == new["type"] == "MANAGED":
+    new = description(spark, staged)
+    if _ours(old):
+        retired = sibling(table, f"old_{int(time.time() * 1000)}_{uuid.uuid4().hex}")
+        place = text_literal(old["location"])
+        names = (_two_parts(name) for name in (retired, table))
+        spark.sql("CREATE TABLE {} LIKE {} USING {} LOCATION {}".format(*names, FORMAT, place))
+    if _layout(old) == _layout(new):
         _set_location(spark, table, new["location"])
-        _set_location(spark, staged, old["location"])
-        drop(spark, staged)
+        drop_entry(spark, staged)
         return
+    # Another schema needs another entry. The old one lets go of its files before it goes.
+    if old["type"] == "MANAGED":
+        _set_location(spark, table, new["location"] + "__none")
+    drop_entry(spark, table)
+    _rename(spark, staged, table)
+    _describe(spark, table, old)
 
-    retired = sibling(table, f"old_{uuid.uuid4().hex}")
+
+def _trade_names(spark: SparkSession, staged: str, table: str) -> None:
+    old = description(spark, table)
+    retired = sibling(table, f"before_{uuid.uuid4().hex}")
     _rename(spark, table, retired)
     try:
         _rename(spark, staged, table)
     except Exception:
         _rename(spark, retired, table)
         raise
-    drop(spark, retired)
+    if description(spark, table).get("partition_columns"):
+        # The folder has moved, but its partitions' entries still name the old place.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    _describe(spark, table, old)
+    drop_entry(spark, retired)
+
+
+def _describe(spark: SparkSession, table: str, old: dict) -> None:
+    """Carry comments and properties over to a new entry."""
+    if old.get("comment"):
+        spark.sql(f"COMMENT ON TABLE {table} IS {text_literal(old['comment'])}")
+    properties = old.get("table_properties") or {}
+    if properties:
+        pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+    kept = set(spark.table(table).columns)
+    for col in old["columns"]:
+        if col.get("comment") and col["name"] in kept:
+            comment = text_literal(col["comment"])
+            spark.sql(f"ALTER TABLE {table} ALTER COLUMN {quoted(col['name'])} COMMENT {comment}")
 
 
 def _discard(spark: SparkSession, staged: str, table: str) -> None:
-    """Drop a stage that was not used; not if the table has its directory already."""
-    if exists(spark, staged):
-        live = description(spark, table)["location"]
-        if description(spark, staged)["location"] != live:
-            drop(spark, staged)
+    """Drop a stage that was not used; not its files if the table has them already."""
+    location = description(spark, staged)["location"]
+    used = exists(spark, table) and description(spark, table)["location"] == location
+    drop_entry(spark, staged)
+    if not used:
+        _delete(spark, location)
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _set_location(spark: SparkSession, table: str, location: str) -> None:
@@ -120,8 +258,11 @@ def _set_location(spark: SparkSession, table: str, location: str) -> None:
 
 
 def _rename(spark: SparkSession, table: str, name: str) -> None:
-    name = name.replace("`", "").removeprefix("spark_catalog.")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {_two_parts(name)}")
+
+
+def _two_parts(name: str) -> str:
+    return name.replace("`", "").removeprefix("spark_catalog.")
 
 
 def description(spark: SparkSession, table: str) -> dict:
@@ -130,12 +271,19 @@ def description(spark: SparkSession, table: str) -> dict:
 
 
 def _layout(described: dict) -> dict:
-    keys = ("columns", "provider", "partition_columns", "bucket_columns", "storage_properties")
-    return {key: described[key] for key in keys if described.get(key)}
+    """What of an entry depends on the files: not comments or properties."""
+    columns = [(col["name"], col["type"]) for col in described["columns"]]
+    keys = ("provider", "partition_columns", "bucket_columns")
+    return {"columns": columns} | {key: described[key] for key in keys if described.get(key)}
+
 
+@contextmanager
+def conforming(df: DataFrame, table: str, *, evolve: bool = False) -> Iterator[DataFrame]:
+    """``df`` with the table's columns, in the table's order, the table changed to take it.
 
-def conformed(df: DataFrame, table: str, *, evolve: bool = False) -> DataFrame:
-    """``df`` with the table's columns, in the table's order."""
+    Where ``evolve`` has to change the table, the rows are first written aside and come from there:
+    if that fails, the table is as it was.
+    """
     spark = df.sparkSession
     fold = folding(spark)
     target = spark.table(table).schema
@@ -148,37 +296,122 @@ def conformed(df: DataFrame, table: str, *, evolve: bool = False) -> DataFrame:
             f"columns do not match {table}: not in the table {[f.name for f in new]}, "
             f"not in the rows {missing}"
         )
+    wider: dict[str, DataType] = {}
     for key in given.keys() & wanted.keys():
         source, sink = given[key].dataType, wanted[key].dataType
-        if _loses(source, sink):
+        both = widened(source, sink) if evolve and not _holds(source, sink) else None
+        if both is not None:
+            wider[wanted[key].name] = both
+        elif _loses(source, sink):
             raise ValueError(
                 f"{table}.{wanted[key].name} is {sink.simpleString()}, which would cut "
                 f"incoming {source.simpleString()} values"
             )
-    if new:
-        added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-        target = spark.table(table).schema
-    return df.select(
-        *[
-            (column(f.name) if fold(f.name) in given else F.lit(None).cast(f.dataType)).alias(
-                f.name
-            )
-            for f in target
-        ]
+    aside = None
+    if new or wider:
+        aside = sibling(table, f"stage_{uuid.uuid4().hex}")
+        create(df, aside)
+        df = spark.table(aside)
+    try:
+        if wider:
+            _widen(spark, table, wider)
+        if new:
+            added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+        yield df.select(
+            *[
+                (column(f.name) if fold(f.name) in given else F.lit(None).cast(f.dataType)).alias(
+                    f.name
+                )
+                for f in spark.table(table).schema
+            ]
+        )
+    finally:
+        if aside:
+            drop_entry(spark, aside)
+
+
+def _widen(spark: SparkSession, table: str, wider: Mapping[str, DataType]) -> None:
+    """Give columns other types: in the session catalog by writing the table anew."""
+    if not in_builtin_catalog(spark, table):
+        for name, kind in wider.items():
+            spark.sql(f"ALTER TABLE {table} ALTER COLUMN {quoted(name)} TYPE {kind.simpleString()}")
+        return
+    stored = spark.table(table)
+    replace(
+        stored.select(
+            *[
+                (column(f.name).cast(wider[f.name]) if f.name in wider else column(f.name)).alias(f.name)
+                for f in stored.schema
+            ]
+        ),
+        table,
     )
 
 
+_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+# Decimal digits that come back unchanged, and whole bits that are kept.
+_FLOAT_DIGITS = {FloatType: 6, DoubleType: 15}
+_KEPT_BY = {FloatType: (ByteType, ShortType), DoubleType: (ByteType, ShortType, IntegerType)}
+
+
+def widened(source: DataType, sink: DataType) -> DataType | None:
+    """The narrowest type that holds all values of two numeric types, if there is one."""
+    candidates = [sink, source, LongType(), DoubleType()]
+    parts = [_as_decimal(kind) for kind in (source, sink)]
+    if None not in parts:
+        scale = max(part.scale for part in parts)
+        precision = scale + max(part.precision - part.scale for part in parts)
+        if precision <= 38:
+            candidates.insert(2, DecimalType(precision, scale))
+    if any(isinstance(kind, (FloatType, DoubleType)) for kind in (source, sink)):
+        candidates = [kind for kind in candidates if isinstance(kind, (FloatType, DoubleType))]
+    return next((c for c in candidates if _holds(source, c) and _holds(sink, c)), None)
+
+
+def _holds(source: DataType, wide: DataType) -> bool:
+    """Whether every value of a numeric type is one of the other, too."""
+    if not all(isinstance(kind, NumericType) for kind in (source, wide)):
+        return False
+    if source == wide:
+        return True
+    if isinstance(wide, (FloatType, DoubleType)):
+        return not _loses(source, wide)
+    one, two = _as_decimal(source), _as_decimal(wide)
+    if one is None or two is None:
+        return False
+    whole = (one.precision - one.scale, two.precision - two.scale)
+    return one.scale <= two.scale and whole[0] <= whole[1]
+
+
+def _as_decimal(kind: DataType) -> DecimalType | None:
+    if isinstance(kind, DecimalType):
+        return kind
+    return DecimalType(_DIGITS[type(kind)], 0) if type(kind) in _DIGITS else None
+
+
 def _loses(source: DataType, sink: DataType) -> bool:
-    """Store assignments Spark lets through although they drop part of a value.
+    """Store assignments that Spark lets through although they cut values, or that may overflow.
 
-    It rejects senseless ones (text into numbers) and overflow by itself.
+    It rejects senseless ones (text into numbers) by itself.
     """
+    if isinstance(source, StructType) and isinstance(sink, StructType):
+        pairs = zip(source, sink, strict=False)
+        return any(_loses(one.dataType, two.dataType) for one, two in pairs)
+    if isinstance(source, ArrayType) and isinstance(sink, ArrayType):
+        return _loses(source.elementType, sink.elementType)
+    if isinstance(source, MapType) and isinstance(sink, MapType):
+        keys = _loses(source.keyType, sink.keyType)
+        return keys or _loses(source.valueType, sink.valueType)
     if isinstance(source, (FloatType, DoubleType)):
         if isinstance(source, DoubleType) and isinstance(sink, FloatType):
             return True
         return isinstance(sink, (IntegralType, DecimalType))
+    if isinstance(source, IntegralType) and type(sink) in _KEPT_BY:
+        return not isinstance(source, _KEPT_BY[type(sink)])
     if isinstance(source, DecimalType):
+        if type(sink) in _FLOAT_DIGITS:
+            return source.precision > _FLOAT_DIGITS[type(sink)]
         kept = sink.scale if isinstance(sink, DecimalType) else 0
         return isinstance(sink, (IntegralType, DecimalType)) and source.scale > kept
     return isinstance(source, (TimestampType, TimestampNTZType)) and isinstance(sink, DateType)

@@ -8,12 +8,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeload.names import folding
 from lakeload.operators.daily import load_day
 from lakeload.operators.profile import profile
 from lakeload.operators.stamp import with_load_times
-from lakeload.operators.tables import exists, replace
+from lakeload.operators.tables import exists, replace, widened
 from lakeload.sources.csv import load_csv
 
 USERS_STATS = {
@@ -43,17 +44,58 @@ def refresh_and_profile(
     stamps: Sequence[str] = (),
     root: str | os.PathLike | None = None,
     schema: StructType | str | None = None,
+    infer: bool = False,
     **options,
 ) -> DataFrame:
     """Replace a table by a CSV file plus load times; return ``table_name`` and ``stats``.
 
-    The figures come from the table just written: one column-pruned scan, which at scale is far
-    cheaper than going back to the text. Pass ``schema`` for large inputs, see
-    :func:`lakeload.load_csv`.
+    Once the table exists it supplies the types of the columns it has, so the text is read once;
+    ``infer`` has them inferred anew. Columns may come and go. Pass ``schema`` for a large first
+    load, see :func:`lakeload.load_csv`.
+
+    The figures are worked out from the new rows as written, a column-pruned scan, before these
+    take the table's place: if a column that ``stats`` needs is missing or no number, or an
+    aggregate fails, the old table stays. They are returned as computed, so they stay readable
+    whatever becomes of the table.
     """
-    loaded = load_csv(spark, path, root=root, schema=schema, **options)
-    replace(with_load_times(loaded, *stamps), table)
-    return profile(spark.table(table), stats).select(F.lit(table).alias("table_name"), "*")
+    if schema is None and not infer and exists(spark, table):
+        stored = spark.table(table).schema
+        fields = [field for field in stored if field.name not in stamps]
+        loaded = load_csv(
+            spark,
+            path,
+            root=root,
+            schema=StructType(fields),
+            infer_new=True,
+            missing="drop",
+            **options,
+        )
+    else:
+        loaded = load_csv(spark, path, root=root, schema=schema, **options)
+    stamped = with_load_times(loaded, *stamps)
+    _check_columns(stamped, stats)
+    figures: list = []
+
+    def compute(rows: DataFrame) -> None:
+        named = profile(rows, stats).select(F.lit(table).alias("table_name"), "*")
+        figures.extend((named.collect(), named.schema))
+
+    replace(stamped, table, check=compute)
+    return spark.createDataFrame(*figures)
+
+
+def _check_columns(df: DataFrame, stats: Mapping[str, tuple[str, str]]) -> None:
+    fold = folding(df.sparkSession)
+    types = {fold(field.name): field.dataType for field in df.schema}
+    for function, name in stats.values():
+        if name == "*":
+            continue
+        if fold(name) not in types:
+            raise ValueError(f"{function} needs a column {name!r}; there are {df.columns}")
+        kind = types[fold(name)]
+        # A file without rows has columns of text; their figures are null.
+        if function in ("avg", "sum") and isinstance(kind, StringType) and not df.isEmpty():
+            raise ValueError(f"{function} needs numbers, but {name!r} is {kind.simpleString()}")
 
 
 def refresh_users(spark: SparkSession, path: str | os.PathLike, table: str, **kw) -> DataFrame:
@@ -82,10 +124,37 @@ def daily_load(
     """Load a CSV file into a daily table; return one row saying what was done.
 
     Once the table exists it supplies the column types. Later days are then read in a single
-    pass, and a column that happens to look different on one day keeps its type. Only columns new
-    to the table are inferred, and only with ``evolve``.
+    pass, and a column that happens to look different on one day keeps its type. With ``evolve``
+    types are inferred again, which reads the file once more: columns may be new or missing, and a
+    number that needs it makes its column wider, for which a table in the session catalog is
+    written anew.
     """
     if schema is None and exists(spark, table):
-        schema = spark.table(table).schema
-    rows = load_csv(spark, path, root=root, schema=schema, infer_new=evolve, **options)
+        stored = [f for f in spark.table(table).schema if f.name != "logical_date"]
+        schema = StructType(stored)
+        if evolve:
+            schema = _merged(schema, load_csv(spark, path, root=root, **options).schema)
+        # A file's own column of that name is replaced, whatever it holds.
+        schema = schema.add("logical_date", StringType())
+    rows = load_csv(
+        spark,
+        path,
+        root=root,
+        schema=schema,
+        infer_new=evolve,
+        missing="drop" if evolve else "error",
+        optional=["logical_date"],
+        **options,
+    )
     return load_day(rows, table, logical_date, mode=mode, evolve=evolve).to_df(spark)
+
+
+def _merged(stored: StructType, inferred: StructType) -> StructType:
+    """The table's types, wider where a day's file needs it."""
+    found = {field.name: field.dataType for field in inferred}
+    return StructType(
+        [
+            StructField(f.name, widened(found.get(f.name, f.dataType), f.dataType) or f.dataType)
+            for f in stored
+        ]
+    )

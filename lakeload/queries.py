@@ -166,6 +166,55 @@ def literal_rows(spark, sf_dir):
     return spark.table(table)
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def csv_relative_path(spark, sf_dir):
+    """A path under a root."""
+    names = {"o_orderkey": "o_orderkey", "o_orderstatus": "o_orderstatus"}
+    root, _, name = as_csv(spark, sf_dir, "orders", names).rpartition("/")
+    schema = "o_orderkey bigint, o_orderstatus string"
+    return ll.load_csv(spark, name, root=root, schema=schema)
+
+
+@query(
+    """
+    SELECT o_orderstatus AS status, count(*) AS n_good, CAST(0 AS BIGINT) AS n_bad
+    FROM orders GROUP BY o_orderstatus
+    UNION ALL
+    SELECT 'bad', CAST(0 AS BIGINT), 3 * count(*) FROM orders WHERE o_orderkey % 7 = 0
+    """
+)
+def csv_bad_rows(spark, sf_dir):
+    """Good rows next to ones with too many cells, too few, and one of the wrong type."""
+    path = workspace(spark).path("orders_with_bad_rows")
+    orders = given(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status")
+    )
+    broken = orders.filter(F.col("key").cast("bigint") % 7 == 0)
+    lines = orders.select(F.concat_ws(",", "key", "status").alias("line"))
+    for bad in (
+        F.concat_ws(",", "key", "status", F.lit("more")),
+        F.col("key"),
+        F.concat_ws(",", F.lit("x"), "status"),
+    ):
+        lines = lines.unionByName(broken.select(bad.alias("line")))
+    lines.write.text(path)
+    scanned = ll.load_csv(
+        spark,
+        path,
+        names=["o_orderkey", "o_orderstatus"],
+        schema="o_orderkey bigint, o_orderstatus string, bad string",
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord="bad",
+        header=False,
+    )
+    # Both columns are read, so that what is wrong with either shows.
+    good = F.col("bad").isNull() & F.col("o_orderkey").isNotNull()
+    status = F.when(good, F.col("o_orderstatus")).otherwise("bad").alias("status")
+    return scanned.groupBy(status).agg(
+        F.count(F.when(good, 1)).alias("n_good"), F.count("bad").alias("n_bad")
+    )
+
+
 # Tables
 
 
@@ -265,7 +314,7 @@ def daily_load(spark, sf_dir):
     """
     SELECT d AS logical_date, op AS operation, count(*) AS records_processed
     FROM customer,
-         (VALUES ('2024-11-10T00:00:00', 'created'), ('2024-11-11T00:00:00', 'appended')) v(d, op)
+         (VALUES ('2024-11-10T00:00:00Z', 'created'), ('2024-11-11T00:00:00Z', 'appended')) v(d, op)
     GROUP BY d, op
     """
 )
@@ -308,6 +357,45 @@ def daily_evolution(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT round(sum(v), 2) AS total, count(*) AS n_rows, 'double' AS kind
+    FROM (SELECT floor(c_acctbal) AS v FROM customer
+          UNION ALL SELECT c_acctbal + 0.5 FROM customer)
+    """
+)
+def daily_widening(spark, sf_dir):
+    """Whole numbers on the first day, fractions on the second."""
+    table = workspace(spark).table("daily_customer")
+    customers = given(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    whole = customers.select("c_custkey", F.floor("c_acctbal").cast("int").alias("v"))
+    ll.load_day(whole, table, DAY_1)
+    half = customers.select("c_custkey", (F.col("c_acctbal") + 0.5).alias("v"))
+    ll.load_day(half, table, DAY_2, evolve=True)
+    kind = dict(spark.table(table).dtypes)["v"]
+    return spark.table(table).agg(
+        F.round(F.sum("v"), 2).alias("total"),
+        F.count("*").alias("n_rows"),
+        F.lit(kind).alias("kind"),
+    )
+
+
+@query(
+    """
+    SELECT '2024-11-10' AS logical_date, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL
+    SELECT '2024-11-11', count(*) FROM customer WHERE c_acctbal > 0
+    """
+)
+def replace_keeps_partitions(spark, sf_dir):
+    """A daily table replaced by a part of itself, then one of its days run again."""
+    table = daily_customers(spark, sf_dir)
+    ll.replace(spark.table(table).filter(F.col("c_mktsegment") == "BUILDING"), table)
+    again = given(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    ll.load_day(again, table, DAY_2, mode="overwrite")
+    return rows_per_day(spark.table(table))
+
+
 @query(
     """
     SELECT count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_orders,
@@ -352,7 +440,7 @@ def audit_columns(spark, sf_dir):
 @query(
     """
     SELECT o_orderkey,
-           strftime(o_orderdate - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') AS logical_date
+           strftime(o_orderdate - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS logical_date
     FROM orders
     """
 )
@@ -365,22 +453,28 @@ def parse_logical_date(spark, sf_dir):
     )
 
 
-# Filters and aggregates
+# Filters and aggregates, over tables that the library loaded
+
+
+def loaded(spark, sf_dir, name):
+    table = workspace(spark).table(name)
+    ll.create(given(spark, sf_dir, name), table)
+    return spark.table(table)
 
 
 @query("SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
 def filter_eq(spark, sf_dir):
-    return given(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return loaded(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
 
 
 @query("SELECT * FROM supplier WHERE s_acctbal > 5000")
 def filter_gt(spark, sf_dir):
-    return given(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 5000)
+    return loaded(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 5000)
 
 
 @query("SELECT DISTINCT c_mktsegment FROM customer")
 def distinct_values(spark, sf_dir):
-    return given(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+    return loaded(spark, sf_dir, "customer").select("c_mktsegment").distinct()
 
 
 @query(
@@ -403,7 +497,7 @@ def employee_stats(spark, sf_dir):
 
 @query("SELECT round(avg(s_acctbal), 6) AS avg_salary FROM supplier")
 def dict_agg(spark, sf_dir):
-    averaged = given(spark, sf_dir, "supplier").agg({"s_acctbal": "avg"})
+    averaged = loaded(spark, sf_dir, "supplier").agg({"s_acctbal": "avg"})
     return averaged.select(F.round(column("avg(s_acctbal)"), 6).alias("avg_salary"))
 
 

@@ -11,6 +11,7 @@ A record is a mapping with ``conn_id``, ``conn_type`` and optionally ``host``, `
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Mapping, Sequence
 
 from lakeload.sources.csv import resolve_path
@@ -103,7 +104,9 @@ def _catalog_type(extra: Mapping) -> str:
 
 def _warehouse(record: Mapping, extra: Mapping, root: str) -> str:
     if record["conn_type"] in LOCAL_TYPES:
-        return resolve_path(extra.get("warehouse_path", DEFAULT_WAREHOUSE), root)
+        # A relative path would mean another folder in each process.
+        path = resolve_path(extra.get("warehouse_path", DEFAULT_WAREHOUSE), root)
+        return path if ":/" in path else os.path.abspath(path)
     if record["conn_type"] in S3_TYPES:
         return f"s3a://{extra.get('bucket', DEFAULT_BUCKET)}/"
     raise ValueError(f"connection {record['conn_id']}: no storage of type {record['conn_type']!r}")
@@ -126,5 +129,5 @@ def _s3a(record: Mapping, extra: Mapping) -> dict[str, str]:
         settings["access.key"] = access_key
         settings["secret.key"] = secret_key
     for name, (suffix, default) in S3_TIMEOUT_EXTRAS.items():
-        settings[suffix] = str(int(extra.get(name, default) * 1000))
+        settings[suffix] = str(int(float(extra.get(name, default)) * 1000))
     return {f"spark.hadoop.fs.s3a.{key}": value for key, value in settings.items()}

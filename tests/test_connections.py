@@ -1,3 +1,4 @@
+import os
 import json
 
 import pytest
@@ -70,7 +71,7 @@ def test_rest_catalog():
     prefix = "spark.sql.catalog.cat."
     assert {k.removeprefix(prefix): v for k, v in properties.items() if k.startswith(prefix)} == {
         "type": "rest",
-        "warehouse": "./warehouse",
+        "warehouse": os.path.abspath("warehouse"),
         "uri": "http://catalog:8181",
         "credential": "id:secret",
         "token": "token",

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lakeload as ll
-from lakeload.operators import daily
+from lakeload.operators import daily, tables
 
 DAY_1, DAY_2 = "2024-11-10", "2024-11-11"
 
@@ -29,7 +29,7 @@ def table(spark, place):
 def test_report(spark, place):
     name = place.table("daily")
     first = ll.load_day(spark.range(10), name, DAY_1)
-    assert first == ll.DayLoad(name, "2024-11-10T00:00:00", 10, "created")
+    assert first == ll.DayLoad(name, "2024-11-10T00:00:00Z", 10, "created")
     assert ll.load_day(spark.range(3), name, DAY_2).operation == "appended"
     again = ll.load_day(spark.range(4), name, DAY_2, mode="overwrite")
     assert (again.operation, again.records_processed) == ("overwritten", 4)
@@ -39,18 +39,18 @@ def test_report(spark, place):
         ("records_processed", "bigint"),
         ("operation", "string"),
     ]
-    assert first.to_df(spark).first()[:] == (name, "2024-11-10T00:00:00", 10, "created")
+    assert first.to_df(spark).first()[:] == (name, "2024-11-10T00:00:00Z", 10, "created")
 
 
 def test_append_twice_adds_twice(spark, table):
     ll.load_day(spark.range(10), table, DAY_2)
-    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 20}
+    assert per_day(spark, table) == {"2024-11-10T00:00:00Z": 10, "2024-11-11T00:00:00Z": 20}
 
 
 def test_overwrite_can_be_repeated(spark, table):
     for _ in range(2):
         ll.load_day(spark.range(7), table, DAY_2, mode="overwrite")
-        assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 7}
+        assert per_day(spark, table) == {"2024-11-10T00:00:00Z": 10, "2024-11-11T00:00:00Z": 7}
 
 
 def test_overwrite_leaves_the_session_setting_alone(spark, table):
@@ -74,14 +74,14 @@ def test_overwrite_with_nothing_empties_the_day(spark, table, zone, zone_name, d
 def test_overwrite_from_the_table_itself(spark, table):
     kept = ll.day_slice(spark.table(table), DAY_2).filter("id < 2").drop("logical_date")
     ll.load_day(kept, table, DAY_2, mode="overwrite")
-    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 2}
+    assert per_day(spark, table) == {"2024-11-10T00:00:00Z": 10, "2024-11-11T00:00:00Z": 2}
 
 
 @pytest.mark.parametrize("mode", ["append", "overwrite"])
 def test_failed_load_changes_nothing(spark, table, mode):
     with pytest.raises(Exception, match="boom"):
         ll.load_day(failing(spark.range(10)), table, DAY_2, mode=mode)
-    assert per_day(spark, table) == {"2024-11-10T00:00:00": 10, "2024-11-11T00:00:00": 10}
+    assert per_day(spark, table) == {"2024-11-10T00:00:00Z": 10, "2024-11-11T00:00:00Z": 10}
 
 
 def test_failed_first_load_creates_nothing(spark, place):
@@ -117,7 +117,7 @@ def test_evolution(spark, table):
 def test_a_logical_date_column_in_the_input_is_replaced(spark, table):
     rows = spark.table(table).filter("id = 0")
     ll.load_day(rows, table, "2024-11-12")
-    assert per_day(spark, table)["2024-11-12T00:00:00"] == 2
+    assert per_day(spark, table)["2024-11-12T00:00:00Z"] == 2
 
 
 def test_sessions_in_other_zones_see_the_same_instants(spark, place, zone):
@@ -129,10 +129,10 @@ def test_sessions_in_other_zones_see_the_same_instants(spark, place, zone):
     ll.load_day(spark.range(3), name, "2024-11-03T06:30:00Z")
     ll.load_day(spark.range(4), name, "2024-11-10")
     expected = {
-        "2024-11-10T00:00:00": 1,
-        "2024-11-03T05:30:00": 2,
-        "2024-11-03T06:30:00": 3,
-        "2024-11-10T05:00:00": 4,
+        "2024-11-10T00:00:00Z": 1,
+        "2024-11-03T05:30:00Z": 2,
+        "2024-11-03T06:30:00Z": 3,
+        "2024-11-10T05:00:00Z": 4,
     }
     assert per_day(spark, name) == expected
     assert ll.day_slice(spark.table(name), "2024-11-10").count() == 4
@@ -167,9 +167,9 @@ def test_overwrite_in_a_table_made_elsewhere(spark, place, zone):
     for day in (DAY_1, DAY_2):
         ll.load_day(spark.range(10), name, day)
     ll.load_day(spark.range(3), name, DAY_2, mode="overwrite")
-    assert per_day(spark, name) == {"2024-11-10T05:00:00": 10, "2024-11-11T05:00:00": 3}
+    assert per_day(spark, name) == {"2024-11-10T05:00:00Z": 10, "2024-11-11T05:00:00Z": 3}
     ll.load_day(spark.range(0), name, DAY_2, mode="overwrite")
-    assert per_day(spark, name) == {"2024-11-10T05:00:00": 10}
+    assert per_day(spark, name) == {"2024-11-10T05:00:00Z": 10}
 
 
 def test_bad_arguments(spark, table):
@@ -216,7 +216,7 @@ def test_rows_are_counted_once_after_a_shuffle(spark, table):
     spread = skewed.repartition(4, "id")
     done = ll.load_day(spread, table, "2024-11-12")
     assert done.records_processed == 9000
-    assert per_day(spark, table)["2024-11-12T00:00:00"] == 9000
+    assert per_day(spark, table)["2024-11-12T00:00:00Z"] == 9000
 
 
 @pytest.mark.parametrize("mode", ["append", "overwrite"])
@@ -266,7 +266,8 @@ def calls(monkeypatch):
         def overwrite(self, condition):
             self._write(f"overwrite {condition._jc.toString()}")
 
-    monkeypatch.setattr(daily, "in_builtin_catalog", lambda spark, table: False)
+    for module in (daily, tables):
+        monkeypatch.setattr(module, "in_builtin_catalog", lambda spark, table: False)
     monkeypatch.setattr(
         "pyspark.sql.classic.dataframe.DataFrame.writeTo", lambda df, table: Writer(df, table)
     )

@@ -83,7 +83,7 @@ def test_employees_on_two_days(spark, place, csv):
     first = ll.daily_load(spark, path, table, "2024-11-10").first()
     assert first.asDict() == {
         "table_name": table,
-        "logical_date": "2024-11-10T00:00:00",
+        "logical_date": "2024-11-10T00:00:00Z",
         "records_processed": 10,
         "operation": "created",
     }

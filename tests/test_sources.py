@@ -40,11 +40,49 @@ def test_null_empty_and_quoted_cells(spark, csv):
 
 
 def test_schema_is_matched_by_name(spark, csv):
-    df = ll.load_csv(spark, csv("B,a\n1,2\n"), schema="z string, a bigint, b double")
+    path = csv("B,a\n1,2\n")
+    df = ll.load_csv(spark, path, schema="a bigint, b double")
     assert df.dtypes == [("B", "double"), ("a", "bigint")]
     assert df.first()[:] == (1.0, 2)
 
 
+def test_column_missing_from_the_file(spark, csv):
+    path, schema = csv("b,a\n1,2\n"), "z string, a bigint, b double"
+    with pytest.raises(ValueError, match="'z'"):
+        ll.load_csv(spark, path, schema=schema)
+    df = ll.load_csv(spark, path, schema=schema, missing="null")
+    assert df.dtypes == [("b", "double"), ("a", "bigint"), ("z", "string")]
+    assert df.first()[:] == (1.0, 2, None)
+    assert ll.load_csv(spark, path, schema=schema, missing="drop").columns == ["b", "a"]
+    with pytest.raises(ValueError, match="missing"):
+        ll.load_csv(spark, path, schema=schema, missing="maybe")
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "4"])
+@pytest.mark.parametrize("schema", [None, "a int, b int"])
+def test_too_many_or_too_few_cells(spark, csv, row, schema):
+    path = csv(f"a,b\n{row}\n5,6\n")
+    with pytest.raises(Exception, match="Malformed"):
+        ll.load_csv(spark, path, schema=schema).collect()
+
+
+def test_bad_rows_can_be_kept(spark, csv):
+    path = csv("a,b\n1,2\nx,3\n4\n5,6,7\n")
+    schema = "a int, b int, _corrupt_record string"
+    df = ll.load_csv(spark, path, schema=schema, mode="PERMISSIVE")
+    rows = sorted((r[0] or 0, r[1] or 0, r[2] or "") for r in df.collect())
+    assert [r[2] for r in rows if not r[2]] == [""]
+    assert sorted(r[2] for r in rows if r[2]) == ["4", "5,6,7", "x,3"]
+    named = ll.load_csv(
+        spark,
+        path,
+        schema="a int, b int, bad string",
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord="bad",
+    )
+    assert sum(row.bad is not None for row in named.collect()) == 3
+
+
 def test_column_missing_from_the_schema(spark, csv):
     path = csv("a,b,c\n1,2.5,x\n")
     with pytest.raises(ValueError, match="'b', 'c'"):
@@ -67,12 +105,24 @@ def test_files_with_different_headers(spark, csv):
         ll.load_csv(spark, path, schema="a int, b int").collect()
 
 
-@pytest.mark.parametrize("header, names", [(",a,b", ["_c0", "a", "b"]), ("x,x,b", ["x0", "x1", "b"])])
-def test_headers_spark_renames(spark, csv, header, names):
-    path = csv(f"{header}\n1,2,3\n")
-    inferred = ll.load_csv(spark, path)
-    assert inferred.columns == names
-    assert ll.load_csv(spark, path, schema=inferred.schema).first()[:] == (1, 2, 3)
+@pytest.mark.parametrize("header", [",a,b", "x,x,b", "a,b,a"])
+def test_empty_and_doubled_header_cells(spark, csv, header):
+    path = csv(f"{header}\n1,2,3\n", name="one")
+    for schema in (None, "a int, b int, c int"):
+        with pytest.raises(ValueError, match="names="):
+            ll.load_csv(spark, path, schema=schema)
+    named = ll.load_csv(spark, path, names=["c", "a", "b"])
+    assert (named.columns, named.first()[:]) == (["c", "a", "b"], (1, 2, 3))
+    typed = ll.load_csv(spark, path, names=["c", "a", "b"], schema="a bigint, b double, c string")
+    assert typed.first()[:] == ("1", 2, 3.0)
+    with pytest.raises(ValueError, match="distinct"):
+        ll.load_csv(spark, path, names=["c", "C", "b"])
+
+
+def test_doubled_header_cells_over_two_files(spark, csv):
+    path = csv("a,b,a\n1,2,3\n", "b,a,a\n4,5,6\n")
+    with pytest.raises(ValueError, match="names="):
+        ll.load_csv(spark, path)
 
 
 def test_numbered_names_are_still_checked(spark, csv):
