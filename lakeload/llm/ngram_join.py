@@ -7,8 +7,9 @@ ordered by size, cut to blocks, and compared block by block with bitmaps of thei
 which two bitmaps differ bound the overlap from above. What passes is decided by intersecting the
 sorted sets.
 
-So that a large group of near copies is not compared pair by pair, every node is first compared
-with at most two others of its tiles; after that only nodes not yet connected are.
+So that a large group of near copies is not compared pair by pair, every node is first held against
+the likeliest of its tiles, then every component against the likeliest other, a few times; after that
+only nodes not yet connected are compared.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ COUNTED_LEAST = 6
 #: So many of the most frequent shingles are told to all tasks: half a megabyte.
 FREQUENT = 1 << 16
 BLOCK = 1024
+#: So often at most, components look for their likeliest links before all pairs that are left over
+#: are compared. It changes what the join costs, never its result.
+TURNS = 6
 #: Ids of documents to look up are broadcast up to this many (32 MB), beyond that joined.
 BROADCAST_IDS = 2_000_000
 
@@ -160,7 +164,17 @@ def _labelled(rows: DataFrame, words: int, per_cent: int) -> DataFrame:
 
     links = _verified(rows, nodes, _first_pairs(tiles, nodes, per_cent), words, per_cent)
     links = stored(links, "links")
-    rest = _other_pairs(tiles, nodes, components(links), per_cent)
+    roots = stored(components(links), "roots")
+    apart = stored(_apart(tiles, roots), "apart")
+    for turn in range(TURNS):
+        pairs = _hub_pairs(apart, nodes, per_cent, turn)
+        new = stored(_verified(rows, nodes, pairs, words, per_cent), "links")
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        roots = stored(components(links), "roots")
+        apart = stored(_apart(apart.drop("root"), roots), "apart")
+    rest = _other_pairs(apart, nodes, per_cent)
     more = stored(_verified(rows, nodes, rest, words, per_cent), "links")
     roots = components(links.unionByName(more))
 
@@ -308,18 +322,13 @@ def _first_pairs(tiles: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame
     shared = able.groupBy("kind", "x", "y").agg(F.count("*").alias("shared"))
     most = F.max_by(F.struct("y", "shared"), F.struct("shared", "y")).alias("most")
     best = shared.groupBy("kind", "x").agg(most).select("x", "most.y", "most.shared").distinct()
-    bits = nodes.select("node", "n", "bits")
-    first, second = (
-        bits.withColumnsRenamed({"node": end, "n": f"n_{end}", "bits": f"bits_{end}"})
-        for end in ("x", "y")
-    )
-    able = best.join(first, "x").join(second, "y").mapInArrow(
-        lambda batches: _not_ruled_out(batches, per_cent), "x bigint, y bigint, shared bigint"
-    )
+    able = _able(best, nodes, per_cent)
     return able.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
 
 
-def _not_ruled_out(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator[pa.RecordBatch]:
+def _not_ruled_out(
+    batches: Iterator[pa.RecordBatch], names: list[str], per_cent: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for n, m, a, b in zip(
@@ -329,19 +338,56 @@ def _not_ruled_out(batches: Iterator[pa.RecordBatch], per_cent: int) -> Iterator
             one, two = (folded(np.frombuffer(bits, np.uint8)[None, :], width) for bits in (a, b))
             differ = int(np.bitwise_count(one ^ two).sum())
             keep.append((n + m - differ) // 2 >= least_overlap(n, m, per_cent))
-        yield batch.select(["x", "y", "shared"]).filter(pa.array(keep, pa.bool_()))
+        yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
 
-def _other_pairs(
-    tiles: DataFrame, nodes: DataFrame, joined: DataFrame, per_cent: int
-) -> DataFrame:
-    """Pairs of a tile that are not connected yet and that their bitmaps do not rule out."""
-    rooted = tiles.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _apart(tiles: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of tiles whose nodes are not all connected, with ``root``."""
+    rooted = tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tile = Window.partitionBy("token")
-    apart = rooted.withColumn("low", F.min("root").over(tile)).withColumn(
-        "high", F.max("root").over(tile)
+    ends = {"low": F.min("root").over(tile), "high": F.max("root").over(tile)}
+    return rooted.withColumns(ends).filter("low <> high").drop("low", "high")
+
+
+def _hub_pairs(apart: DataFrame, nodes: DataFrame, per_cent: int, turn: int) -> DataFrame:
+    """For each component its likeliest link to another.
+
+    Each node of a tile is held against one node of another component: all against the same, which
+    turns choose anew, or if that is in their own, against one that is not.
+    """
+    # Sizes within a band differ by less than similar sets may; bands lie differently each turn.
+    band = F.floor(F.log("n") / np.log(100 / per_cent) + (turn % 2) / 2)
+    near = apart.withColumn("band", band)
+    tile = Window.partitionBy("token", "band")
+    one = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")
+    near = near.withColumn("first", F.min(one).over(tile))
+    other = F.min(F.when(F.col("root") != F.col("first.root"), one)).over(tile)
+    near = near.withColumn("second", other)
+    near = near.withColumn(
+        "hub", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second"))
+    ).filter("hub IS NOT NULL")
+    pairs = near.select(F.col("node").alias("x"), F.col("hub.node").alias("y"), "root")
+    shared = pairs.groupBy("x", "y", "root").agg(F.count("*").alias("shared"))
+    able = _able(shared, nodes, per_cent)
+    best = F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("best")
+    return able.groupBy("root").agg(best).select("best.x", "best.y")
+
+
+def _able(pairs: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs of ``x`` and ``y`` that their bitmaps do not rule out; ``shared`` and others stay."""
+    bits = nodes.select("node", "n", "bits")
+    first, second = (
+        bits.withColumnsRenamed({"node": end, "n": f"n_{end}", "bits": f"bits_{end}"})
+        for end in ("x", "y")
     )
-    apart = apart.filter("low <> high").drop("low", "high")
+    joined = pairs.join(first, "x").join(second, "y")
+    schema = pairs.schema
+    return joined.mapInArrow(lambda b: _not_ruled_out(b, schema.names, per_cent), schema)
+
+
+def _other_pairs(apart: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs of a tile that are not connected yet and that their bitmaps do not rule out."""
+    tile = Window.partitionBy("token")
     placed = apart.withColumns(
         {
             "block": F.floor((F.row_number().over(tile.orderBy("n", "node")) - 1) / BLOCK).cast("int"),
