@@ -87,7 +87,8 @@ def _gains(counts, after, before, own, classes) -> np.ndarray:
     cell = counts[k, k]
     gain -= _xlogx(cell + after[k]) + _xlogx(cell + before[k]) - 2 * _xlogx(cell)
     gain += _xlogx(cell + after[k] + before[k] + own) - _xlogx(cell)
-    out, into = rows.sum(axis=1), columns.sum(axis=1)
+    # Its neighbours count it in their sums wherever it goes.
+    out, into = rows.sum(axis=1) + before[:classes], columns.sum(axis=1) + after[:classes]
     gain -= _xlogx(out + after.sum() + own) - _xlogx(out)
     gain -= _xlogx(into + before.sum() + own) - _xlogx(into)
     return gain

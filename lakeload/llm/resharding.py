@@ -31,7 +31,7 @@ def min_cost_flow(
     old = [i for i in sorted(supplies) if supplies[i]]
     new = list(range(len(capacities)))
     source, sink = ("source", 0), ("sink", 0)
-    graph: dict[tuple, dict[tuple, list[int]]] = {}
+    graph: dict[tuple, dict[tuple, list[int]]] = {source: {}, sink: {}}
 
     def edge(a, b, room, cost):
         graph.setdefault(a, {})[b] = [room, cost]
