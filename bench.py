@@ -136,6 +136,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 "cpus": int(CPUS),
+                "runs": RUNS,
                 "lineitem_csv_load": loads,
             }
         )

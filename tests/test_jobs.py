@@ -1,6 +1,6 @@
 """The three jobs on the small files with known results."""
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from golden import EMPLOYEES, PRODUCTS, USERS
@@ -67,6 +67,74 @@ def test_refresh_again_replaces(spark, place, csv):
     assert spark.table(table).count() == 3
 
 
+@pytest.mark.parametrize(
+    "change, error",
+    [
+        (lambda text: text.replace(",salary,", ",pay,"), "'salary'"),
+        (lambda text: text.replace(",95000,", ",n/a,"), "Malformed|MALFORMED"),
+    ],
+)
+def test_a_refresh_that_does_not_fit_leaves_the_table(spark, place, csv, change, error):
+    table = place.table("users")
+    before = ll.refresh_users(spark, csv(USERS, name="first"), table)
+    rows = sorted(map(tuple, spark.table(table).collect()))
+    with pytest.raises(Exception, match=error):
+        ll.refresh_users(spark, csv(change(USERS), name="second"), table)
+    assert sorted(map(tuple, spark.table(table).collect())) == rows
+    assert [t.name for t in spark.catalog.listTables(place.database)] == ["users"]
+    assert before.first().total_users == 8  # figures stay readable
+
+
+def test_text_where_numbers_are_needed(spark, place, csv):
+    table = place.table("users")
+    ll.refresh_users(spark, csv(USERS, name="first"), table)
+    with pytest.raises(ValueError, match="needs numbers"):
+        text = USERS.replace(",95000,", ",n/a,")
+        ll.refresh_users(spark, csv(text, name="second"), table, infer=True)
+    assert spark.table(table).count() == 8
+
+
+def test_a_failing_aggregate_leaves_the_table(spark, place, csv):
+    table, stats = place.table("t"), {"total": ("sum", "n")}
+    ll.refresh_and_profile(spark, csv("n\n5\n", name="one"), table, stats, schema="n bigint")
+    most = 2**63 - 1
+    with pytest.raises(Exception, match="(?i)overflow"):
+        path = csv(f"n\n{most}\n{most}\n", name="two")
+        ll.refresh_and_profile(spark, path, table, stats)
+    assert spark.table(table).first()[0] == 5
+
+
+def test_figures_outlive_the_next_refresh(spark, place, csv):
+    table = place.table("users")
+    first = ll.refresh_users(spark, csv(USERS, name="first"), table)
+    fewer = "".join(USERS.splitlines(keepends=True)[:4])
+    ll.refresh_users(spark, csv(fewer, name="second"), table)
+    ll.purge(spark, table, timedelta(0))
+    assert first.first().total_users == 8
+
+
+def test_a_second_refresh_takes_its_types_from_the_table(spark, place, csv):
+    table = place.table("users")
+    ll.refresh_users(spark, csv(USERS, name="first"), table)
+    status = spark.sparkContext.statusTracker()
+    jobs = {}
+    for name, infer in (("second", False), ("third", True)):
+        spark.sparkContext.setJobGroup(name, name)
+        ll.refresh_users(spark, csv(USERS, name=name), table, infer=infer)
+        jobs[name] = len(status.getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert jobs["second"] < jobs["third"]
+
+
+def test_days_become_wider(spark, place, csv):
+    table = place.table("prices")
+    for day, cell in (("2024-11-10", "2"), ("2024-11-11", "2.5"), ("2024-11-12", "3")):
+        path = csv(f"price\n{cell}\n", name=day)
+        ll.daily_load(spark, path, table, f"{day}T00:00:00Z", evolve=True)
+    assert dict(spark.table(table).dtypes)["price"] == "double"
+    assert sorted(r.price for r in spark.table(table).collect()) == [2.0, 2.5, 3.0]
+
+
 def test_empty_file_gives_nulls_not_errors(spark, place, csv):
     header = USERS.splitlines(keepends=True)[0]
     schema = "user_id string, name string, age int, department string, salary int, join_date date"

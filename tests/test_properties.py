@@ -127,3 +127,21 @@ def test_any_order_of_daily_loads(spark, loads):
     assert {day: ll.day_slice(stored, day).count() for day in held} == held
     assert stored.count() == sum(held.values())
     place.drop(spark)
+
+
+@pytest.mark.parametrize("name", ["UTC", "America/New_York", "Asia/Kathmandu"])
+@settings(few, max_examples=4)
+@given(day=st.sampled_from(["2024-11-10", "2024-03-10 02:30:00", "2024-11-03 01:30:00.250"]))
+def test_a_reported_date_finds_the_same_rows(spark, zone, name, day):
+    from lakeload.workspace import new_workspace
+
+    zone(name)
+    place = new_workspace(spark)
+    table = place.table("daily")
+    done = ll.load_day(spark.range(5), table, day)
+    assert ll.day_slice(spark.table(table), done.logical_date).count() == 5
+    zone("Europe/Berlin")  # in any other session too
+    again = ll.load_day(spark.range(3), table, done.logical_date, mode="overwrite")
+    assert again.logical_date == done.logical_date
+    assert spark.table(table).count() == 3
+    place.drop(spark)
