@@ -40,7 +40,7 @@ FREQUENT = 1 << 16
 BLOCK = 1024
 #: So often at most, components look for their likeliest links before all pairs that are left over
 #: are compared. It changes what the join costs, never its result.
-TURNS = 6
+TURNS = 2
 #: Ids of documents to look up are broadcast up to this many (32 MB), beyond that joined.
 BROADCAST_IDS = 2_000_000
 
