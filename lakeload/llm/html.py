@@ -47,6 +47,15 @@ _SIDE_WORDS = set(
     "navigation newsletter notice notices pager pagination popup promo promoted promotion related "
     "replies search share sharing sidebar skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that also name parts of an article: within one they tell nothing by themselves.
+_DOUBTFUL_WORDS = set(
+    "banner header login masthead menu notice notices promoted related search skip social widget".split()
+)
+#: Elements that hold an article's own text, whatever words their names have.
+_TEXT_ELEMENTS = set(
+    "section h1 h2 h3 h4 h5 h6 hgroup p ul ol li dl dt dd table tbody thead tfoot tr td th "
+    "blockquote pre figure figcaption details summary".split()
+)
 _NEVER_ON_ARTICLES = {"comment", "comments", "replies", "ad", "ads", "advert", "related", "promo"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -62,7 +71,8 @@ class Block:
     """Text between two boundaries of blocks.
 
     ``path`` names the elements around it, ``parent`` all but the innermost; ``side`` tells that
-    one of them is not part of an article, ``article`` that one is an article.
+    one of them is not part of an article, ``article`` that one is an article. ``doubts`` are paths
+    of those that are not part of one if most pages of the host have them.
     """
 
     text: str
@@ -70,6 +80,7 @@ class Block:
     parent: str
     side: bool
     article: bool
+    doubts: tuple[str, ...] = ()
 
 
 @dataclass
@@ -79,6 +90,7 @@ class _Open:
     side: bool
     article: bool
     header: bool
+    doubt: bool = False
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -88,21 +100,43 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+def _named(tag: str, attributes: dict[str, str], in_article: bool) -> tuple[bool, bool]:
+    """Whether an element's names tell that it is no part of an article, and whether they may.
+
+    A name tells it if all its words do: ``share`` and ``ad-1``, but not ``section-header``. Where
+    only some do, or within an article only doubtful ones, or the element is one of an article's
+    own text, it takes the template to confirm it; ids of the latter are links to them and tell
+    nothing.
+    """
+    names = attributes.get("class", "").lower().split()
+    if tag not in _TEXT_ELEMENTS:
+        names += attributes.get("id", "").lower().split()
+    sure = doubt = False
+    for name in names:
+        words = [word for word in _SPLIT.split(name) if word and not word.isdigit()]
+        telling = [word for word in words if word in _SIDE_WORDS]
+        doubt = doubt or bool(telling)
+        whole = len(telling) == len(words) > 0
+        sure = sure or whole and not (in_article and all(word in _DOUBTFUL_WORDS for word in words))
+    return sure and tag not in _TEXT_ELEMENTS, doubt
+
+
 def _opened(tag: str, source: str, around: _Open | None) -> _Open:
     attributes = _attributes(source) if source.strip(" /") else {}
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    words = set(_SPLIT.split(names))
     role = attributes.get("role", "").lower()
     main = tag in ("article", "main") or role in ("main", "article")
     in_article = bool(around and around.article)
-    if tag in ("html", "body"):
-        side = False
-    elif main:
-        side = bool(words & _NEVER_ON_ARTICLES)
-    else:
-        side = tag in _SIDE or role in _SIDE_ROLES or bool(words & _SIDE_WORDS)
+    side = doubt = header = False
+    if main:
+        side = bool(set(_SPLIT.split(names)) & _NEVER_ON_ARTICLES)
+    elif tag not in ("html", "body"):
+        sure, doubt = _named(tag, attributes, in_article) if attributes else (False, False)
+        side = tag in _SIDE or role in _SIDE_ROLES or sure
+        # What heads an article or a section is not page furniture, however many pages have it.
+        header = tag == "header" or (in_article and "header" in _SPLIT.split(names) and not side)
+    doubt = doubt and not side and not header
     side = side or "hidden" in attributes
-    header = tag == "header"
     side = side or (header and not in_article)
     name = ".".join([tag, *sorted(names.split())])
     return _Open(
@@ -110,7 +144,8 @@ def _opened(tag: str, source: str, around: _Open | None) -> _Open:
         name,
         bool(around and around.side) or side,
         in_article or main,
-        bool(around and around.header) or header,
+        bool(around and around.header) or tag == "header",
+        doubt,
     )
 
 
@@ -137,6 +172,7 @@ def blocks(page: str | None) -> list[Block]:
                 "/".join(names[:-1]),
                 bool(top and top.side) or lost,
                 bool(top and top.article),
+                tuple("/".join(names[: k + 1]) for k, o in enumerate(stack) if o.doubt),
             )
         )
 
@@ -167,7 +203,8 @@ def blocks(page: str | None) -> list[Block]:
                     _close(stack, tag)
             elif tag not in _VOID:
                 mark = _opened(tag, match[3], stack[-1] if stack else None)
-                if mark.side and not (stack and stack[-1].side) and not match[3].endswith("/"):
+                telling = mark.side and not (stack and stack[-1].side)
+                if (telling or mark.doubt) and not match[3].endswith("/"):
                     end_block()
                     stack.append(mark)
             continue
@@ -231,11 +268,11 @@ def main_text(page: str | None, template: list[int], main: int | None) -> str:
     Inside elements marked as an article all text counts. Pages without such take the blocks of the
     container that ``main`` names, or if it has none any, less what ``template`` has word for word.
     """
-    found = [block for block in blocks(page) if not block.side]
+    known = set(template)
+    found = [b for b in blocks(page) if not b.side and not any(_hashed(d) in known for d in b.doubts)]
     article = [block.text for block in found if block.article]
     if article:
         return "\n".join(article)
-    known = set(template)
     own = [block for block in found if _hashed(block.path, block.text) not in known]
     inside = [block for block in own if _hashed(block.parent) == main]
     return "\n".join(block.text for block in inside or own)

@@ -62,3 +62,25 @@ def test_awkward_pages(spark):
     assert dict(found)[3].count("\n") == 19_999
     assert all(r.n_chars == len(r.text) for r in out.collect())
     assert extract_text(pages(spark, [])).count() == 0
+
+
+PARTS = """<h2 id="related-work">Related work</h2><section id="search-methods"><p>How we searched</p></section>
+<div class="section-header"><h2>Results</h2></div><section class="social-impact"><p>Impact</p></section>
+<div class="notice"><p>Mind the gap</p></div><p class="share-price">Shares fell</p>"""
+
+
+def test_words_in_names_of_parts_do_not_lose_them():
+    wanted = "Related work\nHow we searched\nResults\nImpact\nMind the gap\nShares fell"
+    assert main_text(f"<article>{PARTS}<div class='share'>Share</div></article>", [], None) == wanted
+
+
+def test_templates_confirm_words_in_names(spark):
+    """A doubtful class on all pages of a host is no part of its articles, on one page it is."""
+    rows = []
+    for n in range(6):
+        only = "<div class='related-cases'><p>A case</p></div>" if n == 0 else ""
+        more = f"<div class='related-stories'><p>Read story {n + 1}</p></div>"
+        html = f"<body><div><article><h1>Story {n}</h1><p>Text {n}</p>{only}{more}</article></div></body>"
+        rows.append((n, f"http://h.example/{n}", html))
+    found = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert found == {n: f"Story {n}\nText {n}" + ("\nA case" if n == 0 else "") for n in range(6)}
