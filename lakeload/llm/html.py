@@ -2,9 +2,11 @@
 
 A page is a sequence of tokens: its elements, by their path, and its pieces of text, by path and
 wording. Tokens of a host that occur equally often on every page have the same occurrence vector
-and make an equivalence class; a class that is large and that most pages have belongs to the
-template. Classes nest as their paths do. What fills the slots of a template differs from page to
-page: the text, and elsewhere menus, adverts and the like, which their elements give away.
+and make an equivalence class; a large one is valid if the classes of the elements around its tokens
+lie one within the other, and its text belongs to the template if most pages that have its element
+have it. What fills the slots of a template differs from page to page: the text, and elsewhere
+menus, adverts and the like, which their elements give away. A page goes down from slot to slot as
+long as one holds most, so pages of several layouts each come to their own.
 """
 
 from __future__ import annotations
@@ -12,9 +14,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,12 +25,16 @@ from pyspark.sql import functions as F
 from lakeload.llm.storage import stored
 from lakeload.names import column
 
-#: A class is part of a template if this share of a host's pages has it, and so many pages do, and
-#: so many tokens are in it.
+#: Text is part of a template if this share of the pages that have its element has it, and so many
+#: pages do, and so many tokens are in its class.
 SHARE = 0.5
 LEAST_PAGES = 3
 LEAST_TOKENS = 4
-#: Templates of so many hosts are broadcast, at most twice a page's tokens each; beyond, joined.
+#: A layout of its own has this share of a host's pages.
+LAYOUT = 0.1
+#: The slot within a slot that has this share of its text holds the article.
+MOST = 0.75
+#: Templates of so many hosts are broadcast, at most ten times a page's tokens each; beyond, joined.
 BROADCAST_HOSTS = 20_000
 
 # Elements by what they do to text.
@@ -57,6 +63,8 @@ _TEXT_ELEMENTS = set(
     "blockquote pre figure figcaption details summary".split()
 )
 _NEVER_ON_ARTICLES = {"comment", "comments", "replies", "ad", "ads", "advert", "related", "promo"}
+# Elements that can be the slot an article is in, where a page has them once.
+_SLOTS = {"html", "body", "main", "article", "section", "div", "center", "td"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TAG = re.compile(
@@ -64,20 +72,21 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/]+)")
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 @dataclass(frozen=True)
 class Block:
     """Text between two boundaries of blocks.
 
-    ``path`` names the elements around it, ``parent`` all but the innermost; ``side`` tells that
-    one of them is not part of an article, ``article`` that one is an article. ``doubts`` are paths
+    ``path`` names the elements around it, and ``elements`` tells those of the same path apart;
+    ``side`` tells that one of them is not part of an article, ``article`` that one is an article. ``doubts`` are paths
     of those that are not part of one if most pages of the host have them.
     """
 
     text: str
     path: str
-    parent: str
+    elements: tuple[int, ...]
     side: bool
     article: bool
     doubts: tuple[str, ...] = ()
@@ -91,6 +100,7 @@ class _Open:
     article: bool
     header: bool
     doubt: bool = False
+    number: int = 0
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -138,10 +148,9 @@ def _opened(tag: str, source: str, around: _Open | None) -> _Open:
     doubt = doubt and not side and not header
     side = side or "hidden" in attributes
     side = side or (header and not in_article)
-    name = ".".join([tag, *sorted(names.split())])
     return _Open(
         tag,
-        name,
+        _path_name(tag, attributes) if attributes else tag,
         bool(around and around.side) or side,
         in_article or main,
         bool(around and around.header) or tag == "header",
@@ -149,6 +158,20 @@ def _opened(tag: str, source: str, around: _Open | None) -> _Open:
     )
 
 
+def _path_name(tag: str, attributes: dict[str, str]) -> str:
+    """An element's name in paths: what tells elements of a page apart, but not pages.
+
+    Numbers in classes count as equal. Ids with a number or of many words are of one page, as are
+    those of an article and of its own elements.
+    """
+    names = sorted({_DIGITS.sub("0", name) for name in attributes.get("class", "").lower().split()})
+    own = attributes.get("id", "").lower()
+    if own and tag not in _TEXT_ELEMENTS and tag != "article":
+        if not _DIGITS.search(own) and len(_SPLIT.split(own)) <= 2:
+            names.append("#" + "".join(own.split()))
+    return ".".join([tag, *names]).replace("/", "_")
+
+
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page, in order; markup that is not closed ends with what is around it."""
     page = page or ""
@@ -169,7 +192,7 @@ def blocks(page: str | None) -> list[Block]:
             Block(
                 text,
                 "/".join(names),
-                "/".join(names[:-1]),
+                tuple(o.number for o in stack),
                 bool(top and top.side) or lost,
                 bool(top and top.article),
                 tuple("/".join(names[: k + 1]) for k, o in enumerate(stack) if o.doubt),
@@ -206,6 +229,7 @@ def blocks(page: str | None) -> list[Block]:
                 telling = mark.side and not (stack and stack[-1].side)
                 if (telling or mark.doubt) and not match[3].endswith("/"):
                     end_block()
+                    mark.number = match.start()
                     stack.append(mark)
             continue
         end_block()
@@ -214,6 +238,7 @@ def blocks(page: str | None) -> list[Block]:
         elif tag != "hr":
             _make_room(stack, tag)
             stack.append(_opened(tag, match[3], stack[-1] if stack else None))
+            stack[-1].number = match.start()
     end_block()
     return found
 
@@ -250,23 +275,43 @@ def _hashed(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def tokens(found: list[Block]) -> Counter:
-    """How often each token occurs: ``(token, parent, characters)``, the last two for text."""
-    counted: Counter = Counter()
+@lru_cache(maxsize=1 << 14)
+def _chain(path: str) -> tuple[tuple[int, bool], ...]:
+    """The tokens of the elements of a path, from the outermost on, and whether each can be a slot."""
+    names = path.split("/") if path else []
+    tags = (name.partition(".")[0] for name in names)
+    return tuple((_hashed("/".join(names[: k + 1])), tag in _SLOTS) for k, tag in enumerate(tags))
+
+
+def tokens(found: list[Block]) -> dict[int, list[int]]:
+    """Of each token: how often it occurs, the element around it (0 if none), its characters, and
+    whether it is text (0), an element (1), or one that can be a slot (2). An element has all
+    characters below it that may be an article's."""
+    counted: dict[int, list[int]] = {}
+    met: set[int] = set()
     for block in found:
-        path = block.path.split("/")
-        counted.update((_hashed("/".join(path[: k + 1])), None, 0) for k in range(len(path)))
+        around = 0
+        chars = 0 if block.side or block.doubts else len(block.text)
+        for (token, slot), number in zip(_chain(block.path), block.elements, strict=True):
+            entry = counted.setdefault(token, [0, around, 0, 2 if slot else 1])
+            if number not in met:
+                met.add(number)
+                entry[0] += 1
+            entry[2] += chars
+            around = token
         if not block.side:
-            chars = len(block.text)
-            counted[_hashed(block.path, block.text), _hashed(block.parent), chars] += 1
+            entry = counted.setdefault(_hashed(block.path, block.text), [0, around, 0, 0])
+            entry[0] += 1
+            entry[2] += chars
     return counted
 
 
-def main_text(page: str | None, template: list[int], main: int | None) -> str:
+def main_text(page: str | None, template: list[int], slots: dict[int, float] | None) -> str:
     """A page's article.
 
-    Inside elements marked as an article all text counts. Pages without such take the blocks of the
-    container that ``main`` names, or if it has none any, less what ``template`` has word for word.
+    Inside elements marked as an article all text counts. Pages without such take all blocks below
+    the slot that holds the article, less what ``template`` has word for word. ``slots`` has the
+    characters that pages have in each, on average.
     """
     known = set(template)
     found = [b for b in blocks(page) if not b.side and not any(_hashed(d) in known for d in b.doubts)]
@@ -274,8 +319,26 @@ def main_text(page: str | None, template: list[int], main: int | None) -> str:
     if article:
         return "\n".join(article)
     own = [block for block in found if _hashed(block.path, block.text) not in known]
-    inside = [block for block in own if _hashed(block.parent) == main]
-    return "\n".join(block.text for block in inside or own)
+    return "\n".join(block.text for block in _in_slot(own, slots or {}))
+
+
+def _in_slot(found: list[Block], slots: dict[int, float]) -> list[Block]:
+    """The blocks below the innermost slot that holds most of what is in each slot around it."""
+    chains = [[token for token, _ in _chain(block.path) if token in slots] for block in found]
+    inside, depth = list(range(len(found))), 0
+    while True:
+        below: dict[int, list[int]] = {}
+        rest = 0
+        for k in inside:
+            if len(chains[k]) > depth:
+                below.setdefault(chains[k][depth], []).append(k)
+            else:
+                rest += len(found[k].text)
+        total = rest + sum(slots[token] for token in below)
+        largest = max(below, key=lambda token: (slots[token], token), default=None)
+        if largest is None or slots[largest] < MOST * total:
+            return [found[k] for k in inside]
+        inside, depth = below[largest], depth + 1
 
 
 def _host(url: Column) -> Column:
@@ -284,9 +347,9 @@ def _host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per ``host``: ``template``, the tokens of its template, and ``main``, the container with the
-    most text outside it. ``pages`` has ``host``, ``page`` (a hash) and ``html``."""
-    schema = "host string, token bigint, parent bigint, chars int, cell bigint"
+    """Per ``host``: ``template``, the text of its template and the elements that most pages have,
+    and ``slots`` with the characters that pages have in each, ``sizes``, on average. ``pages`` has
+    ``host``, ``page`` (a hash) and ``html``; hosts of few pages are left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,34 +357,108 @@ def templates(pages: DataFrame) -> DataFrame:
             columns = (batch.column(name) for name in ("host", "page", "html"))
             for host, page, source in zip(*columns, strict=True):
                 name, key = host.as_py(), page.as_py()
-                for (token, parent, chars), n in tokens(blocks(source.as_py())).items():
+                for token, (n, around, chars, kind) in tokens(blocks(source.as_py())).items():
                     # A number that stands for this page and this count.
-                    rows.append((name, token, parent, chars, hash((key, n)) >> 1))
-            arrays = [pa.array([r[k] for r in rows], t) for k, t in enumerate(_ARROW)]
-            yield pa.RecordBatch.from_arrays(arrays, ["host", "token", "parent", "chars", "cell"])
+                    rows.append((name, token, hash((key, n)) >> 1, around, chars, kind, int(n == 1)))
+            arrays = [pa.array([r[k] for r in rows], t) for k, t in enumerate(_ARROW.values())]
+            yield pa.RecordBatch.from_arrays(arrays, list(_ARROW))
 
+    schema = "host string, token bigint, cell bigint, around bigint, chars bigint, kind int, once int"
     each = pages.mapInArrow(count, schema)
     # The sum over pages stands for the whole vector, in whatever order pages are met.
-    vector = F.sum(F.col("cell").cast("decimal(38,0)")).alias("vector")
     seen = each.groupBy("host", "token").agg(
-        F.count("*").alias("n"), vector, F.first("parent").alias("parent"), F.first("chars").alias("chars")
+        F.count("*").alias("n"),
+        F.sum(F.col("cell").cast("decimal(38,0)")).cast("string").alias("vector"),
+        F.max("around").alias("around"),
+        F.sum("chars").alias("chars"),
+        F.max("kind").alias("kind"),
+        F.sum("once").alias("once"),
     )
-    seen = stored(seen, "tokens")
     size = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    frequent = seen.join(size, "host").filter(
-        (F.col("n") >= LEAST_PAGES) & (F.col("n") >= SHARE * F.col("pages"))
+    frequent = (
+        seen.filter(F.col("n") >= LEAST_PAGES).join(size, "host").filter(F.col("n") >= LAYOUT * F.col("pages"))
     )
-    classes = frequent.groupBy("host", "n", "vector").agg(F.collect_list("token").alias("tokens"))
-    valid = classes.filter(F.size("tokens") >= LEAST_TOKENS)
-    template = valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
-    fixed = template.select("host", F.explode("template").alias("token"))
-    slots = seen.filter("parent IS NOT NULL").join(fixed, ["host", "token"], "left_anti")
-    filled = slots.groupBy("host", "parent").agg(F.sum(F.col("n") * F.col("chars")).alias("chars"))
-    largest = filled.groupBy("host").agg(F.max_by("parent", F.struct("chars", "parent")).alias("main"))
-    return size.select("host").join(template, "host", "left").join(largest, "host", "left")
+    result = "host string, template array<bigint>, slots array<bigint>, sizes array<double>"
+    return frequent.groupBy("host").applyInArrow(_template, result)
+
+
+_ARROW = {
+    "host": pa.string(),
+    "token": pa.int64(),
+    "cell": pa.int64(),
+    "around": pa.int64(),
+    "chars": pa.int64(),
+    "kind": pa.int32(),
+    "once": pa.int32(),
+}
 
 
-_ARROW = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+def _template(table: pa.Table) -> pa.Table:
+    """A host's template from the tokens that enough pages have, see :func:`templates`."""
+    seen = {row["token"]: row for row in table.to_pylist()}
+    classes: dict[tuple, list[int]] = {}
+    for token, row in seen.items():
+        classes.setdefault((row["n"], row["vector"]), []).append(token)
+    chains = _nested(seen, classes)
+    template, chars = [], {token: row["chars"] for token, row in seen.items()}
+    for token, row in seen.items():
+        key = (row["n"], row["vector"])
+        around = seen.get(row["around"])
+        if row["kind"]:
+            if row["n"] >= SHARE * row["pages"]:
+                template.append(token)
+        elif chains[key] is not None and len(classes[key]) >= LEAST_TOKENS:
+            if row["n"] >= SHARE * (around["n"] if around else row["pages"]):
+                template.append(token)
+                while around:
+                    chars[around["token"]] -= row["chars"]
+                    around = seen.get(around["around"])
+    slots = [
+        token
+        for token, row in seen.items()
+        if row["kind"] == 2 and 2 * row["once"] >= row["n"] and chars[token] > 0
+    ]
+    sizes = [chars[token] / seen[token]["n"] for token in slots]
+    columns = {"template": pa.array([template], pa.list_(pa.int64()))}
+    columns["slots"] = pa.array([slots], pa.list_(pa.int64()))
+    columns["sizes"] = pa.array([sizes], pa.list_(pa.float64()))
+    return pa.table({"host": pa.array([table["host"][0].as_py()], pa.string()), **columns})
+
+
+def _nested(seen: dict[int, dict], classes: dict[tuple, list[int]]) -> dict[tuple, list | None]:
+    """The classes around each class, from the outermost on; None if they do not lie one within the
+    other, or one of them is not nested itself."""
+    chains: dict[tuple, list | None] = {}
+
+    def around(key: tuple) -> set[tuple]:
+        # Text can stand in an element that the class holds again: elements tell, if there are any.
+        members = [token for token in classes[key] if seen[token]["kind"]] or classes[key]
+        rows = (seen.get(seen[token]["around"]) for token in members)
+        return {(row["n"], row["vector"]) for row in rows if row} - {key}
+
+    open_: list[tuple] = []
+    for start in classes:
+        open_.append(start)
+        while open_:
+            key = open_[-1]
+            if key in chains:
+                open_.pop()
+                continue
+            left = [k for k in around(key) if k not in chains]
+            if any(k in open_ for k in left):
+                chains[key] = None  # each within the other
+            elif left:
+                open_ += left
+                continue
+            else:
+                outer = sorted(((chains[k], k) for k in around(key)), key=lambda c: len(c[0] or ()))
+                chain: list | None = []
+                for up, k in outer:
+                    fits = up is not None and chain is not None and up[: len(chain)] == chain
+                    chain = [*up, k] if fits else None
+                chains[key] = chain
+            open_.pop()
+    return chains
 
 
 def extract_text(
@@ -346,12 +483,14 @@ def extract_text(
     joined = rows.join(F.broadcast(known) if few else known, "host", "left")
 
     def extract(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for sources, template, main in batches:
-            rows_ = zip(sources, template, main, strict=True)
-            texts = [main_text(s.as_py(), t.as_py() or [], m.as_py()) for s, t, m in rows_]
+        for batch in batches:
+            texts = []
+            for page, *known_ in zip(*batch, strict=True):
+                template, slots, sizes = (value.as_py() or [] for value in known_)
+                texts.append(main_text(page.as_py(), template, dict(zip(slots, sizes, strict=True))))
             yield pa.array(texts, pa.string())
 
-    found = F.arrow_udf(extract, "string")("html", "template", "main")
+    found = F.arrow_udf(extract, "string")("html", "template", "slots", "sizes")
     back = [F.col(f"row.c{k}").alias(name) for k, name in enumerate(given)]
     out = joined.select(*back, found.alias(text))
     return out.withColumn("n_chars", F.length(column(text)).cast("bigint"))

@@ -84,3 +84,26 @@ def test_templates_confirm_words_in_names(spark):
         rows.append((n, f"http://h.example/{n}", html))
     found = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
     assert found == {n: f"Story {n}\nText {n}" + ("\nA case" if n == 0 else "") for n in range(6)}
+
+
+def test_slots_keep_all_that_is_below_them_in_each_layout(spark):
+    """Lists, quotations, tables, sections and bare text, in two layouts with ids of their own pages."""
+    rows, wanted = [], {}
+    for n in range(12):
+        inner = (
+            f"Lead {n}<p>Long paragraph {n} that goes on and on for a while.</p><ul><li>Item {n}</li></ul>"
+            f"<blockquote><p>Quoted {n}</p></blockquote><table><tr><td>Cell {n}</td></tr></table>"
+            f"<section><h2 id='s{n}'>Part {n}</h2><p>Nested {n}</p></section>Tail {n}"
+        )
+        around = ("<div class='c' id='post-{0}'>{1}</div>", "<div class='story s-{0}'>{1}</div>")[n % 3 == 0]
+        html = (
+            "<body><div class='top'><p>Welcome to our site</p></div>"
+            + around.format(n, inner)
+            + f"<div class='low'><p>Read {n}</p><p>All rights reserved</p></div></body>"
+        )
+        rows.append((n, f"http://two.example/{n}", html))
+        wanted[n] = (
+            f"Lead {n}\nLong paragraph {n} that goes on and on for a while.\nItem {n}\nQuoted {n}\n"
+            f"Cell {n}\nPart {n}\nNested {n}\nTail {n}"
+        )
+    assert {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()} == wanted
