@@ -309,17 +309,15 @@ def tokens(found: list[Block]) -> dict[int, list[int]]:
 def main_text(page: str | None, template: list[int], slots: dict[int, float] | None) -> str:
     """A page's article.
 
-    Inside elements marked as an article all text counts. Pages without such take all blocks below
-    the slot that holds the article, less what ``template`` has word for word. ``slots`` has the
-    characters that pages have in each, on average.
+    All blocks below the slot that holds the article, less what ``template`` has word for word.
+    Elements marked as an article are that slot, also if the template has all of their text; without
+    such it is found by ``slots``, the characters that pages have in each, on average.
     """
     known = set(template)
     found = [b for b in blocks(page) if not b.side and not any(_hashed(d) in known for d in b.doubts)]
-    article = [block.text for block in found if block.article]
-    if article:
-        return "\n".join(article)
     own = [block for block in found if _hashed(block.path, block.text) not in known]
-    return "\n".join(block.text for block in _in_slot(own, slots or {}))
+    marked = [b for b in own if b.article] or [b for b in found if b.article]
+    return "\n".join(block.text for block in marked or _in_slot(own, slots or {}))
 
 
 def _in_slot(found: list[Block], slots: dict[int, float]) -> list[Block]:
@@ -365,6 +363,10 @@ def templates(pages: DataFrame) -> DataFrame:
 
     schema = "host string, token bigint, cell bigint, around bigint, chars bigint, kind int, once int"
     each = pages.mapInArrow(count, schema)
+    # Copies of a page are no evidence of a template: they have equal cells, and count once.
+    each = each.groupBy("host", "token", "cell").agg(
+        *[F.max(name).alias(name) for name in ("around", "chars", "kind", "once")]
+    )
     # The sum over pages stands for the whole vector, in whatever order pages are met.
     seen = each.groupBy("host", "token").agg(
         F.count("*").alias("n"),
@@ -374,7 +376,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.max("kind").alias("kind"),
         F.sum("once").alias("once"),
     )
-    size = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    size = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     frequent = (
         seen.filter(F.col("n") >= LEAST_PAGES).join(size, "host").filter(F.col("n") >= LAYOUT * F.col("pages"))
     )

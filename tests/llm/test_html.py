@@ -107,3 +107,18 @@ def test_slots_keep_all_that_is_below_them_in_each_layout(spark):
             f"Cell {n}\nPart {n}\nNested {n}\nTail {n}"
         )
     assert {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()} == wanted
+
+
+def test_templates_inside_articles(spark):
+    """What all different pages of a host repeat inside their articles is no article's text."""
+    rows = []
+    for n in range(6):
+        share = "<div class='x'><p>Join our list of readers today</p></div>"
+        html = f"<body><article><h1>Story {n}</h1><p>Text {n}</p>{share}<p>End {n}</p></article></body>"
+        rows += [(n, f"http://h.example/{n}", html)] * 2
+    rows += [(n, "http://i.example/", "<article><p>Only copies.</p></article>") for n in range(10, 16)]
+    found = extract_text(pages(spark, rows)).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        n = row.page_id
+        assert row.text == (f"Story {n}\nText {n}\nEnd {n}" if n < 10 else "Only copies.")
