@@ -168,9 +168,7 @@ class Finder:
             for k in range(int(first), min(int(last), len(texts) - 1) + 1):
                 begin, end = int(starts[k]), int(starts[k + 1]) - 1
                 region = joined[max(low, begin) : min(high, end)]
-                hit = self._aligned(item, region, max(low, begin) - begin)
-                if hit:
-                    hits[k].append(hit)
+                hits[k] += self._aligned(item, region, max(low, begin) - begin)
         for k in self.passages.short:
             self._find_short(k, texts, hits)
         return [_placed(_best(found), places) for found, (_, places) in zip(hits, texts, strict=True)]
@@ -210,19 +208,26 @@ class Finder:
             budget = int(p.budget[k])
             yield k, low - budget, low + 2 * p.width + len(p.codes[k]) + budget
 
-    def _aligned(self, item: int, region: np.ndarray, at: int) -> tuple[int, int, int, int] | None:
-        """The best alignment within a region, if its edits are within the budget."""
+    def _aligned(self, item: int, region: np.ndarray, at: int) -> list[tuple[int, int, int, int]]:
+        """Alignments within a region whose edits are within the budget: the best one, and those of
+        what is left on both sides of it."""
         passage, budget = self.passages.codes[item], int(self.passages.budget[item])
-        if len(region) < len(passage) - budget:
-            return None
-        ends, cost = banded(passage, region, budget)
-        edits = int(cost.min())
-        if edits > budget:
-            return None
-        end = int(ends[cost.argmin()])
-        lengths, cost = banded(passage[::-1], region[:end][::-1], budget, anchored=True)
-        best = np.lexsort([np.abs(lengths - len(passage)), cost])[0]
-        return item, at + end - int(lengths[best]), at + end, edits
+        found, left = [], [(0, len(region))]
+        while left:
+            low, high = left.pop()
+            if high - low < len(passage) - budget:
+                continue
+            ends, cost = banded(passage, region[low:high], budget)
+            edits = int(cost.min())
+            if edits > budget:
+                continue
+            end = low + int(ends[cost.argmin()])
+            before = region[max(low, end - len(passage) - budget) : end]
+            lengths, cost = banded(passage[::-1], before[::-1], budget, anchored=True)
+            start = end - int(lengths[np.lexsort([np.abs(lengths - len(passage)), cost])[0]])
+            found.append((item, at + start, at + end, edits))
+            left += [(low, start), (end, high)]
+        return found
 
     def _find_short(self, k: int, texts, hits) -> None:
         passage = self.passages.codes[k]

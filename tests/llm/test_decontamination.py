@@ -87,3 +87,16 @@ def test_nothing_and_clashing_columns(spark, documents):
     clashing = documents([PROSE, "ok"]).withColumn("leaks", F.lit(1)).withColumn("body", F.lit(2))
     kept = d.decontaminate(clashing, items)
     assert (kept.columns, [r.doc_id for r in kept.collect()]) == (clashing.columns, [1])
+
+
+def test_every_copy_of_a_short_item_beside_a_long_one():
+    """A long item widens the bands of all; copies of the short one stand next to each other."""
+    chance = random.Random(5)
+    short, long = ("".join(chance.choices("abcdefghij klmno", k=k)).strip() for k in (50, 4000))
+    copies = [short, short[:20] + "#" + short[21:], *[short] * 11]
+    text = "".join(copy + " " + str(1000 + k) + " +++++ "[: 60 - len(copy) - 5] for k, copy in enumerate(copies))
+    for items in ([short], [short, long]):
+        (hits,) = d.Finder(d.Passages.of(range(len(items)), items)).find([text + short + short])
+        assert [hit[0] for hit in hits] == [0] * 15
+        assert [hit[3] for hit in hits] == [0, 1, *[0] * 13]
+        assert all(a[2] <= b[1] for a, b in zip(hits, hits[1:], strict=False))
