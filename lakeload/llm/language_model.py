@@ -1,8 +1,9 @@
 """Scores of texts under a class-based bigram model trained on some of them.
 
-Words are put into classes. The most frequent words are assigned by exchange clustering: each moves
-to the class that makes the bigrams of classes most likely, until none does. All other words go to
-classes by how often they occur. A token's probability is that of its class after the class before
+Words are put into classes, more of them the more words there are. The most frequent words are
+assigned by exchange clustering: each moves to the class that makes the bigrams of classes most
+likely, until none does. Every other word with enough neighbours then goes to the class that gains
+most from its own neighbours; only words too rare for that go to classes by how often they occur. A token's probability is that of its class after the class before
 it, times that of the token within its class.
 
 Words are 64-bit hashes, see :mod:`lakeload.llm.shingles`. Counts of the whole vocabulary never
@@ -23,10 +24,13 @@ from lakeload.llm.shingles import word_hashes
 from lakeload.llm.storage import stored
 from lakeload.names import column
 
-#: So many of the most frequent words are clustered, into so many classes.
+#: At least so many of the most frequent words are clustered by exchange, into so many classes; the
+#: classes grow with the cube root of the number of words that are clustered in all.
 CORE_WORDS = 1024
 CORE_CLASSES = 32
 SWEEPS = 5
+#: Words that training has so often are clustered by their neighbours.
+EVIDENCE = 8
 #: Classes of other words: the number of binary digits of a word's count.
 BANDS = 40
 #: Pseudo-count of a class after a class.
@@ -35,9 +39,12 @@ SMOOTHING = 0.5
 _BUCKET_BYTES = 8 << 20
 _COUNTED_WORDS = 1 << 20
 
-END_CLASS = CORE_CLASSES + BANDS
-START_CLASS = END_CLASS + 1
-CLASSES = START_CLASS + 1
+_FILTER_BITS = 24
+
+
+def class_number(words: int) -> int:
+    """Into how many classes so many words are clustered."""
+    return max(CORE_CLASSES, round(2 * words ** (1 / 3)))
 
 
 def exchange_classes(
@@ -102,21 +109,20 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """What all tasks know: bounded, whatever the corpus."""
 
-    core: np.ndarray  # hashes of the clustered words, sorted
-    core_class: np.ndarray
+    clustered: int  # classes of clustered words; bands, end and start come after
     tokens: int  # in training, ends included
     types: int
     ends: int
     class_tokens: np.ndarray  # by class
     class_types: np.ndarray
 
-    def classes(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        found = band(counts)
-        if len(self.core):
-            place = np.minimum(np.searchsorted(self.core, words), len(self.core) - 1)
-            hit = self.core[place] == words
-            found[hit] = self.core_class[place[hit]]
-        return found
+    @property
+    def end(self) -> int:
+        return self.clustered + BANDS
+
+    @property
+    def classes(self) -> int:
+        return self.clustered + BANDS + 2
 
     def emissions(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Log10 of each token's probability within its class.
@@ -124,18 +130,12 @@ class Vocabulary:
         Words seen once share their class with those never seen, which are taken to be as many;
         so each of them has half of one part.
         """
-        rare = classes == CORE_CLASSES
+        rare = classes == self.clustered
         share = np.maximum(counts, 1) / np.maximum(self.class_tokens[classes], 1)
-        once = 1 / (2 * max(1, self.class_types[CORE_CLASSES]))
+        once = 1 / (2 * max(1, self.class_types[self.clustered]))
         return np.log10(np.where(rare, once, share))
 
 
-def band(counts: np.ndarray) -> np.ndarray:
-    """The class of words outside the clustered ones, by their counts."""
-    digits = np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
-    return CORE_CLASSES + np.minimum(digits, BANDS - 1)
-
-
 def score(
     docs: DataFrame,
     training: Column,
@@ -164,13 +164,13 @@ def score(
 
     counts = stored(_word_counts(rows), "words")
     words = counts.filter("word IS NOT NULL")
-    vocabulary = _vocabulary(rows, counts, words)
+    vocabulary, words = _vocabulary(rows, counts, words)
     known = spark.sparkContext.broadcast(vocabulary)
 
     key = F.pmod(F.xxhash64("doc_id", "body"), F.lit(buckets)).cast("int").alias("bucket")
     dealt = rows.select(key, "doc_id", "body", "train")
     used = dealt.groupBy("bucket").applyInArrow(_bucket_words, "bucket int, word bigint")
-    shares = used.join(words, "word").select("bucket", "word", "n")
+    shares = used.join(words, "word").select("bucket", "word", "n", "class")
     fields = "n_tokens bigint, n_known bigint, base_score double, emission double, classes binary"
     schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, train boolean, {fields}"
     encoded = stored(
@@ -179,8 +179,9 @@ def score(
         .applyInArrow(lambda texts, table: _encoded(texts, table, known.value), schema),
         "classes",
     )
-    steps = _steps(encoded.filter("train"))
-    log_steps = np.log10((steps + SMOOTHING) / (steps.sum(axis=1, keepdims=True) + SMOOTHING * CLASSES))
+    classes = vocabulary.classes
+    steps = _steps(encoded.filter("train"), classes)
+    log_steps = np.log10((steps + SMOOTHING) / (steps.sum(axis=1, keepdims=True) + SMOOTHING * classes))
     scored = encoded.withColumn("score", F.col("emission") + _path_score(F.col("classes"), log_steps))
     return scored.select(
         F.col("doc_id").alias(doc_id),
@@ -226,28 +227,98 @@ def _two(words, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["word", "n"])
 
 
-def _vocabulary(rows: DataFrame, counts: DataFrame, words: DataFrame) -> Vocabulary:
-    top = words.orderBy(F.desc("n"), "word").limit(CORE_WORDS).collect()
+def _vocabulary(rows: DataFrame, counts: DataFrame, words: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary, and ``words`` with the class of each."""
+    spark = rows.sparkSession
+    often = words.filter(F.col("n") >= EVIDENCE)
+    clustered = class_number(often.count())
+    top = words.orderBy(F.desc("n"), "word").limit(max(CORE_WORDS, 16 * clustered)).collect()
+    core = np.sort(np.array([row.word for row in top], np.int64).view(np.uint64))
+    bigrams = _core_bigrams(rows, core)
+    core_class = exchange_classes(bigrams, len(core), clustered)
+    steps = np.zeros((clustered + 2, clustered + 2))
+    label = np.concatenate([core_class, [clustered, clustered + 1]])
+    np.add.at(steps, (label[:, None], label[None, :]), bigrams)
+
+    pairs = zip(core.view(np.int64).tolist(), core_class.tolist(), strict=True)
+    labels = spark.createDataFrame([*pairs], "word bigint, class int")
+    labels = labels.unionByName(_assigned(rows, often, core, core_class, steps))
+    digits = F.least(F.floor(F.log2("n")), F.lit(BANDS - 1)).cast("int") + clustered
+    labelled = words.join(labels, "word", "left").select(
+        "word", "n", F.coalesce("class", digits).cast("int").alias("class")
+    )
+    labelled = stored(labelled, "labels")
+
     ends = counts.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
-    hashes = np.array([row.word for row in top], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    core = hashes[order]
-    core_counts = np.array([row.n for row in top], np.int64)[order]
-    core_class = exchange_classes(_core_bigrams(rows, core), len(core))
-
-    digits = F.least(F.floor(F.log2("n")), F.lit(BANDS - 1)).cast("int")
-    listed = words.groupBy(digits.alias("band")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
-    tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for row in listed.collect():
-        tokens[CORE_CLASSES + row.band] = row.n
-        types[CORE_CLASSES + row.band] = row.v
+    tokens, types = (np.zeros(clustered + BANDS + 2, np.int64) for _ in range(2))
+    for row in labelled.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        tokens[row["class"]], types[row["class"]] = row.n, row.v
     total, distinct = int(tokens.sum()) + ends, int(types.sum()) + bool(ends)
-    for n, k in zip(core_counts, core_class, strict=True):
-        for table, amount in ((tokens, n), (types, 1)):
-            table[band(np.array([n]))[0]] -= amount
-            table[k] += amount
-    tokens[END_CLASS], types[END_CLASS] = ends, 1
-    return Vocabulary(core, core_class, total, distinct, ends, tokens, types)
+    tokens[clustered + BANDS], types[clustered + BANDS] = ends, 1
+    return Vocabulary(clustered, total, distinct, ends, tokens, types), labelled
+
+
+def _assigned(
+    rows: DataFrame, often: DataFrame, core: np.ndarray, core_class: np.ndarray, steps: np.ndarray
+) -> DataFrame:
+    """``word`` and ``class`` of all words of ``often`` outside ``core``, by the classes of their
+    neighbours; neighbours outside are one class. What passes the filter though it is rare is left
+    out again by a join."""
+    n, other, end = len(steps), len(steps) - 2, len(steps) - 1
+    place = F.shiftrightunsigned("word", 64 - _FILTER_BITS).cast("int").alias("place")
+    bits = np.zeros(1 << _FILTER_BITS, bool)
+    bits[often.select(place).distinct().toArrow()["place"].to_numpy()] = True
+    known = rows.sparkSession.sparkContext.broadcast((core, core_class, np.packbits(bits)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core, core_class, packed = known.value
+        wanted = np.unpackbits(packed).view(bool)
+        gathered, amount = [], 0
+        for batch in batches:
+            for words in word_hashes(v.as_py() for v in batch.column(0)):
+                if not len(words):
+                    continue
+                at = np.minimum(np.searchsorted(core, words), len(core) - 1)
+                hit = core[at] == words
+                path = np.full(len(words) + 2, end)
+                path[1:-1] = np.where(hit, core_class[at], other)
+                own = np.flatnonzero(~hit & wanted[words >> np.uint64(64 - _FILTER_BITS)])
+                gathered.append((np.tile(words[own], 2), np.concatenate([path[own + 2], n + path[own]])))
+                amount += 2 * len(own)
+                if amount >= _COUNTED_WORDS:
+                    yield _cells(gathered)
+                    gathered, amount = [], 0
+        if amount:
+            yield _cells(gathered)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            columns = (batch.column(name).to_pylist() for name in ("cells", "amounts"))
+            for cells, amounts in zip(*columns, strict=True):
+                sides = np.bincount(cells, weights=amounts, minlength=2 * n)
+                found.append(int(_gains(steps, sides[:n], sides[n:], 0, n - 2).argmax()))
+            arrays = [batch.column("word"), pa.array(found, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, ["word", "class"])
+
+    parts = rows.filter("train").select("body").mapInArrow(count, "word bigint, cell int, n bigint")
+    summed = parts.groupBy("word", "cell").agg(F.sum("n").alias("amount"))
+    each = summed.groupBy("word").agg(F.collect_list(F.struct("cell", "amount")).alias("all"))
+    each = each.join(often.select("word"), "word", "left_semi")
+    each = each.select("word", F.col("all.cell").alias("cells"), F.col("all.amount").alias("amounts"))
+    return each.mapInArrow(best, "word bigint, class int")
+
+
+def _cells(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """How often each word has each cell."""
+    words, cells = (np.concatenate(parts) for parts in zip(*gathered, strict=True))
+    order = np.lexsort([cells, words])
+    words, cells = words[order], cells[order]
+    new = np.append(True, (np.diff(cells) != 0) | (words[1:] != words[:-1]))
+    first = np.flatnonzero(new)
+    amounts = np.diff(np.append(first, len(words)))
+    arrays = [pa.array(words[first].view(np.int64)), pa.array(cells[first], pa.int32()), pa.array(amounts, pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, ["word", "cell", "n"])
 
 
 def _core_bigrams(rows: DataFrame, core: np.ndarray) -> np.ndarray:
@@ -301,53 +372,56 @@ def _encoded(texts: pa.Table, table: pa.Table, v: Vocabulary) -> pa.Table:
     hashes = table["word"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, amounts = hashes[order], table["n"].to_numpy()[order]
+    labels = table["class"].to_numpy()[order]
     out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "emission", "classes")}
     base = np.log10(v.tokens + v.types + 1)
     for words in word_hashes(t.as_py() for t in texts["body"]):
         counts = np.zeros(len(words), np.int64)
+        classes = np.full(len(words), v.clustered)
         if len(hashes):
             place = np.minimum(np.searchsorted(hashes, words), len(hashes) - 1)
-            counts = np.where(hashes[place] == words, amounts[place], 0)
-        classes = v.classes(words, counts)
+            hit = hashes[place] == words
+            counts = np.where(hit, amounts[place], 0)
+            classes = np.where(hit, labels[place], v.clustered)
         out["n_tokens"].append(len(words) + 1)
         out["n_known"].append(int((counts > 0).sum()) + bool(v.ends))
         every = np.append(counts, v.ends)
         out["base_score"].append(float(np.log10(every + 1.0).sum() - len(every) * base))
         out["emission"].append(float(v.emissions(classes, counts).sum()))
-        out["classes"].append(np.append(classes, END_CLASS).astype(np.uint8).tobytes())
+        out["classes"].append(np.append(classes, v.end).astype(np.uint16).tobytes())
     return pa.table({"doc_id": texts["doc_id"], "train": texts["train"], **out})
 
 
-def _steps(encoded: DataFrame) -> np.ndarray:
+def _steps(encoded: DataFrame, classes: int) -> np.ndarray:
     """How often each class follows each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES * CLASSES, np.int64)
+        total = np.zeros(classes * classes, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                total += np.bincount(_path(value.as_py()), minlength=CLASSES * CLASSES)
+                np.add.at(total, _path(value.as_py(), classes), 1)
         cells = np.flatnonzero(total)
         yield _two(cells, total[cells])
 
     parts = encoded.select("classes").mapInArrow(count, "word bigint, n bigint")
-    steps = np.zeros(CLASSES * CLASSES)
+    steps = np.zeros(classes * classes)
     for row in parts.groupBy("word").agg(F.sum("n").alias("n")).collect():
         steps[row.word] = row.n
-    return steps.reshape(CLASSES, CLASSES)
+    return steps.reshape(classes, classes)
 
 
-def _path(classes: bytes) -> np.ndarray:
+def _path(path: bytes, classes: int) -> np.ndarray:
     """Cells of the steps from class to class, from the start on."""
-    after = np.frombuffer(classes, np.uint8).astype(np.int64)
-    before = np.concatenate([[START_CLASS], after[:-1]])
-    return before * CLASSES + after
+    after = np.frombuffer(path, np.uint16).astype(np.int64)
+    before = np.concatenate([[classes - 1], after[:-1]])
+    return before * classes + after
 
 
-def _path_score(classes: Column, log_steps: np.ndarray) -> Column:
-    flat = log_steps.ravel()
+def _path_score(path: Column, log_steps: np.ndarray) -> Column:
+    flat, classes = log_steps.ravel(), len(log_steps)
 
     def total(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([float(flat[_path(v.as_py())].sum()) for v in batch], pa.float64())
+            yield pa.array([float(flat[_path(v.as_py(), classes)].sum()) for v in batch], pa.float64())
 
-    return F.arrow_udf(total, "double")(classes)
+    return F.arrow_udf(total, "double")(path)

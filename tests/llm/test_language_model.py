@@ -99,3 +99,29 @@ def test_awkward_rows(awkward, documents):
     assert lm.score(documents([]), F.lit(True)).count() == 0
     untrained = lm.score(documents(["a b"]), F.lit(False)).first()
     assert (untrained.n_known, untrained.train_tokens, untrained.base_score) == (0, 0, 0.0)
+
+
+def test_words_outside_the_core_are_clustered_by_their_neighbours(documents, monkeypatch):
+    """Nouns and verbs take turns; all but the few of the core are told apart by that alone."""
+    monkeypatch.setattr(lm, "CORE_WORDS", 8)
+    monkeypatch.setattr(lm, "CORE_CLASSES", 2)
+    monkeypatch.setattr(lm, "class_number", lambda words: 2 if words < 1000 else 4)
+    chance = random.Random(4)
+    nouns, verbs = [[f"{k}{n}" for n in range(100)] for k in ("noun", "verb")]
+    texts = []
+    for _ in range(400):
+        pick = [chance.choice(w[:4] if chance.random() < 0.5 else w) for w in [nouns, verbs] * 20]
+        texts.append(" ".join(pick))
+    rows = documents([*texts, "noun7 seldom"]).selectExpr("text AS body", "true AS train")
+    counts = lm._word_counts(rows)
+    vocabulary, words = lm._vocabulary(rows, counts, counts.filter("word IS NOT NULL"))
+    hashed = {w: int(h[0].view(np.int64)) for w in [*nouns, *verbs, "seldom"] for h in lm.word_hashes([w])}
+    found = {r.word: r["class"] for r in words.collect()}
+    kinds = [{found[hashed[w]] for w in kind} for kind in (nouns, verbs)]
+    assert len(kinds[0]) == len(kinds[1]) == 1 and kinds[0] != kinds[1]
+    assert found[hashed["seldom"]] == vocabulary.clustered
+    assert sum(vocabulary.class_tokens) == vocabulary.tokens
+
+
+def test_classes_grow_with_the_words():
+    assert [lm.class_number(n) for n in (0, 1000, 125_000, 1_000_000)] == [32, 32, 100, 200]
