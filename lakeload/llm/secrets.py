@@ -19,13 +19,15 @@ class SecretRule:
     """``pattern`` finds matches; those that do not also fit ``least`` as a whole are dropped.
 
     Matches of a rule are leftmost, greedy and do not overlap; a dropped one uses up its text like
-    any other. Syntax: :mod:`lakeload.llm.automaton`.
+    any other. ``rest`` is what a match goes on with where it can. Syntax:
+    :mod:`lakeload.llm.automaton`.
     """
 
     kind: str
     pattern: str
     least: str | None = None
     ignore_case: bool = False
+    rest: str | None = None
 
 
 # The three kinds every scan has, in this order.
@@ -37,9 +39,16 @@ BASE_RULES = (
     # count up to 24 would triple the automaton.
     SecretRule("hex", "[0-9a-f]{8,}", "[0-9a-f]{24,}"),
 )
-# Public token formats.
+# Public token formats. Lines of a key may be escaped, and headers stand before them;
+# without an end, its full lines count.
+_LINE = r"(\x20|\t|\r|\n|\x5c[nr])"
+_BODY = rf"([A-Za-z0-9+/=]|{_LINE}|[A-Za-z0-9-]+:\x20[^\r\n\x5c]*)*"
 EXTRA_RULES = (
-    SecretRule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule(
+        "private_key",
+        "-----BEGIN [A-Z ]*PRIVATE KEY-----",
+        rest=rf"({_BODY}-----END [A-Z ]*PRIVATE KEY-----|({_LINE}+[A-Za-z0-9+/=]{{40,}})+)",
+    ),
     SecretRule("github", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{35,}"),
@@ -68,7 +77,7 @@ class Scanner:
         self.rules = tuple(rules)
         cased = [rule.ignore_case for rule in rules]
         self._all = compiled([r.pattern for r in rules], ignore_case=cased, anywhere=True)
-        self._forth = [self._alone(r.pattern, r) for r in rules]
+        self._forth = [self._alone(f"({r.pattern})({r.rest})?" if r.rest else r.pattern, r) for r in rules]
         self._back = [self._alone(r.pattern, r, backwards=True) for r in rules]
         self._least = [self._alone(r.least, r) if r.least else None for r in rules]
         self._rows: list[list[int]] | None = None

@@ -102,3 +102,19 @@ def test_nothing_and_clashing_columns(documents):
     clashing = documents(["x"]).withColumn("secrets", F.lit(1))
     assert find_secrets(clashing).first().secrets == []
     assert secrets.listed(F.array()) is not None
+
+
+def test_private_keys_are_found_with_their_bodies():
+    kind = [rule.kind for rule in secrets.EXTRA_RULES].index("private_key")
+    scan = secrets.Scanner(secrets.EXTRA_RULES)
+    lines = ["MIIEpAIBAAKCAQEA" + "Ab3+/xYz" * 6] * 3 + ["c2hvcnQ="]
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    for key in (
+        "\n".join([head, *lines, tail]),
+        "\r\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A", "", *lines, tail]),
+        "\\n".join([head, *lines, tail]),
+        "\n".join([head, *lines[:3]]),
+        head,
+    ):
+        text = f"before {key}\nand some prose after it"
+        assert scan.spans(text) == [(7, kind, 7 + len(key))]
