@@ -11,7 +11,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import binary, decontamination, html, language_model, ngram_join, packing, quality, resharding, secrets, tokens
+from lakeload.llm import (
+    binary,
+    byte_pairs,
+    decontamination,
+    html,
+    language_model,
+    lexical_search,
+    ngram_join,
+    packing,
+    quality,
+    resharding,
+    secrets,
+    tokens,
+    whitening,
+)
 from lakeload.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +35,7 @@ ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
@@ -189,3 +204,71 @@ def op10_class_bigrams(spark, sf_dir):
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return language_model.score(docs, ~held_out)
+
+
+@query()
+def op11_byte_bpe(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = byte_pairs.with_bpe_ids(docs, RANKS, public_tokenizers.PATTERN)
+    both = byte_pairs.with_bpe_bytes(encoded, RANKS, public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS num, doc_id,
+               regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ),
+    filled AS (SELECT num, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM filled),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ),
+    placed AS (SELECT num, doc_id, n, unnest(terms) AS term FROM filled),
+    held AS (
+        SELECT num, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+        FROM placed WHERE term IN (SELECT term FROM asked) GROUP BY num, term
+    ),
+    weighed AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM held, totals GROUP BY term
+    ),
+    added AS (
+        SELECT num, doc_id, term,
+               w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))) AS part
+        FROM held JOIN weighed USING (term), totals
+    ),
+    scored AS (
+        SELECT item_id, any_value(doc_id) AS doc_id, CAST(sum(part) AS BIGINT) AS score
+        FROM asked JOIN added USING (term) GROUP BY item_id, num
+    ),
+    ranked AS (
+        SELECT item_id, doc_id, score,
+               row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM scored WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """
+)
+def op12_ranked_search(spark, sf_dir):
+    """The 10 documents that each item of the benchmark scores highest."""
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    items = given(spark, sf_dir, "benchmark", "item_id", "text")
+    return lexical_search.search(docs, items, best=10)
+
+
+@query()
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(given(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=4)

@@ -43,9 +43,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(data: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word in some bytes."""
-    space = _SPACE[data]
+    space = between[data]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     up, down = _powers(1 << max(20, int(len(data)).bit_length()))
@@ -54,14 +54,20 @@ def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mixed(words + (ends - starts).astype(np.uint64) * _FOLD)
 
 
-def word_hashes(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-    """The hashes of each text's words, in order; a null text has none."""
+def word_hashes(
+    texts: Iterable[str | None], between: np.ndarray = _SPACE
+) -> Iterator[np.ndarray]:
+    """The hashes of each text's words, in order; a null text has none.
+
+    ``between`` tells for each byte whether it stands between words, as a line end must.
+    """
     for batch in _slices(texts):
         if len(batch) == 1:
-            yield _long(batch[0])
+            yield _long(batch[0], between)
             continue
         lengths = np.array([len(x) + 1 for x in batch])
-        starts, hashes = _hashes(np.frombuffer(b"\n".join(batch) + b"\n", np.uint8))
+        data = np.frombuffer(b"\n".join(batch) + b"\n", np.uint8)
+        starts, hashes = _hashes(data, between)
         bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
         for first, last in zip(bounds, bounds[1:], strict=False):
             yield hashes[first:last]
@@ -81,17 +87,17 @@ def _slices(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
         yield batch
 
 
-def _long(data: bytes) -> np.ndarray:
-    """A text of any length, in slices that end in white space."""
+def _long(data: bytes, between: np.ndarray) -> np.ndarray:
+    """A text of any length, in slices that end between words."""
     codes = np.frombuffer(data, np.uint8)
-    spaces = np.flatnonzero(_SPACE[codes])
+    spaces = np.flatnonzero(between[codes])
     parts, at = [np.empty(0, np.uint64)], 0
     while at < len(codes):
         end = len(codes)
         if end - at > SLICE_BYTES:
             k = np.searchsorted(spaces, at + SLICE_BYTES)
             end = int(spaces[k]) if k < len(spaces) else end
-        parts.append(_hashes(codes[at:end])[1])
+        parts.append(_hashes(codes[at:end], between)[1])
         at = end
     return np.concatenate(parts)
 

@@ -1,0 +1,118 @@
+"""Ranked search against scores worked out document by document."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from lakeload.llm import lexical_search
+from lakeload.llm.lexical_search import search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain(docs, items, best=10):
+    """Rows of the result, from (id, text) pairs."""
+    counted = [(doc, Counter(terms(text))) for doc, text in docs]
+    counted = [(doc, c, c.total()) for doc, c in counted if c]
+    n_docs, words = len(counted), sum(n for _, _, n in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(terms(text))
+    found = set()
+    for item, wanted in asked.items():
+        scores = []
+        for doc, c, n in counted:
+            m = 10 + 90 * n * n_docs // words
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                for t in wanted & c.keys()
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        for rank, (score, _, _, doc) in enumerate(sorted(scores)[:best], 1):
+            found.add((item, rank, doc, -score))
+    return found
+
+
+@pytest.fixture
+def benchmark(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+def words(chance, n, of=400):
+    return " ".join(f"w{int(of * chance.random() ** 3)}" for _ in range(n))
+
+
+@pytest.mark.parametrize("block_docs, query_terms", [(7, 60), (64, 500_000), (4096, 500_000)])
+def test_against_plain_scores(documents, benchmark, monkeypatch, block_docs, query_terms):
+    monkeypatch.setattr(lexical_search, "BLOCK_DOCS", block_docs)
+    monkeypatch.setattr(lexical_search, "QUERY_TERMS", query_terms)
+    chance = random.Random(block_docs)
+    texts = [words(chance, chance.randint(0, 80)) for _ in range(300)]
+    texts += [texts[7]] * 40 + ["w1 w2"] * 30  # copies tie
+    items = [(k, words(chance, chance.choice([1, 3, 30, 200]))) for k in range(25)]
+    docs = list(enumerate(texts))
+    found = search(documents(texts).repartition(3), benchmark(items))
+    assert {tuple(r) for r in found.collect()} == plain(docs, items)
+
+
+def test_awkward_tables(awkward, texts_of, benchmark):
+    items = [(1, "the QUICK word17 word18"), (1, "日本語"), (None, "fox"), (2, None), (3, "..."), (4, "absent")]
+    clashing = awkward.withColumnRenamed("lang", "score").withColumnRenamed("source", "item_id")
+    found = search(clashing, benchmark(items))
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    rows = found.collect()
+    assert {tuple(r) for r in rows} == plain(texts_of(awkward), items) and len(rows) == len({tuple(r) for r in rows})
+    assert {r.item_id for r in rows} == {1, None}
+
+
+def test_fewer_and_more_places(documents, benchmark):
+    texts = ["alpha beta", "alpha", "beta gamma", "delta"]
+    items = [(0, "alpha beta gamma")]
+    for best in (1, 2, 10):
+        found = search(documents(texts), benchmark(items), best=best).collect()
+        assert {tuple(r) for r in found} == plain(list(enumerate(texts)), items, best)
+
+
+def test_null_ids_come_last(documents, benchmark):
+    texts, ids = ["same words"] * 4, [None, 9, 3, None]
+    found = search(documents(texts, ids), benchmark([(0, "same")]), best=3).collect()
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.rank)] == [3, 9, None]
+
+
+def test_many_terms_that_all_have(documents, benchmark):
+    """Terms in every document weigh least, and masks need more than one word."""
+    common = " ".join(f"c{k}" for k in range(150))
+    texts = [f"{common} r{k % 40}" for k in range(200)]
+    items = [(k, f"{common} r{k}") for k in range(3)]
+    found = search(documents(texts), benchmark(items)).collect()
+    assert {tuple(r) for r in found} == plain(list(enumerate(texts)), items)
+
+
+def test_nothing(documents, benchmark):
+    assert search(documents([]), benchmark([(0, "a")])).count() == 0
+    assert search(documents(["a"]), benchmark([])).count() == 0
+    assert search(documents([None, "", "!"]), benchmark([(0, "a")])).count() == 0
+
+
+def test_groups_that_cannot_win_are_not_scored(documents, benchmark):
+    index = lexical_search._block(
+        list(range(100)),
+        [lexical_search.np.array([1] * (1 + k % 2) + [2] * (k < 3), "u8") for k in range(100)],
+        lexical_search.np.array([1, 2], "u8"),
+    )
+    np = lexical_search.np
+    query = lexical_search.Query([np.array([0, 1])], np.array([1, 9000]), 100, 153, 2)
+    leaders = lexical_search.Leaders(query)
+    leaders.see(lexical_search.Block(*(index.column(k)[0] for k in range(5))))
+    assert set(leaders._best[0][:, 2].tolist()) <= {0, 1, 2}
