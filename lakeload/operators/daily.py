@@ -62,13 +62,15 @@ def load_day(
         _create(rows, table)
         operation = "created"
     else:
-        with conforming(rows, table, evolve=evolve) as fitting:
+        with conforming(rows, table, evolve=evolve) as (fitting, target):
             if mode == "append":
-                insert(fitting, table)
+                insert(fitting, target)
                 operation = "appended"
             else:
-                _overwrite(fitting, table, micros, counted)
+                _overwrite(fitting, target, micros)
                 operation = "overwritten"
+        if mode == "overwrite" and counted.get["records"] == 0:
+            _drop_day(spark, table, micros)
     return DayLoad(
         table_name=table,
         logical_date=iso_text(micros),
@@ -92,14 +94,12 @@ def _create(rows: DataFrame, table: str) -> None:
         rows.writeTo(table).partitionedBy(F.col("logical_date")).create()
 
 
-def _overwrite(rows: DataFrame, table: str, micros: int, counted: Observation) -> None:
+def _overwrite(rows: DataFrame, table: str, micros: int) -> None:
     spark = rows.sparkSession
     if not in_builtin_catalog(spark, table):
         rows.writeTo(table).overwrite(F.col("logical_date") == instant(micros))
         return
-
-    described = description(spark, table)
-    if described.get("partition_columns") != ["logical_date"]:
+    if description(spark, table).get("partition_columns") != ["logical_date"]:
         raise ValueError(f"{table} is not partitioned by logical_date")
     # Dynamic, because a static overwrite deletes the old partition before it starts writing, and
     # as an option of the statement, because the session's setting is not ours to change.
@@ -108,13 +108,17 @@ def _overwrite(rows: DataFrame, table: str, micros: int, counted: Observation) -
         "SELECT * FROM {rows}",
         rows=rows,
     )
-    if counted.get["records"] == 0:
-        # Without rows there was no partition to overwrite.
-        zone = described.get("storage_properties", {}).get("timeZone")
-        spark.sql(
-            f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
-            f"(logical_date = {text_literal(_partition_value(spark, micros, zone))})"
-        )
+
+
+def _drop_day(spark: SparkSession, table: str, micros: int) -> None:
+    """Drop the rows of a date that was overwritten by none: there was no partition to overwrite."""
+    if not in_builtin_catalog(spark, table):
+        return
+    zone = description(spark, table).get("storage_properties", {}).get("timeZone")
+    spark.sql(
+        f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
+        f"(logical_date = {text_literal(_partition_value(spark, micros, zone))})"
+    )
 
 
 def _partition_value(spark: SparkSession, micros: int, zone: str | None) -> str:

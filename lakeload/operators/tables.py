@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from pyspark.sql.types import (
     MapType,
     NumericType,
     ShortType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -39,6 +41,11 @@ from lakeload.names import column, folding, in_builtin_catalog, quoted, sibling,
 
 FORMAT = "parquet"
 
+# What marks an entry of the catalog as this library's: the place of the files that it wrote for the
+# entry, and, for a version that was replaced, the table it belonged to.
+_FILES = "lakeload.files"
+_RETIRED = "lakeload.retired"
+
 
 def exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
@@ -47,14 +54,12 @@ def exists(spark: SparkSession, table: str) -> bool:
 def drop(spark: SparkSession, table: str) -> None:
     """Drop the table if it is there, with its files and those that it replaced.
 
-    Files of an external table that lie where someone else put them stay.
+    Files that this library did not write for an external table stay, and so does every other
+    table, whatever its name.
     """
     if in_builtin_catalog(spark, table) and exists(spark, table):
         purge(spark, table, timedelta(0))
-        described = description(spark, table)
-        drop_entry(spark, table)
-        if described["type"] != "MANAGED" and _ours(described):
-            _delete(spark, described["location"])
+        _drop_whole(spark, table, description(spark, table))
     else:
         drop_entry(spark, table)
 
@@ -72,11 +77,11 @@ def append(df: DataFrame, table: str, *, evolve: bool = False) -> None:
 
     Columns that only one side has are an error, and so are types that would cut values. With
     ``evolve`` new columns are added to the table, missing ones filled with null, and a column that
-    must be wider to take the rows is made so. The rows are then written aside first, so that a
-    table only changes for rows that can be read.
+    must be wider to take the rows is made so. The table's entry changes last, once all rows are
+    written: if anything fails before, columns and rows are as they were.
     """
-    with conforming(df, table, evolve=evolve) as rows:
-        insert(rows, table)
+    with conforming(df, table, evolve=evolve) as (rows, target):
+        insert(rows, target)
 
 
 def insert(rows: DataFrame, table: str) -> None:
@@ -103,9 +108,10 @@ def replace(
 
     In the session catalog the new files lie in a folder of their own, and one change of the
     catalog's entry turns the table to it; no file moves. Comments and properties stay. The old
-    files stay too, for queries that still read them, until :func:`purge`. Only a table that is or
-    becomes partitioned trades names with its stage instead, which moves its folder and drops the
-    old files at once.
+    files stay too, for queries that still read them, until :func:`purge`. A partitioned table
+    that stays so, with the same columns, has its partitions overwritten by the new rows instead,
+    and those that are gone dropped; partitioned another way or with other columns it is dropped
+    for the new one. Either ends queries running on it.
     """
     spark = df.sparkSession
     there = exists(spark, table)
@@ -122,54 +128,124 @@ def replace(
         return
 
     old = description(spark, table) if there else None
-    staged = sibling(table, f"stage_{uuid.uuid4().hex}")
-    writer = df.write.format(FORMAT)
-    # In a partitioned table's folder names instants are written in one zone; see load_day.
-    writer = writer.option("timeZone", "UTC").partitionBy(*partition_by) if partition_by else writer
-    moves = bool(partition_by or (old or {}).get("partition_columns"))
-    if old and not moves:
-        writer = writer.option("path", f"{_folder(old)}__v_{uuid.uuid4().hex}")
-    if old is None:
-        writer.saveAsTable(table)
-    else:
-        writer.saveAsTable(staged)
+    staged = sibling(table, f"stage_{uuid.uuid4().hex}") if old else table
+    _write_version(df, staged, old, partition_by)
     try:
         if check:
-            check(spark.table(staged if old else table))
-        if moves and old:
-            _trade_names(spark, staged, table)
-        elif old:
-            _turn(spark, staged, table, old)
+            check(spark.table(staged))
+        if old:
+            _take_place(spark, staged, table, old)
     except Exception:
         if old is None:
             drop(spark, table)
-        elif exists(spark, staged):
+        elif exists(spark, table) and exists(spark, staged):
             _discard(spark, staged, table)
         raise
 
 
 def purge(spark: SparkSession, table: str, older_than: timedelta = timedelta(days=7)) -> int:
-    """Delete the files that :func:`replace` left for running queries; how many versions went."""
+    """Delete the files that :func:`replace` left for running queries; how many versions went.
+
+    Only entries that say they are versions of this table are touched.
+    """
     limit = int((time.time() - older_than.total_seconds()) * 1000)
     gone = 0
-    for name in _retired(spark, table):
-        if int(name.rpartition("__old_")[2].split("_")[0]) <= limit:
-            _delete(spark, description(spark, name)["location"])
-            drop_entry(spark, name)
+    for name, retired in _retired(spark, table):
+        if retired <= limit:
+            _drop_whole(spark, name, description(spark, name))
             gone += 1
     return gone
 
 
+def _write_version(df: DataFrame, name: str, old: dict | None, partition_by: Sequence[str]) -> None:
+    """Write rows as a new table: beside the files of the one whose place it is to take, unless
+    there is none or partitions are to be overwritten or dropped, which a managed table does."""
+    writer = df.write.format(FORMAT)
+    if partition_by:
+        # In a partitioned table's folder names instants are written in one zone; see load_day.
+        writer = writer.option("timeZone", "UTC").partitionBy(*partition_by)
+    elif old:
+        writer = writer.option("path", f"{_folder(old)}__v_{uuid.uuid4().hex}")
+    writer.saveAsTable(name)
+
+
+def _take_place(spark: SparkSession, staged: str, table: str, old: dict) -> None:
+    """Give a table the rows and columns of a stage, which goes."""
+    new = description(spark, staged)
+    if not new.get("partition_columns") and not old.get("partition_columns"):
+        _turn(spark, staged, table, old, new)
+    elif _layout(old) == _layout(new):
+        _overwrite_partitions(spark, staged, table)
+        drop_entry(spark, staged)
+    else:
+        # All rows are in the stage, under its entry, until it has the table's name.
+        _drop_whole(spark, table, old)
+        _rename(spark, staged, table)
+        if new.get("partition_columns"):
+            # The folder has moved, but its partitions' entries still name the old place.
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        else:
+            _mark(spark, table, new["location"])
+        _describe(spark, table, old)
+
+
+def _overwrite_partitions(spark: SparkSession, staged: str, table: str) -> None:
+    """The stage's rows in place of the table's, both partitioned alike."""
+    gone = set(_partitions(spark, table)) - set(_partitions(spark, staged))
+    spark.sql(
+        f"INSERT OVERWRITE {table} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {staged}"
+    )
+    if gone:
+        specs = ", ".join(f"PARTITION ({_spec(name)})" for name in sorted(gone))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    """Names of a table's partitions, as in its folder."""
+    return [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def _spec(partition: str) -> str:
+    """A partition's name as SQL."""
+    pairs = (part.split("=", 1) for part in partition.split("/"))
+    return ", ".join(
+        f"{quoted(unquote(name))} = "
+        + ("null" if value == "__HIVE_DEFAULT_PARTITION__" else text_literal(unquote(value)))
+        for name, value in pairs
+    )
+
+
 def drop_entry(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def _retired(spark: SparkSession, table: str) -> list[str]:
+def _drop_whole(spark: SparkSession, table: str, described: dict) -> None:
+    """Drop an entry, with its files if they are its own."""
+    drop_entry(spark, table)
+    if described["type"] != "MANAGED" and _ours(described):
+        _delete(spark, described["location"])
+
+
+def _retired(spark: SparkSession, table: str) -> Iterator[tuple[str, int]]:
+    """The entries of replaced versions of a table, and when each was replaced (in ms)."""
     prefix = sibling(table, "old_")
     database, _, name = prefix.rpartition(".")
     within = f" IN {database}" if database else ""
-    found = spark.sql(f"SHOW TABLES{within} LIKE '{name}*'").collect()
-    return [f"{database}.{row.tableName}" if database else row.tableName for row in found]
+    for row in spark.sql(f"SHOW TABLES{within} LIKE '{name}*'").collect():
+        found = f"{database}.{row.tableName}" if database else row.tableName
+        owner, _, when = _property(description(spark, found), _RETIRED).rpartition("@")
+        if owner == _own_name(spark, table):
+            yield found, int(when)
+
+
+def _own_name(spark: SparkSession, table: str) -> str:
+    """A table's full name as the catalog keeps it."""
+    described = description(spark, table)
+    return ".".join([*described["namespace"], described["table_name"]])
+
+
+def _property(described: dict, key: str) -> str:
+    return (described.get("table_properties") or {}).get(key, "")
 
 
 def _folder(described: dict) -> str:
@@ -178,25 +254,34 @@ def _folder(described: dict) -> str:
 
 
 def _ours(described: dict) -> bool:
-    """Whether the files are the table's own: managed, or written by an earlier replace."""
-    return described["type"] == "MANAGED" or _folder(described) != described["location"].rstrip("/")
+    """Whether the files are the table's own: managed, or written for it by an earlier replace."""
+    return described["type"] == "MANAGED" or _property(described, _FILES) == described["location"]
+
 
+def _mark(spark: SparkSession, table: str, location: str) -> None:
+    """Note that the files at a place were written for this entry."""
+    pair = f"{text_literal(_FILES)} = {text_literal(location)}"
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pair})")
 
-def _turn(spark: SparkSession, staged: str, table: str, old: dict) -> None:
+
+def _turn(spark: SparkSession, staged: str, table: str, old: dict, new: dict) -> None:
     """Let the table's entry name the staged files.
 
     Whatever dies in between, each set of files keeps an entry that owns none of them: dropping
     left-over entries deletes nothing. With another schema there is a moment, of two statements
     about the catalog, in which only the left-over entries name the rows.
     """
-    new = description(spark, staged)
     if _ours(old):
-        retired = sibling(table, f"old_{int(time.time() * 1000)}_{uuid.uuid4().hex}")
-        place = text_literal(old["location"])
-        names = (_two_parts(name) for name in (retired, table))
-        spark.sql("CREATE TABLE {} LIKE {} USING {} LOCATION {}".format(*names, FORMAT, place))
+        now = int(time.time() * 1000)
+        retired = sibling(table, f"old_{now}_{uuid.uuid4().hex}")
+        pairs = {_FILES: old["location"], _RETIRED: f"{_own_name(spark, table)}@{now}"}
+        spark.sql(
+            f"CREATE TABLE {_two_parts(retired)} LIKE {_two_parts(table)} USING {FORMAT} "
+            f"TBLPROPERTIES ({_pairs(pairs)}) LOCATION {text_literal(old['location'])}"
+        )
     if _layout(old) == _layout(new):
         _set_location(spark, table, new["location"])
+        _mark(spark, table, new["location"])
         drop_entry(spark, staged)
         return
     # Another schema needs another entry. The old one lets go of its files before it goes.
@@ -204,33 +289,21 @@ def _turn(spark: SparkSession, staged: str, table: str, old: dict) -> None:
         _set_location(spark, table, new["location"] + "__none")
     drop_entry(spark, table)
     _rename(spark, staged, table)
+    _mark(spark, table, new["location"])
     _describe(spark, table, old)
 
 
-def _trade_names(spark: SparkSession, staged: str, table: str) -> None:
-    old = description(spark, table)
-    retired = sibling(table, f"before_{uuid.uuid4().hex}")
-    _rename(spark, table, retired)
-    try:
-        _rename(spark, staged, table)
-    except Exception:
-        _rename(spark, retired, table)
-        raise
-    if description(spark, table).get("partition_columns"):
-        # The folder has moved, but its partitions' entries still name the old place.
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-    _describe(spark, table, old)
-    drop_entry(spark, retired)
+def _pairs(properties: Mapping[str, str]) -> str:
+    return ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
 
 
 def _describe(spark: SparkSession, table: str, old: dict) -> None:
     """Carry comments and properties over to a new entry."""
     if old.get("comment"):
         spark.sql(f"COMMENT ON TABLE {table} IS {text_literal(old['comment'])}")
-    properties = old.get("table_properties") or {}
+    properties = {k: v for k, v in (old.get("table_properties") or {}).items() if k != _FILES}
     if properties:
-        pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_pairs(properties)})")
     kept = set(spark.table(table).columns)
     for col in old["columns"]:
         if col.get("comment") and col["name"] in kept:
@@ -239,11 +312,11 @@ def _describe(spark: SparkSession, table: str, old: dict) -> None:
 
 
 def _discard(spark: SparkSession, staged: str, table: str) -> None:
-    """Drop a stage that was not used; not its files if the table has them already."""
+    """Drop a stage that is not needed any more; not its files if they are the table's."""
     location = description(spark, staged)["location"]
-    used = exists(spark, table) and description(spark, table)["location"] == location
+    shared = description(spark, table)["location"].rstrip("/") == location.rstrip("/")
     drop_entry(spark, staged)
-    if not used:
+    if not shared:
         _delete(spark, location)
 
 
@@ -278,11 +351,14 @@ def _layout(described: dict) -> dict:
 
 
 @contextmanager
-def conforming(df: DataFrame, table: str, *, evolve: bool = False) -> Iterator[DataFrame]:
-    """``df`` with the table's columns, in the table's order, the table changed to take it.
-
-    Where ``evolve`` has to change the table, the rows are first written aside and come from there:
-    if that fails, the table is as it was.
+def conforming(
+    df: DataFrame, table: str, *, evolve: bool = False
+) -> Iterator[tuple[DataFrame, str]]:
+    """``df`` with the columns of a table to insert it into, in its order, and that table's name.
+
+    Where ``evolve`` has to change the table, the name is that of a stand-in: an entry with the new
+    columns over the same files or, if columns become wider, over a copy of them. When all is
+    inserted the table's entry changes; if that fails, the table is as it was.
     """
     spark = df.sparkSession
     fold = folding(spark)
@@ -307,46 +383,82 @@ def conforming(df: DataFrame, table: str, *, evolve: bool = False) -> Iterator[D
                 f"{table}.{wanted[key].name} is {sink.simpleString()}, which would cut "
                 f"incoming {source.simpleString()} values"
             )
-    aside = None
-    if new or wider:
-        aside = sibling(table, f"stage_{uuid.uuid4().hex}")
-        create(df, aside)
-        df = spark.table(aside)
-    try:
-        if wider:
-            _widen(spark, table, wider)
-        if new:
-            added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-        yield df.select(
+
+    def fitting(name: str) -> DataFrame:
+        return df.select(
             *[
                 (column(f.name) if fold(f.name) in given else F.lit(None).cast(f.dataType)).alias(
                     f.name
                 )
-                for f in spark.table(table).schema
+                for f in spark.table(name).schema
             ]
         )
+
+    if not (new or wider):
+        yield fitting(table), table
+        return
+    change = _changed if in_builtin_catalog(spark, table) else _altered
+    with change(spark, table, new, wider) as name:
+        yield fitting(name), name
+
+
+@contextmanager
+def _changed(
+    spark: SparkSession, table: str, new: Sequence[StructField], wider: Mapping[str, DataType]
+) -> Iterator[str]:
+    """A stand-in for a table of the session catalog, which becomes like it in the end."""
+    old = description(spark, table)
+    name = sibling(table, f"stage_{uuid.uuid4().hex}")
+    if wider:
+        stored = spark.table(table)
+        casts = {n: column(n).cast(kind) for n, kind in wider.items()}
+        _write_version(stored.withColumns(casts), name, old, old.get("partition_columns", []))
+    else:
+        place = text_literal(old["location"])
+        entry = f"{_two_parts(name)} LIKE {_two_parts(table)}"
+        spark.sql(f"CREATE TABLE {entry} USING {FORMAT} LOCATION {place}")
+    try:
+        if new:
+            _add_columns(spark, name, new)
+        yield name
+        if wider:
+            _take_place(spark, name, table, old)
+            return
+        _add_columns(spark, table, new)
+        written = _partitions(spark, name) if old.get("partition_columns") else []
+        if written:
+            specs = " ".join(f"PARTITION ({_spec(part)})" for part in written)
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+        spark.catalog.refreshTable(table)
     finally:
-        if aside:
-            drop_entry(spark, aside)
+        if not wider:
+            drop_entry(spark, name)  # the files are the table's
+        elif exists(spark, name) and exists(spark, table):
+            _discard(spark, name, table)
 
 
-def _widen(spark: SparkSession, table: str, wider: Mapping[str, DataType]) -> None:
-    """Give columns other types: in the session catalog by writing the table anew."""
-    if not in_builtin_catalog(spark, table):
-        for name, kind in wider.items():
-            spark.sql(f"ALTER TABLE {table} ALTER COLUMN {quoted(name)} TYPE {kind.simpleString()}")
-        return
-    stored = spark.table(table)
-    replace(
-        stored.select(
-            *[
-                (column(f.name).cast(wider[f.name]) if f.name in wider else column(f.name)).alias(f.name)
-                for f in stored.schema
-            ]
-        ),
-        table,
-    )
+@contextmanager
+def _altered(
+    spark: SparkSession, table: str, new: Sequence[StructField], wider: Mapping[str, DataType]
+) -> Iterator[str]:
+    """A table of a catalog that can alter columns. Added ones go again if the rest fails; one that
+    was made wider stays so."""
+    for name, kind in wider.items():
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN {quoted(name)} TYPE {kind.simpleString()}")
+    if new:
+        _add_columns(spark, table, new)
+    try:
+        yield table
+    except Exception:
+        if new:
+            names = ", ".join(quoted(field.name) for field in new)
+            spark.sql(f"ALTER TABLE {table} DROP COLUMNS ({names})")
+        raise
+
+
+def _add_columns(spark: SparkSession, table: str, new: Sequence[StructField]) -> None:
+    added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
+    spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
 
 
 _DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeload.names import folding
+from lakeload.names import column, folding
 from lakeload.operators.daily import load_day
 from lakeload.operators.profile import profile
 from lakeload.operators.stamp import with_load_times
@@ -45,33 +45,41 @@ def refresh_and_profile(
     root: str | os.PathLike | None = None,
     schema: StructType | str | None = None,
     infer: bool = False,
+    missing: str | None = None,
     **options,
 ) -> DataFrame:
     """Replace a table by a CSV file plus load times; return ``table_name`` and ``stats``.
 
     Once the table exists it supplies the types of the columns it has, so the text is read once;
-    ``infer`` has them inferred anew. Columns may come and go. Pass ``schema`` for a large first
-    load, see :func:`lakeload.load_csv`.
+    ``infer`` has them inferred anew. Columns may come; what happens to those that the file lacks
+    is up to ``missing``: ``drop`` lets them go, which is so unless told otherwise, ``null`` keeps
+    them without values, and ``error`` refuses the file. Pass ``schema`` for a large first load, see
+    :func:`lakeload.load_csv`; there ``error`` is the default.
 
     The figures are worked out from the new rows as written, a column-pruned scan, before these
     take the table's place: if a column that ``stats`` needs is missing or no number, or an
     aggregate fails, the old table stays. They are returned as computed, so they stay readable
     whatever becomes of the table.
     """
-    if schema is None and not infer and exists(spark, table):
-        stored = spark.table(table).schema
-        fields = [field for field in stored if field.name not in stamps]
+    if missing not in (None, "error", "null", "drop"):
+        raise ValueError(f"missing must be error, null or drop, not {missing!r}")
+    before = spark.table(table).schema if schema is None and exists(spark, table) else None
+    fold = folding(spark)
+    own = set(map(fold, stamps))
+    stored = StructType([f for f in before or () if fold(f.name) not in own])
+    if before is not None and not infer:
         loaded = load_csv(
             spark,
             path,
             root=root,
-            schema=StructType(fields),
+            schema=stored,
             infer_new=True,
-            missing="drop",
+            missing=missing or "drop",
             **options,
         )
     else:
-        loaded = load_csv(spark, path, root=root, schema=schema, **options)
+        loaded = load_csv(spark, path, root=root, schema=schema, missing=missing or "error", **options)
+        loaded = _with_missing(loaded, stored, missing or "drop", path)
     stamped = with_load_times(loaded, *stamps)
     _check_columns(stamped, stats)
     figures: list = []
@@ -84,6 +92,21 @@ def refresh_and_profile(
     return spark.createDataFrame(*figures)
 
 
+def _with_missing(
+    loaded: DataFrame, stored: StructType, missing: str, path: str | os.PathLike
+) -> DataFrame:
+    """Rows whose types were inferred, with the table's columns that they lack as ``missing`` says."""
+    fold = folding(loaded.sparkSession)
+    there = {fold(name) for name in loaded.columns}
+    absent = [field for field in stored if fold(field.name) not in there]
+    if absent and missing == "error":
+        raise ValueError(f"{path} lacks columns of the table: {[f.name for f in absent]}")
+    if missing == "drop":
+        return loaded
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in absent]
+    return loaded.select(*map(column, loaded.columns), *nulls)
+
+
 def _check_columns(df: DataFrame, stats: Mapping[str, tuple[str, str]]) -> None:
     fold = folding(df.sparkSession)
     types = {fold(field.name): field.dataType for field in df.schema}
@@ -130,10 +153,11 @@ def daily_load(
     written anew.
     """
     if schema is None and exists(spark, table):
-        stored = [f for f in spark.table(table).schema if f.name != "logical_date"]
+        fold = folding(spark)
+        stored = [f for f in spark.table(table).schema if fold(f.name) != "logical_date"]
         schema = StructType(stored)
         if evolve:
-            schema = _merged(schema, load_csv(spark, path, root=root, **options).schema)
+            schema = _merged(schema, load_csv(spark, path, root=root, **options).schema, fold)
         # A file's own column of that name is replaced, whatever it holds.
         schema = schema.add("logical_date", StringType())
     rows = load_csv(
@@ -149,12 +173,14 @@ def daily_load(
     return load_day(rows, table, logical_date, mode=mode, evolve=evolve).to_df(spark)
 
 
-def _merged(stored: StructType, inferred: StructType) -> StructType:
-    """The table's types, wider where a day's file needs it."""
-    found = {field.name: field.dataType for field in inferred}
+def _merged(
+    stored: StructType, inferred: StructType, fold: Callable[[str], str]
+) -> StructType:
+    """The table's types, wider where a day's file needs it, names compared as the session does."""
+    found = {fold(field.name): field.dataType for field in inferred}
     return StructType(
         [
-            StructField(f.name, widened(found.get(f.name, f.dataType), f.dataType) or f.dataType)
+            StructField(f.name, widened(found.get(fold(f.name), f.dataType), f.dataType) or f.dataType)
             for f in stored
         ]
     )

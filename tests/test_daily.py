@@ -172,6 +172,34 @@ def test_overwrite_in_a_table_made_elsewhere(spark, place, zone):
     assert per_day(spark, name) == {"2024-11-10T05:00:00Z": 10}
 
 
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+@pytest.mark.parametrize("new", ["1 AS more", "id * 1.5D AS price", "id * 1.5D AS price, 1 AS more"])
+def test_a_failing_day_changes_neither_columns_nor_rows(spark, place, monkeypatch, mode, new):
+    name = place.table("daily")
+    first = spark.range(4).selectExpr("id", "CAST(id AS INT) AS price")
+    ll.load_day(first, name, DAY_1)
+    ll.load_day(first, name, DAY_2)
+
+    def lost(*args):
+        raise ValueError("lost")
+
+    monkeypatch.setattr(daily, "insert" if mode == "append" else "_overwrite", lost)
+    rows = spark.range(2).selectExpr("id", *new.split(", "))
+    with pytest.raises(ValueError, match="lost"):
+        ll.load_day(rows, name, DAY_2, mode=mode, evolve=True)
+    assert spark.table(name).columns == ["id", "price", "logical_date"]
+    assert dict(spark.table(name).dtypes)["price"] == "int"
+    assert spark.table(name).count() == 8
+    monkeypatch.undo()
+    done = ll.load_day(rows, name, DAY_2, mode=mode, evolve=True)
+    assert done.records_processed == 2
+    left = 4 if mode == "append" else 0
+    assert [n for _, n in sorted(per_day(spark, name).items())] == [4, left + 2]
+    assert [t.name for t in spark.catalog.listTables(place.database)] == ["daily"]
+    again = ll.load_day(rows.limit(0), name, DAY_2, mode="overwrite", evolve=True)
+    assert again.records_processed == 0 and spark.table(name).count() == 4
+
+
 def test_bad_arguments(spark, table):
     with pytest.raises(ValueError, match="mode"):
         ll.load_day(spark.range(1), table, DAY_1, mode="replace")

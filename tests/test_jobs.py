@@ -234,3 +234,71 @@ def test_a_logical_date_column_in_the_file_is_replaced_on_every_day(spark, place
         ll.daily_load(spark, path, table, day)
     assert ll.day_slice(spark.table(table), "2024-11-11").count() == 1
     assert dict(spark.table(table).dtypes)["logical_date"] == "timestamp"
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_a_refresh_without_a_column(spark, place, csv, infer):
+    """It goes, stays without values, or the file is refused, as the caller says."""
+    table = place.table("users")
+    stats = {"n": ("count", "*"), "age": ("avg", "age")}
+    full = csv("id,Name,age\n1,a,30\n2,b,40\n", name="full")
+    short = csv("id,age\n1,31\n", name="short")
+
+    def refresh(path, **kw):
+        return ll.refresh_and_profile(spark, path, table, stats, stamps=["at"], infer=infer, **kw).first()
+
+    for missing, columns in (("null", ["id", "age", "Name", "at"]), ("drop", ["id", "age", "at"])):
+        refresh(full, missing="error" if missing == "null" else None)
+        assert refresh(short, missing=missing).age == 31
+        assert spark.table(table).columns == columns
+        if missing == "null":
+            assert dict(spark.table(table).dtypes)["Name"] == "string"
+            assert [r.Name for r in spark.table(table).collect()] == [None]
+    refresh(full)
+    with pytest.raises(ValueError, match="lacks columns.*Name"):
+        refresh(short, missing="error")
+    assert spark.table(table).count() == 2 and "Name" in spark.table(table).columns
+    refresh(short)
+    assert spark.table(table).columns == ["id", "age", "at"]
+    with pytest.raises(ValueError, match="missing must be"):
+        refresh(short, missing="ignore")
+
+
+def test_users_and_products_take_missing(spark, place, csv):
+    table = place.table("users")
+    ll.refresh_users(spark, csv(USERS), table)
+    short = csv("user_id,age,department,salary\nU1,30,X,1\n", name="short")
+    with pytest.raises(ValueError, match="lacks columns"):
+        ll.refresh_users(spark, short, table, missing="error")
+    assert spark.table(table).count() == 8
+    ll.refresh_users(spark, short, table, missing="null")
+    assert spark.table(table).select("name", "join_date").first()[:] == (None, None)
+
+
+def test_stamps_are_told_from_columns_by_any_case(spark, place, csv):
+    table = place.table("t")
+    for stamp in ("at", "At"):
+        path = csv("id\n1\n", name=stamp)
+        ll.refresh_and_profile(spark, path, table, {"n": ("count", "*")}, stamps=[stamp])
+    assert len(spark.table(table).columns) == 2
+
+
+def test_a_header_in_another_case_widens_its_column(spark, place, csv):
+    table = place.table("daily")
+    ll.daily_load(spark, csv("id,price\n1,2\n", name="one"), table, "2024-11-10")
+    done = ll.daily_load(spark, csv("ID,Price\n2,2.5\n", name="two"), table, "2024-11-11", evolve=True)
+    assert done.first().records_processed == 1
+    assert dict(spark.table(table).dtypes) == {"id": "int", "price": "double", "logical_date": "timestamp"}
+    assert sorted(r.price for r in spark.table(table).collect()) == [2.0, 2.5]
+
+
+def test_case_counts_where_the_session_says_so(spark, place, csv):
+    table = place.table("daily")
+    ll.daily_load(spark, csv("id,price\n1,2\n", name="one"), table, "2024-11-10")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="columns"):
+            ll.daily_load(spark, csv("id,Price\n2,2\n", name="two"), table, "2024-11-11")
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert spark.table(table).count() == 1

@@ -317,8 +317,8 @@ def test_replace_keeps_the_partitioning(spark, place):
 def test_conforming_adds_no_shuffle(spark, place):
     table = place.table("t")
     ll.create(spark.sql("SELECT 1 AS a, 'x' AS b"), table)
-    with conforming(spark.sql("SELECT 'y' AS b, 2 AS a"), table) as df:
-        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    with conforming(spark.sql("SELECT 'y' AS b, 2 AS a"), table) as (df, name):
+        assert name == table and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize(
@@ -363,6 +363,141 @@ def test_a_load_that_fails_undoes_its_evolution(spark, place):
     assert names(spark, place) == ["t"]
 
 
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("when", ["before the rows", "after the rows"])
+@pytest.mark.parametrize(
+    "incoming", ["SELECT 3 AS id, 'x' AS more", "SELECT 2.5D AS id", "SELECT 2.5D AS id, 1 AS more"]
+)
+def test_evolution_ends_with_the_insert(spark, place, monkeypatch, incoming, when):
+    table = place.table("t")
+    ll.create(spark.sql("SELECT 1 AS id"), table)
+    real = tables.insert
+
+    def failing_insert(df, name):
+        if when == "after the rows" and name != table:
+            real(df, name)
+        raise Lost
+
+    if when == "before the rows" or "2.5" in incoming:
+        monkeypatch.setattr(tables, "insert", failing_insert)
+        with pytest.raises(Lost):
+            ll.append(spark.sql(incoming), table, evolve=True)
+        assert spark.table(table).dtypes == [("id", "int")]
+        assert values(spark, table) == [(1,)]
+        assert names(spark, place) == ["t"] and len(folders(place)) == 1
+    monkeypatch.undo()
+    ll.append(spark.sql(incoming), table, evolve=True)
+    assert spark.table(table).count() == 2
+    assert names(spark, place)[0] == "t"
+
+
+def test_purge_and_drop_leave_tables_of_others(spark, place):
+    table, other = place.table("sales"), place.table("sales__old_2023")
+    ll.create(rows(spark, 0, 3), table)
+    ll.create(rows(spark, 0, 4), other)
+    own = place.table("sales__old_1700000000000_" + "0" * 32)
+    ll.create(rows(spark, 0, 6), own)
+    assert ll.purge(spark, table, timedelta(0)) == 0
+    ll.replace(rows(spark, 0, 5), table)
+    assert ll.purge(spark, table, timedelta(0)) == 1
+    ll.replace(rows(spark, 0, 5), table)
+    ll.drop(spark, table)
+    assert (spark.table(other).count(), spark.table(own).count()) == (4, 6)
+    assert len(names(spark, place)) == 2
+
+
+def test_drop_beside_a_backup(spark, place):
+    table, backup = place.table("cust"), place.table("cust__old_backup")
+    ll.create(rows(spark), table)
+    ll.create(rows(spark), backup)
+    ll.drop(spark, table)
+    assert names(spark, place) == ["cust__old_backup"]
+    assert spark.table(backup).count() == 10
+
+
+def test_versions_belong_to_one_table(spark, place):
+    """A table whose name begins with another's, versions included."""
+    table, longer = place.table("t"), place.table("t__old_t")
+    for name in (table, longer):
+        ll.create(rows(spark, 0, 2), name)
+        ll.replace(rows(spark, 0, 3), name)
+    assert ll.purge(spark, table, timedelta(0)) == 1
+    assert ll.purge(spark, table, timedelta(0)) == 0
+    assert ll.purge(spark, longer, timedelta(0)) == 1
+    assert (spark.table(table).count(), spark.table(longer).count()) == (3, 3)
+
+
+def test_drop_leaves_files_that_only_look_like_a_version(spark, place):
+    table, path = place.table("t"), place.path("data__v_" + "a" * 32)
+    rows(spark, 0, 3).write.parquet(path)
+    spark.sql(f"CREATE TABLE {table} (id BIGINT) USING parquet LOCATION '{path}'")
+    ll.drop(spark, table)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_drop_leaves_files_of_a_place_set_by_others(spark, place):
+    table, path = place.table("t"), place.path("outside")
+    ll.create(rows(spark, 0, 3), table)
+    ll.replace(rows(spark).withColumn("x", F.lit(1)), table)
+    rows(spark, 0, 5).withColumn("x", F.lit(1)).write.parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    ll.drop(spark, table)
+    assert spark.read.parquet(path).count() == 5
+
+
+def partitioned(spark, *pairs):
+    return spark.createDataFrame(pairs, "id bigint, k string")
+
+
+def test_replace_of_partitions_overwrites_and_drops(spark, place):
+    table = place.table("t")
+    ll.replace(partitioned(spark, (1, "a"), (2, "b/=%"), (3, None)), table, partition_by=["k"])
+    reader = spark.table(table)
+    location = tables.description(spark, table)["location"]
+    ll.replace(partitioned(spark, (7, "b/=%"), (8, "c")), table)
+    assert values(spark, table) == [(7, "b/=%"), (8, "c")]
+    assert sorted(map(tuple, reader.collect())) == [(7, "b/=%"), (8, "c")]  # opened before, read after
+    assert tables.description(spark, table)["location"] == location
+    assert names(spark, place) == ["t"] and len(folders(place)) == 1
+    ll.replace(partitioned(spark).limit(0), table)
+    assert values(spark, table) == []
+    ll.append(partitioned(spark, (9, "a")), table)
+    assert values(spark, table) == [(9, "a")]
+
+
+def test_replace_of_partitions_by_other_columns(spark, place):
+    table = place.table("t")
+    ll.replace(partitioned(spark, (1, "a"), (2, "b")), table, partition_by=["k"])
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('team' = 'me')")
+    ll.replace(spark.sql("SELECT 1.5D AS price, 'a' AS k UNION ALL SELECT 2.5D, 'z'"), table)
+    described = tables.description(spark, table)
+    assert described["partition_columns"] == ["k"] and described["table_properties"]["team"] == "me"
+    assert values(spark, table) == [(1.5, "a"), (2.5, "z")]
+    ll.append(spark.sql("SELECT 3.5D AS price, 'a' AS k"), table)
+    assert spark.table(table).filter("k = 'a'").count() == 2
+    ll.replace(rows(spark, 0, 2), table, partition_by=[])
+    assert values(spark, table) == [(0,), (1,)]
+    ll.drop(spark, table)
+    assert folders(place) == [] and names(spark, place) == []
+
+
+def test_a_stage_is_kept_when_only_it_has_the_rows(spark, place, monkeypatch):
+    table = place.table("t")
+    ll.replace(partitioned(spark, (1, "a")), table, partition_by=["k"])
+
+    def lost(*args):
+        raise Lost
+
+    monkeypatch.setattr(tables, "_rename", lost)
+    with pytest.raises(Lost):
+        ll.replace(spark.sql("SELECT 1.5D AS price, 'a' AS k"), table)
+    (left,) = names(spark, place)
+    assert spark.table(place.table(left)).count() == 1
+
+
 @pytest.mark.parametrize(
     "table, name",
     [("t", "t__x"), ("db.t", "db.t__x"), ("spark_catalog.`db`.`t`", "spark_catalog.db.t__x")],
