@@ -17,19 +17,23 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-BATCH_BYTES = 1 << 20
-REMEMBERED_BYTES = 256 << 20
-# What an entry costs beside its text: dictionary slot, two object headers, the ids.
-_ENTRY_BYTES = 200
+BATCH_BYTES = 1 << 17
+#: Of pieces in both generations together, in each Python worker.
+REMEMBERED_BYTES = 128 << 20
+# What an entry costs beside its two objects: its part of a dictionary.
+_ENTRY_BYTES = 80
 
 # A space after anything but white space begins a new word of a byte-level tokenizer. White space
 # here is Python's, which includes all that the tokenizers' own expressions count as such.
 _DOUBTFUL = re.compile(r"[\s᠎] ")
 _SAFE = re.compile(r"(?<=[^\s᠎])(?= )")
 
-# A word of Latin letters, each of them one letter in lower case too, and perhaps a sign. Tokenizers
-# split these in front of the sign.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]?)")
+# A word of Latin letters, each of them one letter in lower case too, and perhaps a few signs; and
+# after a line end perhaps another one. Tokenizers split these in front of the signs and around the
+# line end.
+_WORD = "([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?#*$%&]{0,3})"
+_PLAIN = re.compile(f"{_WORD}(?:\n{_WORD})?")
+_ONE_SIGN = frozenset(".,;:!?#*$%&")
 _PLAIN_SAMPLE = ("Word", "word", "Äpfel", "éèçñ", "Ünïcödé", "ıĳſɏ", "McDonald", "a")
 
 
@@ -69,12 +73,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
+        self._one = [n.to_bytes(self.width, "little") for n in range(self.tokenizer.get_vocab_size())]
         self._split = split_at_spaces if self._drops_white_space() else split_before_spaces
         self._lower = self._drops_white_space()
-        self._plain = all(self._words([w]) == [self._ids(" " + w)] for w in _PLAIN_SAMPLE)
+        self._plain = all(
+            self._words([w], space) == [self._ids(space + w)] for w in _PLAIN_SAMPLE for space in ("", " ")
+        )
+        # Ids of signs after a word, and of a line end.
+        self._signs = {"": b"", "\n": self._ids("\n")}
         # Ids of pieces that follow a space, with that space.
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        # Ids of plain words that no space precedes.
+        self._bare: dict[str, bytes] = {}
         self._bytes = 0
 
     def _ids(self, piece: str) -> bytes:
@@ -83,17 +94,20 @@ class Encoder:
     def _packed(self, ids: list[int]) -> bytes:
         return array(self._code, ids).tobytes()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of plain words straight from the tokenizer's model.
+    def _words(self, words: Iterable[str], space: str = " ") -> list[bytes]:
+        """Ids of plain words, each after ``space``, straight from the tokenizer's model.
 
         They need no splitting, and its bookkeeping for one word costs more than the merges.
         """
         tokenize = self.tokenizer.model.tokenize
+        one, space = self._one, _LETTERS[32] if space and not self._lower else ""
         found = []
         for word in words:
-            word = word.lower() if self._lower else " " + word
-            letters = word.encode().decode("latin-1").translate(_LETTERS)
-            found.append(self._packed([token.id for token in tokenize(letters)]))
+            if self._lower:
+                word = word.lower()
+            if not word.isascii():  # ASCII letters stand for themselves
+                word = word.encode().decode("latin-1").translate(_LETTERS)
+            found.append(b"".join([one[token.id] for token in tokenize(space + word)]))
         return found
 
     def _drops_white_space(self) -> bool:
@@ -118,18 +132,15 @@ class Encoder:
     def _learn(self, cut: list[list[str]]) -> None:
         if 2 * self._bytes > REMEMBERED_BYTES:
             self._known, self._older = {}, self._known
-            self._bytes = 0
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces)
-        new.difference_update(self._known)
-        for piece in new.intersection(self._older) if self._older else ():
-            self._keep(piece, self._older[piece])
-            new.remove(piece)
-        rest = self._learn_words(new) if self._plain else new
-        rest = list(rest)
-        for piece, ids in zip(rest, self._batch([" " + piece for piece in rest]), strict=True):
-            self._keep(piece, ids)
+            self._bare, self._bytes = {}, 0
+        # A set less a dictionary looks up the set's items, not the dictionary's.
+        new = set().union(*cut).difference(self._known)
+        older = self._older
+        if older:
+            self._keep({piece: older[piece] for piece in new if piece in older})
+            new = new.difference(older)
+        rest = self._learn_words(new) if self._plain else list(new)
+        self._keep(dict(zip(rest, self._batch([" " + piece for piece in rest]), strict=True)))
 
     def _batch(self, pieces: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -140,25 +151,50 @@ class Encoder:
 
     def _learn_words(self, new: set[str]) -> list[str]:
         """Learn the plain words among new pieces; the pieces that are none."""
-        rest, plain = [], []
+        rest, words, signed, composed = [], set(), [], []
         for piece in new:
-            match = _PLAIN.fullmatch(piece)
-            if match:
-                plain.append(match.groups())
+            if piece.isascii():  # most of them: told apart without an expression
+                if piece.isalpha():
+                    words.add(piece)
+                    continue
+                word = piece[:-1]
+                if piece[-1:] in _ONE_SIGN and word.isalpha():
+                    words.add(word)
+                    signed.append((piece, word))
+                    continue
+            if match := _PLAIN.fullmatch(piece):
+                words.add(match[1])
+                if len(match[1]) < len(piece):
+                    composed.append((piece, *match.groups()))
             else:
                 rest.append(piece)
-        unknown = list({word for word, _ in plain if word not in self._known})
-        for word, ids in zip(unknown, self._words(unknown), strict=True):
-            self._keep(word, ids)
-        signs = {sign: self._ids(sign) for _, sign in plain if sign}
-        for word, sign in plain:
-            if sign:
-                self._keep(word + sign, self._known[word] + signs[sign])
+        self._learn_new(self._known, words, " ")
+        self._learn_new(self._bare, {bare for _, _, _, bare, _ in composed if bare}, "")
+        known, after, bare = self._known, self._sign, self._bare
+        line = self._signs["\n"]
+        self._keep({piece: known[word] + after(piece[-1]) for piece, word in signed})
+        self._keep(
+            {
+                piece: known[word] + after(sign) + (line + bare[second] + after(more) if second else b"")
+                for piece, word, sign, second, more in composed
+            }
+        )
         return rest
 
-    def _keep(self, piece: str, ids: bytes) -> None:
-        self._known[piece] = ids
-        self._bytes += 4 * len(piece) + len(ids) + _ENTRY_BYTES
+    def _learn_new(self, known: dict[str, bytes], words: set[str], space: str) -> None:
+        unknown = list(words.difference(known))
+        self._keep(dict(zip(unknown, self._words(unknown, space), strict=True)), known)
+
+    def _sign(self, sign: str) -> bytes:
+        """Ids of some signs: so few at most that there are no more than a thousand."""
+        if sign not in self._signs:
+            self._signs[sign] = self._ids(sign)
+        return self._signs[sign]
+
+    def _keep(self, found: dict[str, bytes], known: dict[str, bytes] | None = None) -> None:
+        (self._known if known is None else known).update(found)
+        size = sys.getsizeof
+        self._bytes += sum(map(size, found)) + sum(map(size, found.values())) + _ENTRY_BYTES * len(found)
 
 
 def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
@@ -176,9 +212,9 @@ def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield batch
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, kept from task to task."""
+    """The worker's encoder for a file, kept from task to task until another file's is asked for."""
     # Pieces and ids are no containers: looking through them for cycles is in vain.
     gc.set_threshold(100_000, 20, 100)
     return Encoder(path)

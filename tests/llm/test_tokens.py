@@ -39,6 +39,18 @@ def test_pieces_encode_as_whole_texts(tokenizer):
     assert ours == [encoded.ids for encoded in whole]
 
 
+def test_words_signs_and_line_ends_encode_as_whole_texts(tokenizer):
+    chance = random.Random(2)
+    parts = ["ab", "Ünï", "THE", "ı", "ɏx", ".", ",", "!!", "###", "$$$$", "%&*", "?", "'", "\n", "\n\n", " ", "1"]
+    parts += ["s", "t", " \n", "\n ", "'s", "<|endoftext|>", "ĳ", "ǆ", "é"]
+    texts = ["".join(chance.choices(parts, k=chance.randint(1, 12))) for _ in range(20_000)]
+    whole = Tokenizer.from_file(tokenizer).encode_batch(texts, add_special_tokens=False)
+    encoder = Encoder(tokenizer)
+    assert encoder._plain
+    ours = [np.frombuffer(ids, f"<u{encoder.width}").tolist() for ids in encoder.encode(texts)]
+    assert ours == [encoded.ids for encoded in whole]
+
+
 def test_memory_of_pieces_is_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(encoding, "REMEMBERED_BYTES", 2000)
     monkeypatch.setattr(encoding, "BATCH_BYTES", 100)
