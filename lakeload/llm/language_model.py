@@ -1,13 +1,15 @@
 """Scores of texts under a class-based bigram model trained on some of them.
 
-Words are put into classes, more of them the more words there are. The most frequent words are
-assigned by exchange clustering: each moves to the class that makes the bigrams of classes most
-likely, until none does. Every other word with enough neighbours then goes to the class that gains
-most from its own neighbours; only words too rare for that go to classes by how often they occur. A token's probability is that of its class after the class before
-it, times that of the token within its class.
+Words are put into classes, more of them the more words there are. The most frequent words, a fixed
+number of them, are assigned by exchange clustering: each moves to the class that makes the bigrams
+of classes most likely, until none does. Every other word with enough neighbours then goes to the
+class that gains most from its own neighbours; only words too rare for that go to classes by how
+often they occur. A token's probability is that of its class after the class before it, times that
+of the token within its class.
 
 Words are 64-bit hashes, see :mod:`lakeload.llm.shingles`. Counts of the whole vocabulary never
-meet in one place: texts are dealt to buckets, and each bucket gets the counts of its own words.
+meet in one place: texts are dealt to buckets, and each bucket gets the counts of its own words. All
+tasks know the most frequent words, so that no word is sent to every bucket.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ from lakeload.llm.shingles import word_hashes
 from lakeload.llm.storage import stored
 from lakeload.names import column
 
-#: At least so many of the most frequent words are clustered by exchange, into so many classes; the
-#: classes grow with the cube root of the number of words that are clustered in all.
-CORE_WORDS = 1024
+#: So many of the most frequent words are clustered by exchange, on the driver, from the counts of
+#: their bigrams: a matrix of 2,050 rows and columns at most, whatever the corpus.
+CORE_WORDS = 2048
+#: Into so many classes at least and at most; between, classes grow with the cube root of the number
+#: of words that are clustered in all.
 CORE_CLASSES = 32
+MOST_CLASSES = 512
 SWEEPS = 5
 #: Words that training has so often are clustered by their neighbours.
 EVIDENCE = 8
@@ -36,15 +41,17 @@ BANDS = 40
 #: Pseudo-count of a class after a class.
 SMOOTHING = 0.5
 
+_WORDS_AT_ONCE = 1024
+_CELLS_AT_ONCE = 1 << 14
 _BUCKET_BYTES = 8 << 20
-_COUNTED_WORDS = 1 << 20
+_COUNTED_WORDS = 1 << 19
 
 _FILTER_BITS = 24
 
 
 def class_number(words: int) -> int:
     """Into how many classes so many words are clustered."""
-    return max(CORE_CLASSES, round(2 * words ** (1 / 3)))
+    return min(MOST_CLASSES, max(CORE_CLASSES, round(2 * words ** (1 / 3))))
 
 
 def exchange_classes(
@@ -61,6 +68,7 @@ def exchange_classes(
     n = classes + fixed
     counts = np.zeros((n, n))
     np.add.at(counts, (label[:, None], label[None, :]), bigrams)
+    table = Steps(counts, classes)
     for _ in range(sweeps):
         moved = False
         for w in range(words):
@@ -70,35 +78,78 @@ def exchange_classes(
             own = bigrams[w, w]
             after[old] -= own
             before[old] -= own
-            counts[old] -= after
-            counts[:, old] -= before
-            counts[old, old] -= own
-            best = int(_gains(counts, after, before, own, classes).argmax())
+            table.add(old, -after, -before, -own)
+            cells = np.flatnonzero(np.concatenate([after, before]))
+            amounts = np.concatenate([after, before])[cells]
+            best = int(table.gains(np.array([len(cells)]), cells, amounts, own)[0].argmax())
             label[w] = best
-            counts[best] += after
-            counts[:, best] += before
-            counts[best, best] += own
+            table.add(best, after, before, own)
             moved |= best != old
         if not moved:
             break
     return label[:words]
 
 
-def _gains(counts, after, before, own, classes) -> np.ndarray:
-    """What each class would gain in likelihood from a word with these neighbours."""
-    k = np.arange(classes)
-    rows, columns = counts[:classes], counts[:, :classes].T
-    gain = (_xlogx(rows + after) - _xlogx(rows)).sum(axis=1)
-    gain += (_xlogx(columns + before) - _xlogx(columns)).sum(axis=1)
-    # The cell of a class after itself is in both sums, and gets all three parts.
-    cell = counts[k, k]
-    gain -= _xlogx(cell + after[k]) + _xlogx(cell + before[k]) - 2 * _xlogx(cell)
-    gain += _xlogx(cell + after[k] + before[k] + own) - _xlogx(cell)
-    # Its neighbours count it in their sums wherever it goes.
-    out, into = rows.sum(axis=1) + before[:classes], columns.sum(axis=1) + after[:classes]
-    gain -= _xlogx(out + after.sum() + own) - _xlogx(out)
-    gain -= _xlogx(into + before.sum() + own) - _xlogx(into)
-    return gain
+class Steps:
+    """How often each class follows each, and what words would add to the likelihood of that.
+
+    The first ``classes`` rows and columns are classes that words can join. Neighbours of a word are
+    given as cells: ``c`` for class ``c`` after the word, ``n + c`` for class ``c`` before it.
+    """
+
+    def __init__(self, counts: np.ndarray, classes: int) -> None:
+        self.counts, self.classes, self.n = counts, classes, len(counts)
+        # A row for each class: what follows it, then what it follows.
+        self._both = np.concatenate([counts[:classes], counts[:, :classes].T], axis=1)
+        self._logs = _xlogx(self._both)
+        self._out, self._into = counts.sum(axis=1), counts.sum(axis=0)
+
+    def add(self, k: int, after: np.ndarray, before: np.ndarray, own: float) -> None:
+        """Let a word with these neighbours, itself ``own`` times, join class ``k``."""
+        counts, n, classes = self.counts, self.n, self.classes
+        counts[k] += after
+        counts[:, k] += before
+        counts[k, k] += own
+        self._out += before
+        self._out[k] += after.sum() + own
+        self._into += after
+        self._into[k] += before.sum() + own
+        self._both[k] = np.concatenate([counts[k], counts[:, k]])
+        self._both[:, k] = counts[:classes, k]
+        self._both[:, n + k] = counts[k, :classes]
+        self._logs[k] = _xlogx(self._both[k])
+        self._logs[:, [k, n + k]] = _xlogx(self._both[:, [k, n + k]])
+
+    def gains(
+        self, sizes: np.ndarray, cells: np.ndarray, amounts: np.ndarray, own: float = 0
+    ) -> np.ndarray:
+        """What each class would gain in likelihood from each of some words, a row each.
+
+        ``sizes`` tells how many of the cells and amounts belong to each word, one at least. Only
+        cells that a word has change.
+        """
+        classes, n = self.classes, self.n
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        change = _xlogx(self._both[:, cells] + amounts) - self._logs[:, cells]
+        gain = np.add.reduceat(change, np.cumsum(sizes) - sizes, axis=1).T
+        side = cells >= n
+        near = cells - n * side
+        joins = near < classes
+        after, before = (np.zeros((len(sizes), classes)) for _ in range(2))
+        after[word[joins & ~side], near[joins & ~side]] = amounts[joins & ~side]
+        before[word[joins & side], near[joins & side]] = amounts[joins & side]
+        all_after = np.bincount(word, weights=np.where(side, 0, amounts), minlength=len(sizes))[:, None]
+        all_before = np.bincount(word, weights=np.where(side, amounts, 0), minlength=len(sizes))[:, None]
+        # The cell of a class after itself is in both sums, and gets all three parts.
+        k = np.arange(classes)
+        cell, known = self.counts[k, k], self._logs[k, k]
+        gain -= _xlogx(cell + after) + _xlogx(cell + before) - 2 * known
+        gain += _xlogx(cell + after + before + own) - known
+        # Its neighbours count it in their sums wherever it goes.
+        out, into = self._out[:classes] + before, self._into[:classes] + after
+        gain -= _xlogx(out + all_after + own) - _xlogx(out)
+        gain -= _xlogx(into + all_before + own) - _xlogx(into)
+        return gain
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -115,6 +166,9 @@ class Vocabulary:
     ends: int
     class_tokens: np.ndarray  # by class
     class_types: np.ndarray
+    core: np.ndarray  # the most frequent words, in order
+    core_counts: np.ndarray
+    core_classes: np.ndarray
 
     @property
     def end(self) -> int:
@@ -167,9 +221,13 @@ def score(
     vocabulary, words = _vocabulary(rows, counts, words)
     known = spark.sparkContext.broadcast(vocabulary)
 
-    key = F.pmod(F.xxhash64("doc_id", "body"), F.lit(buckets)).cast("int").alias("bucket")
+    # Repeated rows lie in as many buckets as partitions of the input hold them.
+    place = F.xxhash64("doc_id", "body", F.spark_partition_id())
+    key = F.pmod(place, F.lit(buckets)).cast("int").alias("bucket")
     dealt = rows.select(key, "doc_id", "body", "train")
-    used = dealt.groupBy("bucket").applyInArrow(_bucket_words, "bucket int, word bigint")
+    used = dealt.groupBy("bucket").applyInArrow(
+        lambda texts: _bucket_words(texts, known.value.core), "bucket int, word bigint"
+    )
     shares = used.join(words, "word").select("bucket", "word", "n", "class")
     fields = "n_tokens bigint, n_known bigint, base_score double, emission double, classes binary"
     schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, train boolean, {fields}"
@@ -232,8 +290,10 @@ def _vocabulary(rows: DataFrame, counts: DataFrame, words: DataFrame) -> tuple[V
     spark = rows.sparkSession
     often = words.filter(F.col("n") >= EVIDENCE)
     clustered = class_number(often.count())
-    top = words.orderBy(F.desc("n"), "word").limit(max(CORE_WORDS, 16 * clustered)).collect()
-    core = np.sort(np.array([row.word for row in top], np.int64).view(np.uint64))
+    top = words.orderBy(F.desc("n"), "word").limit(CORE_WORDS).toArrow()
+    core = top["word"].to_numpy().view(np.uint64)
+    order = np.argsort(core)
+    core, core_counts = core[order], top["n"].to_numpy()[order]
     bigrams = _core_bigrams(rows, core)
     core_class = exchange_classes(bigrams, len(core), clustered)
     steps = np.zeros((clustered + 2, clustered + 2))
@@ -255,24 +315,25 @@ def _vocabulary(rows: DataFrame, counts: DataFrame, words: DataFrame) -> tuple[V
         tokens[row["class"]], types[row["class"]] = row.n, row.v
     total, distinct = int(tokens.sum()) + ends, int(types.sum()) + bool(ends)
     tokens[clustered + BANDS], types[clustered + BANDS] = ends, 1
-    return Vocabulary(clustered, total, distinct, ends, tokens, types), labelled
+    core_words = (core, core_counts, core_class)
+    return Vocabulary(clustered, total, distinct, ends, tokens, types, *core_words), labelled
 
 
 def _assigned(
     rows: DataFrame, often: DataFrame, core: np.ndarray, core_class: np.ndarray, steps: np.ndarray
 ) -> DataFrame:
     """``word`` and ``class`` of all words of ``often`` outside ``core``, by the classes of their
-    neighbours; neighbours outside are one class. What passes the filter though it is rare is left
-    out again by a join."""
+    neighbours; neighbours outside are one class.
+
+    A filter of two megabytes keeps most rare words' neighbours from being counted. What passes it
+    is left out again by a join, so how much passes changes the cost only.
+    """
     n, other, end = len(steps), len(steps) - 2, len(steps) - 1
-    place = F.shiftrightunsigned("word", 64 - _FILTER_BITS).cast("int").alias("place")
-    bits = np.zeros(1 << _FILTER_BITS, bool)
-    bits[often.select(place).distinct().toArrow()["place"].to_numpy()] = True
-    known = rows.sparkSession.sparkContext.broadcast((core, core_class, np.packbits(bits)))
+    known = rows.sparkSession.sparkContext.broadcast((core, core_class, _filter(often)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         core, core_class, packed = known.value
-        wanted = np.unpackbits(packed).view(bool)
+        wanted = np.unpackbits(packed, bitorder="little").view(bool)
         gathered, amount = [], 0
         for batch in batches:
             for words in word_hashes(v.as_py() for v in batch.column(0)):
@@ -292,13 +353,21 @@ def _assigned(
             yield _cells(gathered)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Steps(steps.copy(), n - 2)
         for batch in batches:
-            found = []
-            columns = (batch.column(name).to_pylist() for name in ("cells", "amounts"))
-            for cells, amounts in zip(*columns, strict=True):
-                sides = np.bincount(cells, weights=amounts, minlength=2 * n)
-                found.append(int(_gains(steps, sides[:n], sides[n:], 0, n - 2).argmax()))
-            arrays = [batch.column("word"), pa.array(found, pa.int32())]
+            found = [np.empty(0, np.int64)]
+            at = 0
+            while at < batch.num_rows:
+                # A few words at a time, by the number of their cells.
+                part = batch.slice(at, _WORDS_AT_ONCE)
+                cells, amounts = (part.column(name) for name in ("cells", "amounts"))
+                sizes = cells.value_lengths().to_numpy()
+                fit = max(1, int(np.searchsorted(np.cumsum(sizes), _CELLS_AT_ONCE, side="right")))
+                sizes, total = sizes[:fit], int(sizes[:fit].sum())
+                given = (x.flatten().to_numpy()[:total] for x in (cells, amounts))
+                found.append(table.gains(sizes, *given).argmax(axis=1))
+                at += len(sizes)
+            arrays = [batch.column("word"), pa.array(np.concatenate(found), pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, ["word", "class"])
 
     parts = rows.filter("train").select("body").mapInArrow(count, "word bigint, cell int, n bigint")
@@ -309,6 +378,19 @@ def _assigned(
     return each.mapInArrow(best, "word bigint, class int")
 
 
+def _filter(often: DataFrame) -> np.ndarray:
+    """A bit for each value of the leading bits of the hashes of words: whether a word has it."""
+    place = F.shiftrightunsigned("word", 64 - _FILTER_BITS) + 1
+    bitmaps = often.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    size = 1 << 12  # bytes of each
+    packed = np.zeros((1 << _FILTER_BITS) // 8, np.uint8)
+    for row in bitmaps.collect():
+        packed[(row.part - 1) * size : row.part * size] = np.frombuffer(row.bits, np.uint8)
+    return packed
+
+
 def _cells(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """How often each word has each cell."""
     words, cells = (np.concatenate(parts) for parts in zip(*gathered, strict=True))
@@ -322,31 +404,30 @@ def _cells(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _core_bigrams(rows: DataFrame, core: np.ndarray) -> np.ndarray:
-    """Counts of neighbours among the clustered words, any other word, and ends, in that order.
+    """Counts of neighbours among the core words, any other word, and ends, in that order.
 
-    A matrix of a fixed size, summed up task by task; all texts of training are counted.
+    A matrix of a bounded size, of which tasks send the cells they have, summed by Spark; all texts
+    of training are counted.
     """
     n = len(core) + 2
     other, end = len(core), len(core) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n * n, np.int64)
+        gathered, amount = [], 0
         for batch in batches:
-            tokens = []
             for words in word_hashes(v.as_py() for v in batch.column(0)):
                 place = np.minimum(np.searchsorted(core, words), max(0, len(core) - 1))
+                # Each text begins and ends with an end; those of two texts are no bigram.
                 found = np.full(len(words) + 2, end)
                 hit = core[place] == words if len(core) else np.zeros(len(words), bool)
                 found[1:-1] = np.where(hit, place, other)
-                tokens.append(found)
-            if tokens:
-                flat = np.concatenate(tokens)
-                # Each text begins and ends with an end; those of two texts are no bigram.
-                pairs = flat[:-1] * n + flat[1:]
-                last = np.cumsum([len(t) for t in tokens])[:-1] - 1
-                total += np.bincount(np.delete(pairs, last), minlength=n * n)
-        cells = np.flatnonzero(total)
-        yield _two(cells, total[cells])
+                gathered.append(found[:-1] * n + found[1:])
+                amount += len(found)
+                if amount >= _COUNTED_WORDS:
+                    yield _counts(gathered)
+                    gathered, amount = [], 0
+        if gathered:
+            yield _counts(gathered)
 
     parts = rows.filter("train").select("body").mapInArrow(count, "word bigint, n bigint")
     summed = parts.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
@@ -355,10 +436,11 @@ def _core_bigrams(rows: DataFrame, core: np.ndarray) -> np.ndarray:
     return matrix.reshape(n, n)
 
 
-def _bucket_words(texts: pa.Table) -> pa.Table:
+def _bucket_words(texts: pa.Table, core: np.ndarray) -> pa.Table:
+    """The words of a bucket that not every task knows."""
     bucket = texts["bucket"][0].as_py()
     found = [np.unique(words) for words in word_hashes(v.as_py() for v in texts["body"])]
-    unique = np.unique(np.concatenate(found))
+    unique = np.setdiff1d(np.concatenate(found), core)
     return pa.table(
         {
             "bucket": pa.array(np.full(len(unique), bucket), pa.int32()),
@@ -369,10 +451,10 @@ def _bucket_words(texts: pa.Table) -> pa.Table:
 
 def _encoded(texts: pa.Table, table: pa.Table, v: Vocabulary) -> pa.Table:
     """Figures and the classes of all tokens of each text of a bucket."""
-    hashes = table["word"].to_numpy().view(np.uint64)
+    hashes = np.concatenate([table["word"].to_numpy().view(np.uint64), v.core])
     order = np.argsort(hashes)
-    hashes, amounts = hashes[order], table["n"].to_numpy()[order]
-    labels = table["class"].to_numpy()[order]
+    hashes, amounts = hashes[order], np.concatenate([table["n"].to_numpy(), v.core_counts])[order]
+    labels = np.concatenate([table["class"].to_numpy(), v.core_classes])[order]
     out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "emission", "classes")}
     base = np.log10(v.tokens + v.types + 1)
     for words in word_hashes(t.as_py() for t in texts["body"]):
@@ -399,7 +481,8 @@ def _steps(encoded: DataFrame, classes: int) -> np.ndarray:
         total = np.zeros(classes * classes, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                np.add.at(total, _path(value.as_py(), classes), 1)
+                at, n = np.unique(_path(value.as_py(), classes), return_counts=True)
+                total[at] += n
         cells = np.flatnonzero(total)
         yield _two(cells, total[cells])
 

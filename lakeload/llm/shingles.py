@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SHINGLE_WORDS = 5
 
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -36,7 +36,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = (np.full(n, base, np.uint64) for base in (_BASE, _INVERSE))
     up[0] = down[0] = 1
@@ -48,7 +48,7 @@ def _hashes(data: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray,
     space = between[data]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    up, down = _powers(max(SLICE_BYTES, 1 << (len(data) - 1).bit_length() if len(data) else 0))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * up[: len(data)])])
     words = (sums[ends] - sums[starts]) * down[starts]
     return starts, mixed(words + (ends - starts).astype(np.uint64) * _FOLD)
@@ -78,7 +78,7 @@ def _slices(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
     size = 0
     for text in texts:
         data = (text or "").encode()
-        if batch and size + len(data) > SLICE_BYTES:
+        if batch and size + len(data) >= SLICE_BYTES:  # with a line end each, that many at most
             yield batch
             batch, size = [], 0
         batch.append(data)
