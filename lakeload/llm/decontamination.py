@@ -14,13 +14,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from lakeload.llm.storage import new_path, stored
 from lakeload.names import column
 
 Q = 8
@@ -30,6 +33,10 @@ EDIT_RATE = 0.1
 BLOCK_CHARS = 1 << 20
 
 _SLICE_CHARS = 1 << 19
+_POSTINGS = 1 << 20
+_OTHERS = 1 << 40  # beyond all places in texts and passages
+#: A q-gram that a passage has more often is counted by stretches of the passage.
+OFTEN = 8
 _TABLE_BITS = 22
 _BASE = 0x9E3779B97F4A7C15
 _SPREAD = np.uint64(0xBF58476D1CE4E5B9)
@@ -76,10 +83,43 @@ def edits_allowed(m: int, rate: float = EDIT_RATE) -> int:
     return max(0, min(int(rate * m), (m - Q) // Q))
 
 
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of columns in order: where each run of equal rows begins, its length, and each row's run's."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for column_ in columns:
+        new[1:] |= np.diff(column_) != 0
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, n))
+    return starts, lengths, np.repeat(lengths, lengths)
+
+
+@dataclass(frozen=True)
+class Often:
+    """Stretches of passages with a q-gram that is there many times: those with gram ``k`` are at
+    ``first[k]`` up to ``first[k + 1]``."""
+
+    first: np.ndarray
+    item: np.ndarray
+    stretch: np.ndarray
+    weight: np.ndarray
+
+    @classmethod
+    def of(cls, gram: np.ndarray, item: np.ndarray, stretch: np.ndarray, grams: int) -> Often:
+        starts, lengths, _ = _runs(gram, item, stretch)
+        first = np.searchsorted(gram[starts], np.arange(grams + 1))
+        return cls(first, item[starts], stretch[starts], lengths)
+
+
 @dataclass(frozen=True)
 class Passages:
     """An index of passages. ``grams`` are sorted; those at ``k`` stand at ``first[k]`` up to
-    ``first[k + 1]`` of ``item`` and ``at``."""
+    ``first[k + 1]`` of ``item`` and ``at``.
+
+    A q-gram that one passage has many times is left out there, and stands in ``often`` instead: for
+    each stretch of a passage as wide as half a band, ``weight`` tells how many are in it.
+    """
 
     ids: list
     codes: list[np.ndarray]
@@ -90,6 +130,7 @@ class Passages:
     first: np.ndarray
     item: np.ndarray
     at: np.ndarray
+    often: Often
     short: list[int]
 
     @classmethod
@@ -101,13 +142,16 @@ class Passages:
         every = np.concatenate([*grams, np.empty(0, np.uint64)])
         item = np.repeat(np.arange(len(codes)), [len(g) for g in grams])
         at = np.concatenate([*[np.arange(len(g)) for g in grams], np.empty(0, np.int64)])
-        order = np.argsort(every, kind="stable")
-        unique, first = np.unique(every[order], return_index=True)
-        short = [k for k, c in enumerate(codes) if 0 < len(c) < Q]
         width = int(budget.max(initial=0)) + 1
-        first = np.append(first, len(every))
-        places = item[order], at[order]
-        return cls(list(ids), codes, budget, least, width, unique, first, *places, short)
+        order = np.lexsort([at, item, every])
+        every, item, at = every[order], item[order], at[order]
+        unique, gram = np.unique(every, return_inverse=True)
+        many = _runs(gram, item)[2] > OFTEN
+        few = ~many
+        first = np.searchsorted(gram[few], np.arange(len(unique) + 1))
+        often = Often.of(gram[many], item[many], at[many] // width, len(unique))
+        short = [k for k, c in enumerate(codes) if 0 < len(c) < Q]
+        return cls(list(ids), codes, budget, least, width, unique, first, item[few], at[few], often, short)
 
     def table(self) -> np.ndarray:
         """Whether a passage has a q-gram with such upper bits."""
@@ -119,6 +163,15 @@ class Passages:
 _FAR = 1 << 40
 
 
+def _first(passage: np.ndarray, text: np.ndarray) -> int:
+    """Where a passage first stands unchanged in a text, or -1."""
+    data, wanted = text.tobytes(), passage.tobytes()
+    at = data.find(wanted)
+    while at % 4 and at >= 0:
+        at = data.find(wanted, at + 1)
+    return at // 4 if at >= 0 else -1
+
+
 def banded(
     passage: np.ndarray, text: np.ndarray, budget: int, *, anchored: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -162,13 +215,19 @@ class Finder:
         for start, (codes, _) in zip(starts, texts, strict=False):
             joined[start : start + len(codes)] = codes
         hits: list[list] = [[] for _ in texts]
+        done: dict[tuple[int, int], int] = {}
         for item, low, high in self._regions(joined):
             # A band can reach into several texts; each is looked at for itself.
             first, last = np.searchsorted(starts, [max(low, 0), high], side="right") - 1
             for k in range(int(first), min(int(last), len(texts) - 1) + 1):
                 begin, end = int(starts[k]), int(starts[k + 1]) - 1
-                region = joined[max(low, begin) : min(high, end)]
-                hits[k] += self._aligned(item, region, max(low, begin) - begin)
+                # Regions come in order, and what lies up to an unchanged copy has been looked at.
+                start = max(low, begin, done.get((item, k), 0))
+                found = self._aligned(item, joined[start : min(high, end)], start - begin)
+                hits[k] += found
+                exact = [begin + hit[2] for hit in found if hit[3] == 0]
+                if exact:
+                    done[item, k] = max(exact)
         for k in self.passages.short:
             self._find_short(k, texts, hits)
         return [_placed(_best(found), places) for found, (_, places) in zip(hits, texts, strict=True)]
@@ -183,24 +242,44 @@ class Finder:
         place = np.minimum(np.searchsorted(p.grams, grams[at]), len(p.grams) - 1)
         same = p.grams[place] == grams[at]
         at, place = at[same], place[same]
-        many = p.first[place + 1] - p.first[place]
-        which = np.repeat(np.arange(len(at)), many)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-        posting = p.first[place[which]] + inside
-        item, diagonal = p.item[posting], at[which] - p.at[posting]
         # Bands are two widths wide and begin a width apart, so any run of diagonals that a budget
         # allows lies within one.
-        band = diagonal // p.width
         longest = max(map(len, p.codes)) // p.width
         shift = longest + 2
-        span = len(joined) // p.width + longest + 4
-        keys = item * span + band + shift
-        keys = np.concatenate([keys, keys - 1])
+        span = len(joined) // p.width + longest + 5
+
+        def single(of_text: bool) -> Iterator[Shared]:
+            for which, posting in _postings(p.first, place):
+                band = p.item[posting] * span + (at[which] - p.at[posting]) // p.width + shift
+                value = at[which] if of_text else p.at[posting]
+                once = np.ones(2 * len(band), np.int64)
+                yield np.concatenate([band, band - 1]), np.tile(value, 2), once
+
+        def repeated(of_text: bool) -> Iterator[Shared]:
+            # Where in the text such a q-gram is, by stretches as well.
+            here = p.often.first[place + 1] > p.often.first[place]
+            order = np.lexsort([at[here], place[here]])
+            gram, stretch = place[here][order], at[here][order] // p.width
+            starts, lengths, _ = _runs(gram, stretch)
+            gram, stretch = gram[starts], stretch[starts]
+            for which, posting in _postings(p.often.first, gram):
+                band = p.often.item[posting] * span + stretch[which] - p.often.stretch[posting] + shift
+                # Diagonals from one stretch to another lie on both sides of one that begins a band.
+                keys = np.concatenate([band, band - 1, band - 2])
+                value, weight = (which, lengths[which]) if of_text else (posting, p.often.weight[posting])
+                own = _OTHERS + value
+                yield keys, np.tile(own, 3), np.tile(weight, 3)
+
         # What a copy keeps are different q-grams of the passage, at different places of the text.
-        found, counts = _distinct(keys, np.tile(p.at[posting], 2))
-        many = counts >= p.least[found // span]
-        left = np.isin(keys, found[many])
-        found, counts = _distinct(keys[left], np.tile(at[which], 2)[left])
+        found, counts = _counted(chain(single(False), repeated(False)))
+        left = found[counts >= p.least[found // span]]
+        if not len(left):
+            return
+        found, counts = _counted(
+            tuple(x[hit] for x in part)
+            for part in chain(single(True), repeated(True))
+            for hit in [np.isin(part[0], left)]
+        )
         items = found // span
         enough = counts >= p.least[items]
         for key, k in zip(found[enough].tolist(), items[enough].tolist(), strict=True):
@@ -217,6 +296,12 @@ class Finder:
             low, high = left.pop()
             if high - low < len(passage) - budget:
                 continue
+            exact = _first(passage, region[low:high])
+            if exact >= 0:
+                start, end = low + exact, low + exact + len(passage)
+                found.append((item, at + start, at + end, 0))
+                left += [(low, start), (end, high)]
+                continue
             ends, cost = banded(passage, region[low:high], budget)
             edits = int(cost.min())
             if edits > budget:
@@ -239,14 +324,49 @@ class Finder:
                 found.append((k, at, at + len(passage), 0))
 
 
-def _distinct(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each key, and how many different values it comes with."""
-    if not len(keys):
-        return keys, keys
+#: Bands, what they share, and how much that counts.
+Shared = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _postings(first: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each q-gram found, by its number, with each of its postings, a bounded number at a time."""
+    many = first[place + 1] - first[place]
+    ends = np.cumsum(many)
+    start = 0
+    while start < len(place):
+        before = ends[start] - many[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + _POSTINGS)))
+        part = many[start:stop]
+        which = np.repeat(np.arange(start, stop), part)
+        inside = np.arange(len(which)) - np.repeat(ends[start:stop] - part - before, part)
+        yield which, first[place[which]] + inside
+        start = stop
+
+
+def _once(keys: np.ndarray, values: np.ndarray, weights: np.ndarray) -> Shared:
+    """Rows in order of keys and values, each once."""
     order = np.lexsort([values, keys])
-    keys, values = keys[order], values[order]
-    new = np.append(True, (np.diff(keys) != 0) | (np.diff(values) != 0))
-    return np.unique(keys[new], return_counts=True)
+    starts = _runs(keys[order], values[order])[0]
+    order = order[starts]
+    return keys[order], values[order], weights[order]
+
+
+def _counted(slices: Iterable[Shared]) -> tuple[np.ndarray, np.ndarray]:
+    """Each band, and the weights of the different values that it has in all slices."""
+    known = (np.empty(0, np.int64),) * 3
+    waiting: list[Shared] = []
+    size = 0
+    for part in slices:
+        waiting.append(_once(*part))
+        size += len(waiting[-1][0])
+        if size > max(_POSTINGS, len(known[0])):
+            known = _once(*map(np.concatenate, zip(known, *waiting, strict=True)))
+            waiting, size = [], 0
+    keys, _, weights = _once(*map(np.concatenate, zip(known, *waiting, strict=True)))
+    if not len(keys):
+        return keys, weights
+    starts = _runs(keys)[0]
+    return keys[starts], np.add.reduceat(weights, starts)
 
 
 def _best(hits: list) -> list:
@@ -301,11 +421,9 @@ def blocks(
         yield Passages.of(ids, texts, rate)
 
 
-def leaks(text: Column, passages: Passages, docs: DataFrame, kind: DataType) -> Column:
-    """Array of the passages in a text: ``item_id``, ``start``, ``end`` (code points of the text as
-    it is, end exclusive) and ``edits``, by start."""
-    known = docs.sparkSession.sparkContext.broadcast(passages)
-    result = f"array<struct<item_id:{kind.simpleString()},start:bigint,end:bigint,edits:bigint>>"
+def leaks(text: Column, known: Broadcast, kind: DataType) -> Column:
+    """Array of the passages of a broadcast index in a text: ``item_id``, ``start``, ``end`` (code
+    points of the text as it is, end exclusive) and ``edits``, by start."""
     names = ("item_id", "start", "end", "edits")
 
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -317,7 +435,11 @@ def leaks(text: Column, passages: Passages, docs: DataFrame, kind: DataType) ->
             rows = [[dict(zip(names, (ids[k], *at), strict=True)) for k, *at in hits] for hits in found]
             yield pa.array(rows, type=arrow)
 
-    return F.arrow_udf(find, result)(text)
+    return F.arrow_udf(find, _leaks_type(kind))(text)
+
+
+def _leaks_type(kind: DataType) -> str:
+    return f"array<struct<item_id:{kind.simpleString()},start:bigint,end:bigint,edits:bigint>>"
 
 
 def _arrow(kind: DataType) -> pa.DataType:
@@ -332,6 +454,7 @@ def with_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     rate: float = EDIT_RATE,
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``docs`` with ``leaks``, the benchmark passages each text holds whole but for edits.
 
@@ -339,20 +462,39 @@ def with_leaks(
     unchanged; one shorter than a q-gram must be unchanged altogether. Where copies of a passage
     overlap, the closest counts. Null and empty texts or passages have no part in any leak;
     repeated passages are found each under its id; ids are strings or whole numbers. A column
-    ``leaks`` is replaced.
+    ``leaks`` is replaced. A very long text is looked through whole, and takes memory in proportion
+    to its length; what repeats in it takes no more than what does not. A benchmark of more than
+    ``block_chars`` characters goes through the texts block by block, one index at a time.
     """
+    spark = docs.sparkSession
     kind = benchmark.schema[item_id].dataType
     if kind.simpleString() not in ("string", "bigint"):
         benchmark = benchmark.withColumn(item_id, column(item_id).cast("bigint"))
         kind = benchmark.schema[item_id].dataType
-    parts = [
-        leaks(column(text), passages, docs, kind)
-        for passages in blocks(benchmark, item_id=item_id, text=item_text, rate=rate)
-    ]
-    none = F.array().cast(
-        f"array<struct<item_id:{kind.simpleString()},start:bigint,end:bigint,edits:bigint>>"
-    )
-    return docs.withColumn("leaks", F.concat(*parts) if len(parts) > 1 else (parts or [none])[0])
+    none = F.array().cast(_leaks_type(kind))
+    indexes = blocks(benchmark, item_id=item_id, text=item_text, chars=block_chars, rate=rate)
+    first, second = next(indexes, None), next(indexes, None)
+    if second is None:
+        if first is None:
+            return docs.withColumn("leaks", none)
+        return docs.withColumn("leaks", leaks(column(text), spark.sparkContext.broadcast(first), kind))
+
+    # Rows are numbered and kept, so that what each block finds can be put together again.
+    own = F.struct(*[column(name).alias(f"c{k}") for k, name in enumerate(docs.columns)])
+    number = F.monotonically_increasing_id().alias("number")
+    rows = stored(docs.select(number, column(text).alias("body"), own.alias("row")), "numbered")
+    path = new_path(spark, "leaks")
+    for passages in chain((first, second), indexes):
+        known = spark.sparkContext.broadcast(passages)
+        found = rows.select("number", leaks(F.col("body"), known, kind).alias("leaks"))
+        found.filter(F.size("leaks") > 0).write.mode("append").parquet(path)
+        known.destroy()
+    found = spark.read.parquet(path).groupBy("number").agg(F.flatten(F.collect_list("leaks")).alias("leaks"))
+    by_start = F.array_sort("leaks", lambda a, b: (a.start - b.start).cast("int"))
+    found = found.select("number", by_start.alias("leaks"))
+    both = rows.drop("body").join(found, "number", "left")
+    columns = [F.col(f"row.c{k}").alias(name) for k, name in enumerate(docs.columns) if name != "leaks"]
+    return both.select(*columns, F.coalesce("leaks", none).alias("leaks"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -104,21 +104,22 @@ class Scanner:
         found = []
         used = [0] * len(self.rules)
         state = 0
+        view = memoryview(data)  # parts of it are not copied
         for at, byte in enumerate(data):
             state = rows[state][byte]
             if state >= accepting:
                 for k, done in enumerate(used):
                     if at >= done and accepts[state] >> k & 1:
-                        start = _longest(self._back[k], reversed(data[done : at + 1]))
+                        start = _longest(self._back[k], view[done : at + 1][::-1])
                         if start:
                             start = at + 1 - start
-                            end = start + _longest(self._forth[k], data[start:])
+                            end = start + _longest(self._forth[k], view[start:])
                             used[k] = end
-                            if self._fits(k, data[start:end]):
+                            if self._fits(k, view[start:end]):
                                 found.append((start, k, end))
         return found
 
-    def _fits(self, k: int, match: bytes) -> bool:
+    def _fits(self, k: int, match: memoryview) -> bool:
         least = self._least[k]
         return least is None or _longest(least, match) == len(match)
 
@@ -154,7 +155,8 @@ def secret_spans(text: Column, rules: Sequence[SecretRule] = PRODUCTION_RULES) -
     """The secrets of a text: kind, start and end in code points, by start, then order of rules.
 
     Spans of different rules may overlap. A null or empty text has none; repeated texts have equal
-    ones.
+    ones. A very long text is scanned whole, in time in proportion to its length however many
+    matches it has; an empty table stays empty.
     """
     rules = tuple(rules)
     names = [rule.kind for rule in rules]

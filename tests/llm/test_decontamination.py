@@ -1,5 +1,8 @@
 import random
+import resource
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeload.llm import decontamination as d
@@ -19,10 +22,15 @@ def sellers(passage, text):
     return best
 
 
-def test_finds_what_brute_force_finds():
+@pytest.mark.parametrize("often, postings", [(8, 1 << 20), (0, 1 << 20), (1, 16)])
+def test_finds_what_brute_force_finds(monkeypatch, often, postings):
+    """Also where q-grams repeat, and are counted a few at a time."""
+    monkeypatch.setattr(d, "OFTEN", often)
+    monkeypatch.setattr(d, "_POSTINGS", postings)
     chance = random.Random(3)
     for _ in range(1200):
-        items = ["".join(chance.choices("ab cAé\n", k=chance.randint(0, 45))) for _ in range(3)]
+        letters = chance.choice(["ab cAé\n", "aaaab", "a"])
+        items = ["".join(chance.choices(letters, k=chance.randint(0, 45))) for _ in range(3)]
         noise = ["".join(chance.choices("ab c", k=chance.randint(0, 20))) for _ in range(2)]
         copy = "".join(c for c in chance.choice(items) if chance.random() > 0.04)
         text = noise[0] + copy + noise[1]
@@ -36,6 +44,19 @@ def test_finds_what_brute_force_finds():
         assert {hit[0] for hit in hits} == wanted, (items, text)
 
 
+def test_text_and_passage_of_one_character():
+    """As rules of dashes are: in time and memory in proportion to the text."""
+    finder = d.Finder(d.Passages.of([0, 1], ["-" * 4000, "=" * 300 + "x"]))
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    (hits,) = finder.find(["-" * 1_000_000])
+    assert [hit[1:] for hit in hits] == [(4000 * k, 4000 * (k + 1), 0) for k in range(250)]
+    assert time.time() - began < 60
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
+    mixed = "".join("-" * n + "+" for n in range(3500, 4300, 50))
+    (hits,) = finder.find([mixed])
+    assert hits and all(0 <= hit[3] <= 400 for hit in hits)
+
+
 def test_places_in_the_text_as_it_is():
     item = "Nobody  in the\nvillage minds because it rains"
     text = "é — " + item.upper().replace(" ", " \t ") + " and more"
@@ -80,6 +101,23 @@ def test_blocks_of_the_benchmark(spark, documents):
     assert len(parts) == 3 and sum(len(p.ids) for p in parts) == 6
 
 
+def test_a_benchmark_in_blocks_finds_the_same(spark, documents, awkward):
+    items = benchmark(spark, [PROSE[k : k + 50] for k in range(0, 300, 50)])
+    docs = documents([PROSE, PROSE[100:260], "none", None, PROSE], [1, 2, 3, 4, 1]).unionByName(awkward)
+    docs = docs.withColumn("number", F.lit(5)).withColumn("leaks", F.lit(1))
+
+    def found(marked):
+        return sorted(
+            ((r.doc_id or -1, r.number, sorted(tuple(x) for x in r.leaks)) for r in marked.collect()), key=str
+        )
+
+    whole, parts = d.with_leaks(docs, items), d.with_leaks(docs, items, block_chars=100)
+    assert parts.columns == whole.columns and found(parts) == found(whole)
+    starts = [[x.start for x in r.leaks] for r in parts.collect()]
+    assert all(s == sorted(s) for s in starts)
+    assert d.decontaminate(docs, items, block_chars=60).count() == d.decontaminate(docs, items).count()
+
+
 def test_nothing_and_clashing_columns(spark, documents):
     items = benchmark(spark, [PROSE[:80]])
     assert d.decontaminate(documents([]), items).count() == 0

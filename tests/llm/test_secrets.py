@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +119,16 @@ def test_private_keys_are_found_with_their_bodies():
     ):
         text = f"before {key}\nand some prose after it"
         assert scan.spans(text) == [(7, kind, 7 + len(key))]
+
+
+def test_time_grows_with_the_length_only():
+    """Many matches in one long text."""
+    scan = scanner(PRODUCTION_RULES)
+    run = "0123456789abcdef" * 2 + " "
+    took = []
+    for n in (4_000, 40_000):
+        began = time.process_time()
+        spans = scan.spans(run * n)
+        took.append(time.process_time() - began)
+        assert len(spans) == n
+    assert took[1] < 20 * max(took[0], 0.05)
