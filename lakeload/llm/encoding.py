@@ -17,6 +17,8 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
+
 BATCH_BYTES = 1 << 17
 #: Of pieces in both generations together, in each Python worker.
 REMEMBERED_BYTES = 128 << 20
@@ -64,13 +66,14 @@ _LETTERS = _byte_letters()
 class Encoder:
     """Encodes texts with one tokenizer file; ids come as little-endian bytes, ``width`` each."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
         if sys.byteorder != "little":
             raise RuntimeError("ids are packed on little-endian machines")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self._most = remembered or REMEMBERED_BYTES
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._one = [n.to_bytes(self.width, "little") for n in range(self.tokenizer.get_vocab_size())]
@@ -130,7 +133,7 @@ class Encoder:
         return (len(ids) // self.width for ids in self.encode(texts))
 
     def _learn(self, cut: list[list[str]]) -> None:
-        if 2 * self._bytes > REMEMBERED_BYTES:
+        if 2 * self._bytes > self._most:
             self._known, self._older = {}, self._known
             self._bare, self._bytes = {}, 0
         # A set less a dictionary looks up the set's items, not the dictionary's.
@@ -213,8 +216,13 @@ def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, kept from task to task until another file's is asked for."""
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """The worker's encoder for a file, kept from task to task until another one is asked for.
+
+    ``remembered`` bounds the bytes of remembered pieces, by default :data:`REMEMBERED_BYTES`.
+    """
     # Pieces and ids are no containers: looking through them for cycles is in vain.
     gc.set_threshold(100_000, 20, 100)
-    return Encoder(path)
+    # What earlier stages have left to this worker goes back first.
+    pa.default_memory_pool().release_unused()
+    return Encoder(path, remembered)

@@ -20,6 +20,8 @@ from lakeload.names import column
 OPEN_BINS = 64
 #: So many partitions hand what is in their last open bins to one task.
 PARTITIONS_A_GROUP = 16
+#: Of pieces of texts, in each Python worker: open bins need room as well.
+REMEMBERED_BYTES = 48 << 20
 _OUT_BYTES = 4 << 20
 
 
@@ -110,7 +112,7 @@ def pack(
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Rows(TaskContext.get().partitionId(), capacity)
         bins = OpenBins(capacity, open_bins)
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, REMEMBERED_BYTES)
         for batch in batches:
             keys = batch.column(0)
             texts = (value.as_py() for value in batch.column(1))
