@@ -2,10 +2,10 @@
 
 Documents with the same set make one node. Two sets that are similar enough share a shingle among
 the first few of each, in any order that holds for all sets, so nodes meet in a tile for each such
-shingle. The order puts frequent shingles last, which keeps tiles small. Within a tile nodes are
-ordered by size, cut to blocks, and compared block by block with bitmaps of their sets: the bits in
-which two bitmaps differ bound the overlap from above. What passes is decided by intersecting the
-sorted sets.
+shingle. The order puts frequent shingles last, which keeps tiles small, and tiles of the very same
+nodes, as the shingles of a passage make, are one. A tile is cut to blocks, and these are compared
+with one another by bitmaps of their sets: the bits in which two bitmaps differ bound the overlap
+from above. What passes is decided by intersecting the sorted sets.
 
 So that a large group of near copies is not compared pair by pair, every node is first held against
 the likeliest of its tiles, then every component against the likeliest other, a few times; after that
@@ -33,11 +33,15 @@ PER_CENT = 75
 #: A frequent shingle is one that six documents of a slice have; a slice ends at either bound. Which ones are
 #: found changes what the join costs, never its result.
 COUNTED_DOCS = 2000
-COUNTED_SHINGLES = 1 << 21
+COUNTED_SHINGLES = 1 << 20
 COUNTED_LEAST = 6
 #: So many of the most frequent shingles are told to all tasks: half a megabyte.
 FREQUENT = 1 << 16
 BLOCK = 1024
+#: Tiles of more nodes than that are summed up before they meet, and ordered by size in parts.
+LARGE_TILE = 4096
+#: A node's set is sent once for so many of its pairs.
+PAIRS_A_SET = 64
 #: So often at most, components look for their likeliest links before all pairs that are left over
 #: are compared. It changes what the join costs, never its result.
 TURNS = 2
@@ -46,6 +50,7 @@ BROADCAST_IDS = 2_000_000
 
 _MAX_BITS = 1 << 16
 _PAIRS = 1 << 15
+_ROWS = 1024
 
 
 def least_overlap(n: np.ndarray | int, m: np.ndarray | int, per_cent: int = PER_CENT):
@@ -58,8 +63,14 @@ def prefix_length(n: int, per_cent: int = PER_CENT) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Parities of a set by hash, in a power of two of bits at least its size."""
-    bits = min(_MAX_BITS, max(64, 1 << (max(1, len(shingles)) - 1).bit_length()))
+    """Parities of a set by hash, in a power of two of bits at least twice its size, for sets of up
+    to 512 four times.
+
+    Elements that only one of two sets has seldom meet in so many bits, so few pairs below the
+    similarity pass; of large sets the share of those that do varies less.
+    """
+    size = 1 << (max(1, len(shingles)) - 1).bit_length()
+    bits = min(_MAX_BITS, max(64, 2 * size, min(4 * size, 2048)))
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -78,10 +89,12 @@ def fingerprint(shingles: np.ndarray) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int):
-    """Record batches with the shingle sets of their column ``body``."""
-    for batch in batches:
-        texts = (value.as_py() for value in batch.column("body"))
-        yield batch, (shingle_set(words, size) for words in word_hashes(texts))
+    """Record batches of few rows with the shingle sets of their column ``body``."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(at, _ROWS)
+            texts = (value.as_py() for value in batch.column("body"))
+            yield batch, (shingle_set(words, size) for words in word_hashes(texts))
 
 
 def near_copies(
@@ -259,8 +272,11 @@ def _frequent(seen: DataFrame) -> list[int]:
 def _tiles(
     spark: SparkSession, rows: DataFrame, frequent: list[int], size: int, per_cent: int
 ) -> DataFrame:
-    """``token``, ``node``, its size ``n`` and the token's place ``pos`` in it, for the tokens in
-    the prefixes of two nodes or more."""
+    """``token``, ``node``, its size ``n``, the token's place ``pos`` in it, and ``many``, the nodes
+    of the tile, for the tokens in the prefixes of two nodes or more.
+
+    Tokens that the same nodes have are one: their number is ``weight``, ``pos`` the first place.
+    """
     by_rank = np.array(frequent, dtype=np.int64).view(np.uint64)
     order = np.argsort(by_rank)
     known = spark.sparkContext.broadcast((by_rank[order], order))
@@ -268,64 +284,105 @@ def _tiles(
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ranks = known.value
         for batch, sets in _sets(batches, size):
-            nodes, n, prefix = [], [], []
+            nodes, n, rare, prefix = [], [], [], []
             for found in sets:
                 if len(found):
                     nodes.append(fingerprint(found))
                     n.append(len(found))
-                    ordered = _frequent_last(found, hashes, ranks)
+                    ordered, others = _frequent_last(found, hashes, ranks)
                     prefix.append(ordered[: prefix_length(len(found), per_cent)].view(np.int64))
+                    rare.append(others)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(nodes, pa.int64()),
                     pa.array(n, pa.int32()),
+                    pa.array(rare, pa.int32()),
                     pa.array(prefix, pa.list_(pa.int64())),
                 ],
-                ["node", "n", "prefix"],
+                ["node", "n", "rare", "prefix"],
             )
 
-    found = rows.select("body").mapInArrow(prefixes, "node bigint, n int, prefix array<bigint>")
-    unique = found.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = unique.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    counted = tokens.withColumn("many", F.count("*").over(Window.partitionBy("token")))
-    return counted.filter("many > 1").drop("many")
+    fields = "node bigint, n int, rare int, prefix array<bigint>"
+    found = rows.select("body").mapInArrow(prefixes, fields)
+    firsts = [F.first(name).alias(name) for name in ("n", "rare", "prefix")]
+    unique = found.groupBy("node").agg(*firsts)
+    tokens = unique.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    # Who shares a token, as a number. Frequent tokens, which very many nodes may share, are counted
+    # before they meet; the others, nearly all, meet at once.
+    members = {"many": F.count("*"), "who": F.bit_xor(F.xxhash64("node"))}
+    tile = Window.partitionBy("token")
+    by_n = tile.orderBy("n")
+    met = tokens.filter("pos < rare").withColumns({k: v.over(tile) for k, v in members.items()})
+    # If the next larger and smaller ones of a tile are too different in size, so are all.
+    met = met.withColumns({"less": F.lag("n").over(by_n), "more": F.lead("n").over(by_n)})
+    met = met.filter(f"100 * less >= {per_cent} * n OR 100 * n >= {per_cent} * more")
+    often = tokens.filter("pos >= rare")
+    sizes = {"least": F.min("n"), "most": F.max("n")}
+    counted = often.groupBy("token").agg(*[v.alias(k) for k, v in {**members, **sizes}.items()])
+    counted = counted.filter(f"many > 2 OR many = 2 AND 100 * least >= {per_cent} * most")
+    columns = ["node", "n", "pos", "many", "who"]
+    both = met.select(columns).unionByName(often.join(counted, "token").select(columns))
+    merged = both.groupBy("who", "many", "node").agg(
+        F.first("n").alias("n"), F.min("pos").alias("pos"), F.count("*").cast("int").alias("weight")
+    )
+    return merged.withColumnRenamed("who", "token")
 
 
-def _frequent_last(found: np.ndarray, hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+def _frequent_last(
+    found: np.ndarray, hashes: np.ndarray, ranks: np.ndarray
+) -> tuple[np.ndarray, int]:
+    """A set in the order that holds for all, and how many of it are not frequent."""
     if not len(hashes):
-        return found
+        return found, len(found)
     place = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
     hit = hashes[place] == found
-    if not hit.any():
-        return found
     common = found[hit][np.argsort(ranks[place[hit]])]
-    return np.concatenate([found[~hit], common])
+    return np.concatenate([found[~hit], common]), len(found) - len(common)
 
 
 def _first_pairs(tiles: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
     """A pair for each node: of the neighbours below it by size, and of the smallest nodes it may
-    be similar to, the one it shares most tiles with; if bitmaps do not rule it out."""
-    tile = Window.partitionBy("token").orderBy("n", "node")
-    # Sizes within a band differ by less than similar sets may.
-    band = F.floor(F.log("n") / np.log(100 / per_cent))
-    hub = Window.partitionBy("token", "band").orderBy("n", "node")
-    near = tiles.withColumn("band", band).select(
-        F.col("node").alias("x"),
-        "n",
-        F.lag(F.struct("node", "n")).over(tile).alias("below"),
-        F.first(F.struct("node", "n")).over(hub).alias("hub"),
-    )
-    both = near.select(
-        "x", "n", F.posexplode(F.array("below", "hub")).alias("kind", "other")
-    ).select("x", "n", "kind", F.col("other.node").alias("y"), F.col("other.n").alias("m"))
+    be similar to, the one it shares most tokens with; if bitmaps do not rule it out.
+
+    In a large tile neighbours are looked for in parts of it, which only makes links less likely.
+    """
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / LARGE_TILE)).alias("part")
+    lower = F.lag(F.struct("n", "node")).over(Window.partitionBy("token", "part").orderBy("n", "node"))
+    found = []
+    for rows, beside in _by_size(tiles):
+        near = rows.select("*", part, _band(per_cent).alias("band")).withColumn("below", lower)
+        near = beside(near, ["token", "band"], hub=F.min(F.struct("n", "node")))
+        found.append(near.select("node", "n", "weight", "below", "hub"))
+    both = found[0].unionByName(found[1]).select(
+        F.col("node").alias("x"), "n", "weight", F.posexplode(F.array("below", "hub")).alias("kind", "other")
+    ).select("x", "n", "weight", "kind", F.col("other.node").alias("y"), F.col("other.n").alias("m"))
     able = both.filter(f"y IS NOT NULL AND x <> y AND 100 * m >= {per_cent} * n")
-    shared = able.groupBy("kind", "x", "y").agg(F.count("*").alias("shared"))
+    shared = able.groupBy("kind", "x", "y").agg(F.sum("weight").alias("shared"))
     most = F.max_by(F.struct("y", "shared"), F.struct("shared", "y")).alias("most")
     best = shared.groupBy("kind", "x").agg(most).select("x", "most.y", "most.shared").distinct()
     able = _able(best, nodes, per_cent)
     return able.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
 
 
+def _by_size(tiles: DataFrame):
+    """The rows of small and of large tiles, each with a way to put aggregates of tiles beside their
+    rows: the rows of a small tile meet; those of a large one, which may be many of all, do not."""
+
+    def met(rows: DataFrame, key: list[str], **values) -> DataFrame:
+        tile = Window.partitionBy(*key)
+        return rows.withColumns({name: value.over(tile) for name, value in values.items()})
+
+    def summed(rows: DataFrame, key: list[str], **values) -> DataFrame:
+        return rows.join(rows.groupBy(*key).agg(*[v.alias(name) for name, v in values.items()]), key)
+
+    return [(tiles.filter(f"many <= {LARGE_TILE}"), met), (tiles.filter(f"many > {LARGE_TILE}"), summed)]
+
+
+def _band(per_cent: int, shift: float = 0.0):
+    """Sizes within a band differ by less than those of similar sets may."""
+    return F.floor(F.log("n") / np.log(100 / per_cent) + shift)
+
+
 def _not_ruled_out(
     batches: Iterator[pa.RecordBatch], names: list[str], per_cent: int
 ) -> Iterator[pa.RecordBatch]:
@@ -344,9 +401,9 @@ def _not_ruled_out(
 def _apart(tiles: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of tiles whose nodes are not all connected, with ``root``."""
     rooted = tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tile = Window.partitionBy("token")
-    ends = {"low": F.min("root").over(tile), "high": F.max("root").over(tile)}
-    return rooted.withColumns(ends).filter("low <> high").drop("low", "high")
+    ends = {"low": F.min("root"), "high": F.max("root")}
+    small, large = (beside(rows, ["token"], **ends) for rows, beside in _by_size(rooted))
+    return small.unionByName(large).filter("low <> high").drop("low", "high")
 
 
 def _hub_pairs(apart: DataFrame, nodes: DataFrame, per_cent: int, turn: int) -> DataFrame:
@@ -355,19 +412,20 @@ def _hub_pairs(apart: DataFrame, nodes: DataFrame, per_cent: int, turn: int) ->
     Each node of a tile is held against one node of another component: all against the same, which
     turns choose anew, or if that is in their own, against one that is not.
     """
-    # Sizes within a band differ by less than similar sets may; bands lie differently each turn.
-    band = F.floor(F.log("n") / np.log(100 / per_cent) + (turn % 2) / 2)
-    near = apart.withColumn("band", band)
-    tile = Window.partitionBy("token", "band")
-    one = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "root")
-    near = near.withColumn("first", F.min(one).over(tile))
-    other = F.min(F.when(F.col("root") != F.col("first.root"), one)).over(tile)
-    near = near.withColumn("second", other)
-    near = near.withColumn(
-        "hub", F.when(F.col("root") != F.col("first.root"), F.col("first")).otherwise(F.col("second"))
-    ).filter("hub IS NOT NULL")
-    pairs = near.select(F.col("node").alias("x"), F.col("hub.node").alias("y"), "root")
-    shared = pairs.groupBy("x", "y", "root").agg(F.count("*").alias("shared"))
+    # Bands lie differently each turn.
+    banded = apart.withColumn("band", _band(per_cent, (turn % 2) / 2))
+    tile = ["token", "band"]
+    one = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "root")
+    elsewhere = F.col("root") != F.col("first.root")
+    found = []
+    for rows, beside in _by_size(banded):
+        near = beside(rows, tile, first=F.min(one))
+        near = beside(near, tile, second=F.min(F.when(elsewhere, one)))
+        near = near.withColumn("hub", F.when(elsewhere, F.col("first")).otherwise(F.col("second")))
+        found.append(near.filter("hub IS NOT NULL").select("node", "root", "weight", "hub"))
+    near = found[0].unionByName(found[1])
+    pairs = near.select(F.col("node").alias("x"), F.col("hub.node").alias("y"), "root", "weight")
+    shared = pairs.groupBy("x", "y", "root").agg(F.sum("weight").alias("shared"))
     able = _able(shared, nodes, per_cent)
     best = F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("best")
     return able.groupBy("root").agg(best).select("best.x", "best.y")
@@ -387,13 +445,18 @@ def _able(pairs: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
 
 def _other_pairs(apart: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
     """Pairs of a tile that are not connected yet and that their bitmaps do not rule out."""
-    tile = Window.partitionBy("token")
-    placed = apart.withColumns(
-        {
-            "block": F.floor((F.row_number().over(tile.orderBy("n", "node")) - 1) / BLOCK).cast("int"),
-            "last": F.floor((F.count("*").over(tile) - 1) / BLOCK).cast("int"),
-        }
-    ).join(nodes.select("node", "bits"), "node")
+    small, large = (beside(rows, ["token"], left=F.count("*")) for rows, beside in _by_size(apart))
+    blocks = F.ceil(F.col("left") / BLOCK)
+    placed = small.unionByName(large).select(
+        "token",
+        "node",
+        "n",
+        "pos",
+        "root",
+        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
+        (blocks - 1).cast("int").alias("last"),
+    )
+    placed = placed.join(nodes.select("node", "bits"), "node")
     # A block meets each other block of its tile, and itself.
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).withColumns(
         {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
@@ -491,15 +554,13 @@ def _verified(
 ) -> DataFrame:
     """The pairs whose sets are similar.
 
-    Sets are worked out again from the texts of the nodes that are in a pair, one text a node, and
-    meet at the pair. A node in very many pairs has its set sent once for each.
+    Sets are worked out again from the texts of the nodes that are in a pair, one text a node. A
+    pair's set with more pairs waits, in one task for every few of them, for the other one.
     """
     larger, smaller = F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
     pairs = stored(pairs.select(larger, smaller).distinct(), "pairs")
-    ends = pairs.select(F.col("x").alias("node"), "x", "y").unionByName(
-        pairs.select(F.col("y").alias("node"), "x", "y")
-    )
-    wanted = ends.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    roles = stored(_roles(pairs), "roles")
+    wanted = roles.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     ids = stored(wanted, "wanted")
     few = ids.count() <= BROADCAST_IDS
     lookup = F.broadcast(ids) if few else ids
@@ -522,20 +583,43 @@ def _verified(
 
     # Rows with the id of a node's document but another text drop out by their fingerprint.
     known = picked.mapInArrow(sets, "node bigint, shingles array<bigint>")
-    told = F.broadcast(ends) if pairs.count() <= BROADCAST_IDS // 2 else ends
-    sent = known.join(told, "node").select("x", "y", "node", "shingles")
-    met = sent.groupBy("x", "y").agg(
-        F.first(F.when(F.col("node") == F.col("x"), F.col("shingles")), True).alias("a"),
-        F.first(F.when(F.col("node") == F.col("y"), F.col("shingles")), True).alias("b"),
-    )
+    told = F.broadcast(roles) if roles.count() <= BROADCAST_IDS else roles
+    key = ["hub", "part"]
+    sent = known.join(told, "node").select(*key, "node", "shingles")
+    # The hub's set comes first of its part.
+    sent = sent.repartition(*key).sortWithinPartitions(*key, F.col("node") != F.col("hub"))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, waiting = None, None
         for batch in batches:
-            ends_ = zip(batch.column("a"), batch.column("b"), strict=True)
-            keep = [_similar(*(e.values.to_numpy() for e in pair), per_cent) for pair in ends_]
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-
-    return met.mapInArrow(similar, "x bigint, y bigint")
+            found = []
+            columns = (batch.column(name).to_pylist() for name in ("hub", "node"))
+            for at, other, shingles in zip(*columns, batch.column("shingles"), strict=True):
+                own = shingles.values.to_numpy()
+                if other == at:
+                    hub, waiting = at, own
+                elif hub == at and _similar(waiting, own, per_cent):
+                    found.append((max(at, other), min(at, other)))
+            ends = [pa.array([pair[k] for pair in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(ends, ["x", "y"])
+
+    return sent.mapInArrow(similar, "x bigint, y bigint")
+
+
+def _roles(pairs: DataFrame) -> DataFrame:
+    """Where each ``node`` of the pairs is sent: to ``hub``, the end that has more pairs, of which
+    each ``part`` has a few; and each hub to all of its parts."""
+    ends = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node")))
+    degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
+    known = pairs
+    for end in ("x", "y"):
+        known = known.join(degrees.withColumnsRenamed({"node": end, "degree": f"degree_{end}"}), end)
+    first = F.col("degree_x") >= F.col("degree_y")
+    hub, other = F.when(first, F.col("x")).otherwise(F.col("y")), F.when(first, F.col("y")).otherwise(F.col("x"))
+    parts = F.ceil(F.greatest("degree_x", "degree_y") / PAIRS_A_SET)
+    part = F.pmod(F.xxhash64(other), parts).cast("int")
+    sent = known.select(hub.alias("hub"), part.alias("part"), other.alias("node"))
+    return sent.unionByName(sent.select("hub", "part", F.col("hub").alias("node")).distinct())
 
 
 def _similar(a: np.ndarray, b: np.ndarray, per_cent: int) -> bool:
