@@ -14,9 +14,11 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,8 +36,10 @@ LEAST_TOKENS = 4
 LAYOUT = 0.1
 #: The slot within a slot that has this share of its text holds the article.
 MOST = 0.75
-#: Templates of so many hosts are broadcast, at most ten times a page's tokens each; beyond, joined.
-BROADCAST_HOSTS = 20_000
+#: Templates are broadcast up to so many bytes; beyond, those of the hosts with most pages are, up to
+#: so many hosts and bytes, and the others joined.
+BROADCAST_BYTES = 64 << 20
+HOT_HOSTS = 1000
 
 # Elements by what they do to text.
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "xmp"}
@@ -68,39 +72,159 @@ _SLOTS = {"html", "body", "main", "article", "section", "div", "center", "td"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S
 )
+_NAME_END = re.compile(r"[\s/>]|\Z")
+_MARK = re.compile(r"[>\"']|\Z")
 _ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/]+)")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _DIGITS = re.compile(r"[0-9]+")
 
 
-@dataclass(frozen=True)
-class Block:
-    """Text between two boundaries of blocks.
+@dataclass(eq=False)
+class Element:
+    """An element that is open, and the one ``around`` it.
 
-    ``path`` names the elements around it, and ``elements`` tells those of the same path apart;
-    ``side`` tells that one of them is not part of an article, ``article`` that one is an article. ``doubts`` are paths
-    of those that are not part of one if most pages of the host have them.
+    ``token`` stands for the names of this element and of those around it, ``number`` for the place
+    where it opens. ``side`` tells that it is not part of an article, ``article`` that it is one, both
+    also of what is in it; ``doubt`` that it is not part of one if most pages of the host have it,
+    ``doubtful`` that this holds for it or for one around it.
     """
 
-    text: str
-    path: str
-    elements: tuple[int, ...]
+    tag: str
+    token: int
+    number: int
+    around: Element | None = field(repr=False)
     side: bool
     article: bool
-    doubts: tuple[str, ...] = ()
+    header: bool
+    heading: bool
+    doubt: bool
+    doubtful: bool
 
 
-@dataclass
-class _Open:
-    tag: str
-    name: str
+@dataclass(frozen=True)
+class Block:
+    """Text between two boundaries of blocks, and the innermost ``element`` around it, if any."""
+
+    text: str
+    element: Element | None
     side: bool
-    article: bool
-    header: bool
-    doubt: bool = False
-    number: int = 0
+
+    @property
+    def article(self) -> bool:
+        return bool(self.element and self.element.article)
+
+    @property
+    def doubtful(self) -> bool:
+        return bool(self.element and self.element.doubtful)
+
+    @property
+    def around(self) -> int:
+        """The token of the element around it; 0 if there is none."""
+        return self.element.token if self.element else 0
+
+    @property
+    def token(self) -> int:
+        return _hashed(str(self.around), self.text)
+
+
+class _Stack:
+    """The elements that are open, and how many of each tag."""
+
+    def __init__(self) -> None:
+        self._open: list[Element] = []
+        self._tags: Counter[str] = Counter()
+
+    @property
+    def top(self) -> Element | None:
+        return self._open[-1] if self._open else None
+
+    def push(self, element: Element) -> None:
+        self._open.append(element)
+        self._tags[element.tag] += 1
+
+    def pop(self) -> str:
+        tag = self._open.pop().tag
+        self._tags[tag] -= 1
+        return tag
+
+    def has(self, tag: str) -> bool:
+        return self._tags[tag] > 0
+
+    def close(self, tag: str) -> None:
+        if self.has(tag):
+            while self.pop() != tag:
+                pass
+
+    def make_room(self, tag: str) -> None:
+        """A block ends a paragraph that is open, a list item the one before it, and so on."""
+        while self.top and self.top.tag == "p":
+            self.pop()
+        while self.top and self.top.tag in _CLOSED_BY.get(tag, ()):
+            self.pop()
+
+
+class _Tags:
+    """The tags, comments and declarations of a page, in time linear in its length.
+
+    What looks like a tag but has no end is text. From the first of these on, no part of the page is
+    looked through twice: a place from which no end was found has none for a later tag either.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self._last = page.rfind(">")
+        self._careful = False
+        self._hopeless: set[int] = set()
+        # Where the last search began, and what it came to.
+        self._name = self._mark = (0, -1)
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Of the first one from ``at`` on: its start and end, whether it closes an element, the
+        tag (none for a comment or declaration) and the attributes."""
+        while (at := self.page.find("<", at)) >= 0:
+            found = self._at(at) if self._careful else self._matched(at)
+            if found:
+                return found
+            at += 1
+        return None
+
+    def _matched(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        match = _TAG.match(self.page, at)
+        if match:
+            return at, match.end(), bool(match[1]), (match[2] or "").lower(), match[3] or ""
+        self._careful = self.page[at + 1 : at + 2] not in ("", " ", "<")
+        return None
+
+    def _at(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        page = self.page
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return at, len(page) if end < 0 else end + 3, False, "", ""
+        if at > self._last:
+            return None
+        if page.startswith(("<!", "<?"), at):
+            return at, page.index(">", at) + 1, False, "", ""
+        closing = page.startswith("/", at + 1)
+        first = at + 1 + closing
+        letter = page[first : first + 1]
+        if not (letter.isascii() and letter.isalpha()):
+            return None
+        if not self._name[0] <= first <= self._name[1]:
+            self._name = (first, _NAME_END.search(page, first).start())
+        name_end = self._name[1]
+        if not self._mark[0] <= name_end <= self._mark[1]:
+            self._mark = (name_end, _MARK.search(page, name_end).start())
+        mark, met = self._mark[1], []
+        while mark < len(page) and page[mark] != ">" and mark not in self._hopeless:
+            met.append(mark)
+            quoted = page.find(page[mark], mark + 1)
+            mark = len(page) if quoted < 0 else _MARK.search(page, quoted + 1).start()
+        if mark < len(page) and page[mark] == ">":
+            return at, mark + 1, closing, page[first:name_end].lower(), page[name_end:mark]
+        self._hopeless.update(met)
+        return None
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -131,7 +255,7 @@ def _named(tag: str, attributes: dict[str, str], in_article: bool) -> tuple[bool
     return sure and tag not in _TEXT_ELEMENTS, doubt
 
 
-def _opened(tag: str, source: str, around: _Open | None) -> _Open:
+def _opened(tag: str, source: str, around: Element | None, number: int) -> Element:
     attributes = _attributes(source) if source.strip(" /") else {}
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     role = attributes.get("role", "").lower()
@@ -148,13 +272,18 @@ def _opened(tag: str, source: str, around: _Open | None) -> _Open:
     doubt = doubt and not side and not header
     side = side or "hidden" in attributes
     side = side or (header and not in_article)
-    return _Open(
+    name = _path_name(tag, attributes) if attributes else tag
+    return Element(
         tag,
-        _path_name(tag, attributes) if attributes else tag,
+        _below(around.token if around else 0, name),
+        number,
+        around,
         bool(around and around.side) or side,
         in_article or main,
         bool(around and around.header) or tag == "header",
+        bool(around and around.heading) or tag in _HEADINGS,
         doubt,
+        bool(around and around.doubtful) or doubt,
     )
 
 
@@ -169,51 +298,35 @@ def _path_name(tag: str, attributes: dict[str, str]) -> str:
     if own and tag not in _TEXT_ELEMENTS and tag != "article":
         if not _DIGITS.search(own) and len(_SPLIT.split(own)) <= 2:
             names.append("#" + "".join(own.split()))
-    return ".".join([tag, *names]).replace("/", "_")
+    return ".".join([tag, *names])
 
 
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page, in order; markup that is not closed ends with what is around it."""
     page = page or ""
     found: list[Block] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     pieces: list[str] = []
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
-        if not text:
-            return
-        top = stack[-1] if stack else None
-        # Of a header inside an article only headings are text.
-        lost = bool(top and top.header and not any(o.tag in _HEADINGS for o in stack))
-        names = [o.name for o in stack]
-        found.append(
-            Block(
-                text,
-                "/".join(names),
-                tuple(o.number for o in stack),
-                bool(top and top.side) or lost,
-                bool(top and top.article),
-                tuple("/".join(names[: k + 1]) for k, o in enumerate(stack) if o.doubt),
-            )
-        )
-
-    at = 0
-    while True:
-        match = _TAG.search(page, at)
-        if not match:
-            pieces.append(page[at:])
-            break
-        pieces.append(page[at : match.start()])
-        at = match.end()
-        tag = (match[2] or "").lower()
+        if text:
+            top = stack.top
+            # Of a header inside an article only headings are text.
+            lost = bool(top and top.header and not top.heading)
+            found.append(Block(text, top, bool(top and top.side) or lost))
+
+    at, tags = 0, _Tags(page)
+    while next_ := tags.after(at):
+        start, end, closing, tag, source = next_
+        pieces.append(page[at:start])
+        at = end
         if not tag:
             continue
-        closing = bool(match[1])
         if tag in _RAW and not closing:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            match = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(page, at)
+            at = match.end() if match else len(page)
             continue
         if tag == "br":
             pieces.append(" ")
@@ -221,35 +334,27 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in _BLOCKS:
             # Marks within a line hold no blocks, unless they are what an article never has.
             if closing:
-                if any(o.tag == tag for o in stack):
+                if stack.has(tag):
                     end_block()
-                    _close(stack, tag)
+                    stack.close(tag)
             elif tag not in _VOID:
-                mark = _opened(tag, match[3], stack[-1] if stack else None)
-                telling = mark.side and not (stack and stack[-1].side)
-                if (telling or mark.doubt) and not match[3].endswith("/"):
+                mark = _opened(tag, source, stack.top, start)
+                telling = mark.side and not (stack.top and stack.top.side)
+                if (telling or mark.doubt) and not source.endswith("/"):
                     end_block()
-                    mark.number = match.start()
-                    stack.append(mark)
+                    stack.push(mark)
             continue
         end_block()
         if closing:
-            _close(stack, tag)
+            stack.close(tag)
         elif tag != "hr":
-            _make_room(stack, tag)
-            stack.append(_opened(tag, match[3], stack[-1] if stack else None))
-            stack[-1].number = match.start()
+            stack.make_room(tag)
+            stack.push(_opened(tag, source, stack.top, start))
+    pieces.append(page[at:])
     end_block()
     return found
 
 
-def _close(stack: list[_Open], tag: str) -> None:
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-
-
 _CLOSED_BY = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -262,25 +367,26 @@ _CLOSED_BY = {
 }
 
 
-def _make_room(stack: list[_Open], tag: str) -> None:
-    """A block ends a paragraph that is open, a list item the one before it, and so on."""
-    while stack and stack[-1].tag == "p":
-        stack.pop()
-    while stack and stack[-1].tag in _CLOSED_BY.get(tag, ()):
-        stack.pop()
-
-
 def _hashed(*parts: str) -> int:
     data = "\0".join(parts).encode("utf-8", "surrogatepass")
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-@lru_cache(maxsize=1 << 14)
-def _chain(path: str) -> tuple[tuple[int, bool], ...]:
-    """The tokens of the elements of a path, from the outermost on, and whether each can be a slot."""
-    names = path.split("/") if path else []
-    tags = (name.partition(".")[0] for name in names)
-    return tuple((_hashed("/".join(names[: k + 1])), tag in _SLOTS) for k, tag in enumerate(tags))
+@lru_cache(maxsize=1 << 16)
+def _below(around: int, name: str) -> int:
+    """The token of an element of that name in the element ``around``."""
+    return _hashed("", str(around), name)
+
+
+def _elements(found: list[Block]) -> list[Element]:
+    """The elements around the blocks, in the order they open, so none before the one around it."""
+    met: dict[int, Element] = {}
+    for block in found:
+        element = block.element
+        while element and element.number not in met:
+            met[element.number] = element
+            element = element.around
+    return [met[number] for number in sorted(met)]
 
 
 def tokens(found: list[Block]) -> dict[int, list[int]]:
@@ -288,21 +394,23 @@ def tokens(found: list[Block]) -> dict[int, list[int]]:
     whether it is text (0), an element (1), or one that can be a slot (2). An element has all
     characters below it that may be an article's."""
     counted: dict[int, list[int]] = {}
-    met: set[int] = set()
+    chars: Counter[int] = Counter()
     for block in found:
-        around = 0
-        chars = 0 if block.side or block.doubts else len(block.text)
-        for (token, slot), number in zip(_chain(block.path), block.elements, strict=True):
-            entry = counted.setdefault(token, [0, around, 0, 2 if slot else 1])
-            if number not in met:
-                met.add(number)
-                entry[0] += 1
-            entry[2] += chars
-            around = token
+        own = 0 if block.side or block.doubtful else len(block.text)
+        if block.element:
+            chars[block.element.number] += own
         if not block.side:
-            entry = counted.setdefault(_hashed(block.path, block.text), [0, around, 0, 0])
+            entry = counted.setdefault(block.token, [0, block.around, 0, 0])
             entry[0] += 1
-            entry[2] += chars
+            entry[2] += own
+    for element in reversed(_elements(found)):
+        around = element.around
+        slot = 2 if element.tag in _SLOTS else 1
+        entry = counted.setdefault(element.token, [0, around.token if around else 0, 0, slot])
+        entry[0] += 1
+        entry[2] += chars[element.number]
+        if around:
+            chars[around.number] += chars[element.number]
     return counted
 
 
@@ -314,29 +422,50 @@ def main_text(page: str | None, template: list[int], slots: dict[int, float] | N
     such it is found by ``slots``, the characters that pages have in each, on average.
     """
     known = set(template)
-    found = [b for b in blocks(page) if not b.side and not any(_hashed(d) in known for d in b.doubts)]
-    own = [block for block in found if _hashed(block.path, block.text) not in known]
+    every = blocks(page)
+    # What the template confirms not to be part of an article, and all that is in it.
+    confirmed: set[int] = set()
+    for element in _elements([block for block in every if block.doubtful]):
+        inside = element.around is not None and element.around.number in confirmed
+        if inside or (element.doubt and element.token in known):
+            confirmed.add(element.number)
+    found = [b for b in every if not b.side and not (b.doubtful and b.element.number in confirmed)]
+    own = [block for block in found if block.token not in known]
     marked = [b for b in own if b.article] or [b for b in found if b.article]
     return "\n".join(block.text for block in marked or _in_slot(own, slots or {}))
 
 
 def _in_slot(found: list[Block], slots: dict[int, float]) -> list[Block]:
     """The blocks below the innermost slot that holds most of what is in each slot around it."""
-    chains = [[token for token, _ in _chain(block.path) if token in slots] for block in found]
-    inside, depth = list(range(len(found))), 0
-    while True:
-        below: dict[int, list[int]] = {}
-        rest = 0
-        for k in inside:
-            if len(chains[k]) > depth:
-                below.setdefault(chains[k][depth], []).append(k)
-            else:
-                rest += len(found[k].text)
-        total = rest + sum(slots[token] for token in below)
-        largest = max(below, key=lambda token: (slots[token], token), default=None)
-        if largest is None or slots[largest] < MOST * total:
-            return [found[k] for k in inside]
-        inside, depth = below[largest], depth + 1
+    nearest: dict[int, int] = {}  # of an element: the slot it is or is in, 0 if none
+    outer: dict[int, int] = {}  # of a slot: the one around it; none before that
+    for element in _elements(found):
+        slot = nearest.get(element.around.number, 0) if element.around else 0
+        if element.token in slots:
+            outer.setdefault(element.token, slot)
+            slot = element.token
+        nearest[element.number] = slot
+    home = [nearest[block.element.number] if block.element else 0 for block in found]
+    rest: Counter[int] = Counter()
+    for block, slot in zip(found, home, strict=True):
+        rest[slot] += len(block.text)
+    below: dict[int, list[int]] = {}
+    for slot, around in outer.items():
+        below.setdefault(around, []).append(slot)
+    at = 0
+    while at in below:
+        total = rest[at] + sum(slots[slot] for slot in below[at])
+        largest = max(below[at], key=lambda slot: (slots[slot], slot))
+        if slots[largest] < MOST * total:
+            break
+        at = largest
+    if not at:
+        return found
+    inside = {at}
+    for slot, around in outer.items():
+        if around in inside:
+            inside.add(slot)
+    return [block for block, slot in zip(found, home, strict=True) if slot in inside]
 
 
 def _host(url: Column) -> Column:
@@ -346,8 +475,9 @@ def _host(url: Column) -> Column:
 
 def templates(pages: DataFrame) -> DataFrame:
     """Per ``host``: ``template``, the text of its template and the elements that most pages have,
-    and ``slots`` with the characters that pages have in each, ``sizes``, on average. ``pages`` has
-    ``host``, ``page`` (a hash) and ``html``; hosts of few pages are left out."""
+    ``slots`` with the characters that pages have in each, ``sizes``, on average, and the number of
+    its different ``pages``. ``pages`` has ``host``, ``page`` (a hash) and ``html``; hosts of few
+    pages are left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,7 +510,7 @@ def templates(pages: DataFrame) -> DataFrame:
     frequent = (
         seen.filter(F.col("n") >= LEAST_PAGES).join(size, "host").filter(F.col("n") >= LAYOUT * F.col("pages"))
     )
-    result = "host string, template array<bigint>, slots array<bigint>, sizes array<double>"
+    result = "host string, template array<bigint>, slots array<bigint>, sizes array<double>, pages bigint"
     return frequent.groupBy("host").applyInArrow(_template, result)
 
 
@@ -424,6 +554,7 @@ def _template(table: pa.Table) -> pa.Table:
     columns = {"template": pa.array([template], pa.list_(pa.int64()))}
     columns["slots"] = pa.array([slots], pa.list_(pa.int64()))
     columns["sizes"] = pa.array([sizes], pa.list_(pa.float64()))
+    columns["pages"] = pa.array([table["pages"][0].as_py()], pa.int64())
     return pa.table({"host": pa.array([table["host"][0].as_py()], pa.string()), **columns})
 
 
@@ -471,7 +602,8 @@ def extract_text(
     Character references are decoded, white space within a block is one space, blocks are joined by
     line ends. Text is empty for a null or empty page, or one without an article. Pages without a
     host, or alone on theirs, are judged by their own elements. Repeated pages give equal texts,
-    each for itself. Columns of these names are replaced; all others stay.
+    each for itself. Very long pages, markup that never ends and deep nesting take time linear in
+    their length. Columns of these names are replaced; all others stay. An empty table gives no rows.
     """
     given = [name for name in pages.columns if name not in (text, "n_chars")]
     rows = pages.select(
@@ -479,10 +611,8 @@ def extract_text(
         _host(column(url)).alias("host"),
         F.coalesce(column(source), F.lit("")).alias("html"),
     )
-    pages_ = rows.select("host", F.xxhash64("html").alias("page"), "html")
-    known = stored(templates(pages_), "templates")
-    few = known.count() <= BROADCAST_HOSTS
-    joined = rows.join(F.broadcast(known) if few else known, "host", "left")
+    pages_ = rows.filter("host <> ''").select("host", F.xxhash64("html").alias("page"), "html")
+    joined = _beside(rows, stored(templates(pages_), "templates"))
 
     def extract(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -496,3 +626,19 @@ def extract_text(
     back = [F.col(f"row.c{k}").alias(name) for k, name in enumerate(given)]
     out = joined.select(*back, found.alias(text))
     return out.withColumn("n_chars", F.length(column(text)).cast("bigint"))
+
+
+def _beside(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows, each with the template of its host, if there is one."""
+    size = (F.size("template") + 2 * F.size("slots") + F.lit(8)) * 8 + F.octet_length("host")
+    sized = known.select("host", "pages", size.cast("bigint").alias("bytes"))
+    known = known.drop("pages")
+    if (sized.agg(F.sum("bytes")).head()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(known), "host", "left")
+    largest = sized.orderBy(F.desc("pages"), "host").limit(HOT_HOSTS).collect()
+    upto = accumulate(row.bytes for row in largest)
+    hot = [row.host for row, sum_ in zip(largest, upto, strict=True) if sum_ <= BROADCAST_BYTES]
+    # Pages without a host have no template to meet.
+    is_hot = F.col("host").isin(["", *hot])
+    often = rows.filter(is_hot).join(F.broadcast(known.filter(is_hot)), "host", "left")
+    return often.unionByName(rows.filter(~is_hot).join(known.filter(~is_hot), "host", "left"))

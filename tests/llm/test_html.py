@@ -1,6 +1,11 @@
+import random
+import re
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
-from lakeload.llm.html import blocks, extract_text, main_text
+from lakeload.llm.html import _Tags, blocks, extract_text, main_text, tokens
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><article>";</script>
 </head><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Home</a></ul></nav>
@@ -122,3 +127,98 @@ def test_templates_inside_articles(spark):
     for row in found:
         n = row.page_id
         assert row.text == (f"Story {n}\nText {n}\nEnd {n}" if n < 10 else "Only copies.")
+
+
+LINES = "\n".join(["x"] * 20_000)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<a " * 300_000, None),
+        ("<a " * 300_000 + ">", ""),
+        ("<a '>' " * 100_000 + "'", None),
+        ("<a\"" * 300_000 + "/ \"'>", None),
+        ("<a <a 'b' \"" * 80_001 + "'>", None),
+        ("<!" * 300_000, None),
+        ("<div>x" * 20_000, LINES),
+        ("<div class=note><b>x</b></i>" * 20_000, LINES),
+        ("<section class='share this'>x" * 20_000, LINES),
+    ],
+)
+def test_tags_without_end_and_deep_nesting_take_linear_time(page, text):
+    """Without a tag that ends, all of the page is text."""
+    start = time.process_time()
+    found = blocks(page)
+    template, slots = list(tokens(found)), {token: 1.0 for token in tokens(found)}
+    assert main_text(page, [], {}) == (" ".join(page.split()) if text is None else text)
+    main_text(page, template, slots)
+    assert time.process_time() - start < 20
+
+
+def test_tags_are_found_as_by_one_expression():
+    plain = re.compile(
+        r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S
+    )
+    chance = random.Random(12)
+    parts = ["<", "<a", "</b", "<!", "<!--", "-->", ">", "'", '"', "/", " ", "c", "=", "\n", "<p>", "<é"]
+    for _ in range(20_000):
+        page = "".join(chance.choices(parts, k=chance.randint(1, 25)))
+        expected = [
+            (m.start(), m.end(), bool(m[1]), (m[2] or "").lower(), m[3] or "") for m in plain.finditer(page)
+        ]
+        tags, found, at = _Tags(page), [], 0
+        while next_ := tags.after(at):
+            found.append(next_)
+            at = next_[1]
+        assert found == expected, page
+
+
+ROWS = {"menu": 5, "promo": 3, "foot": 4}
+
+
+def _site(chance, host, marked):
+    """Pages of one host, and the text of each one's article."""
+    word = lambda: "".join(chance.choices("abcdefghij", k=chance.randint(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    fixed = {name: [line(4) for _ in range(n)] for name, n in ROWS.items()}
+    notice = [line(8) for _ in range(4)]
+    layouts = [chance.choice(["div", "section", "div"]) for _ in range(2)]
+    for n in range(24):
+        k = n % 2
+        paragraphs = [line(chance.randint(20, 40)) for _ in range(chance.randint(2, 6))]
+        items = [line(chance.randint(4, 9)) for _ in range(chance.randint(0, 3))]
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        body += "<ul>" + "".join(f"<li>{i}" for i in items) + "</ul>" if items else ""
+        # Text of the template inside the article, in an element that does not tell.
+        body += "<div class='z9'>" + "".join(f"<p>{t}</p>" for t in notice) + "</div>"
+        if marked:
+            body = f"<article>{body}</article>"
+        parts = {name: "".join(f"<li>{t}</li>" for t in lines) for name, lines in fixed.items()}
+        html = (
+            f"<html><head><title>{line(3)}</title></head><body><ul class='q1'>{parts['menu']}</ul>"
+            f"<div class='q{2 + k}'><{layouts[k]} class='m{k}'>{body}</{layouts[k]}></div>"
+            f"<ul class='q5'>{parts['promo']}</ul><ul class='q6'>{parts['foot']}</ul></body></html>"
+        )
+        yield f"https://{host}/{n}", html, "\n".join(paragraphs + items)
+
+
+def test_articles_of_generated_hosts(spark):
+    """The template decides: no element but, on some hosts, the article tells what it is."""
+    chance = random.Random(41)
+    made = [p for h in range(20) for p in _site(chance, f"h{h}.example", marked=h % 4 == 0)]
+    rows = [(n, url, html) for n, (url, html, _) in enumerate(made)]
+    found = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert [found[n] for n in range(len(made))] == [text for *_, text in made]
+
+
+def test_templates_too_many_to_broadcast(spark, monkeypatch):
+    chance = random.Random(43)
+    made = [p for h in range(4) for p in _site(chance, f"h{h}.example", marked=False)]
+    rows = [(n, url, html) for n, (url, html, _) in enumerate(made)] + [(-1, None, "<p>alone")] * 5
+    expected = sorted(map(tuple, extract_text(pages(spark, rows)).collect()))
+    assert [r for r in expected if r[0] == -1] == [(-1, None, "<p>alone", "alone", 5)] * 5
+    monkeypatch.setattr("lakeload.llm.html.HOT_HOSTS", 2)
+    for most in (0, 3000):
+        monkeypatch.setattr("lakeload.llm.html.BROADCAST_BYTES", most)
+        assert sorted(map(tuple, extract_text(pages(spark, rows)).collect())) == expected
