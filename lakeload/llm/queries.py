@@ -162,10 +162,11 @@ def op6_quality_rules(spark, sf_dir):
 
 @query()
 def op7_min_cost_resharding(spark, sf_dir):
-    """The given files, dealt to 16 shards by their names, to shards of near equal bytes."""
-    files = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    old = F.pmod(F.xxhash64("_metadata.file_name"), F.lit(16)).cast("int").alias("old_shard")
-    docs = files.select("doc_id", "text", old)
+    """All documents from 20 shards of very different sizes, dealt by a hash of the id, to 16 of near
+    equal bytes."""
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
+    old = F.floor(20 * share * share).cast("int").alias("old_shard")
+    docs = given(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", "text", old)
     path = new_path(spark, "shards")
     placed = resharding.reshard(docs, path, old_shard="old_shard", shards=16)
     return placed.select(
@@ -176,6 +177,7 @@ def op7_min_cost_resharding(spark, sf_dir):
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
     )
 
 

@@ -1,12 +1,17 @@
 import itertools
+import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakeload.llm.queries import QUERIES
 from lakeload.llm.resharding import equal_capacities, min_cost_flow, reshard
 from lakeload.llm.storage import new_path
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def test_flow_moves_as_few_bytes_as_can_be():
     chance = random.Random(6)
@@ -65,3 +70,22 @@ def test_awkward_rows(spark, awkward, documents):
     assert "hash" in out.columns and out.columns.count("slot") == 1
     empty = documents([]).withColumn("old", F.lit(0))
     assert reshard(empty, new_path(spark, "s"), old_shard="old", shards=4).count() == 0
+
+
+def test_the_query_moves_as_few_bytes_as_can_be(spark):
+    rows = QUERIES["op7_min_cost_resharding"](spark, SF_DIR).collect()
+    old, new = Counter(), Counter()
+    for r in rows:
+        old[r.old_shard] += r.size
+        new[r.shard] += r.size
+    capacities = equal_capacities(sum(old.values()), 16)
+    stays = sum(r.size for r in rows if r.shard == r.old_shard)
+    most = sum(min(old[j], room) for j, room in enumerate(capacities))
+    longest = max(r.size for r in rows)
+    assert len(old) == 20 and 0 < stays
+    # Blocks are cut between rows.
+    assert abs(most - stays) <= 36 * longest
+    assert sorted(new) == list(range(16))
+    assert all(abs(new[j] - room) <= 36 * longest for j, room in enumerate(capacities))
+    for shard in range(16):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
