@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.workspace import shared_folder
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own under the shared folder; see :func:`lakeload.workspace.shared_folder`."""
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
@@ -16,7 +21,23 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written once and read from there: its lineage ends, and a lost executor costs
-    nothing that was finished."""
+    nothing that was finished. The files of its shuffles go as soon as it is written."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block leave no shuffle files behind when they end. Otherwise these
+    stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
