@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ COUNTED_LEAST = 6
 #: So many of the most frequent shingles are told to all tasks: half a megabyte.
 FREQUENT = 1 << 16
 BLOCK = 1024
+#: Tokens meet in so many parts, one after the other: only one part's are in shuffle files at a time.
+TOKEN_PARTS = 3
 #: Tiles of more nodes than that are summed up before they meet, and ordered by size in parts.
 LARGE_TILE = 4096
 #: A node's set is sent once for so many of its pairs.
@@ -306,7 +309,16 @@ def _tiles(
     found = rows.select("body").mapInArrow(prefixes, fields)
     firsts = [F.first(name).alias(name) for name in ("n", "rare", "prefix")]
     unique = found.groupBy("node").agg(*firsts)
+    unique = stored(unique, "prefixes")
+    parts = [stored(_met(unique, part, per_cent), "met") for part in range(TOKEN_PARTS)]
+    return _merged(reduce(DataFrame.unionByName, parts))
+
+
+def _met(unique: DataFrame, part: int, per_cent: int) -> DataFrame:
+    """The tiles of a part of the tokens, those of the same nodes made one."""
     tokens = unique.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    # Not the hash by which rows are dealt to tasks.
+    tokens = tokens.filter(F.pmod(F.xxhash64("token", F.lit("part")), F.lit(TOKEN_PARTS)) == part)
     # Who shares a token, as a number. Frequent tokens, which very many nodes may share, are counted
     # before they meet; the others, nearly all, meet at once.
     members = {"many": F.count("*"), "who": F.bit_xor(F.xxhash64("node"))}
@@ -322,10 +334,14 @@ def _tiles(
     counted = counted.filter(f"many > 2 OR many = 2 AND 100 * least >= {per_cent} * most")
     columns = ["node", "n", "pos", "many", "who"]
     both = met.select(columns).unionByName(often.join(counted, "token").select(columns))
-    merged = both.groupBy("who", "many", "node").agg(
-        F.first("n").alias("n"), F.min("pos").alias("pos"), F.count("*").cast("int").alias("weight")
+    return _merged(both.withColumnsRenamed({"who": "token"}).withColumn("weight", F.lit(1)))
+
+
+def _merged(tiles: DataFrame) -> DataFrame:
+    """Tiles with the same number are one."""
+    return tiles.groupBy("token", "many", "node").agg(
+        F.first("n").alias("n"), F.min("pos").alias("pos"), F.sum("weight").cast("int").alias("weight")
     )
-    return merged.withColumnRenamed("who", "token")
 
 
 def _frequent_last(
