@@ -40,7 +40,7 @@ COUNTED_LEAST = 6
 FREQUENT = 1 << 16
 BLOCK = 1024
 #: Tokens meet in so many parts, one after the other: only one part's are in shuffle files at a time.
-TOKEN_PARTS = 3
+TOKEN_PARTS = 2
 #: Tiles of more nodes than that are summed up before they meet, and ordered by size in parts.
 LARGE_TILE = 4096
 #: A node's set is sent once for so many of its pairs.
@@ -309,7 +309,7 @@ def _tiles(
     found = rows.select("body").mapInArrow(prefixes, fields)
     firsts = [F.first(name).alias(name) for name in ("n", "rare", "prefix")]
     unique = found.groupBy("node").agg(*firsts)
-    unique = stored(unique, "prefixes")
+    # Prefixes are worked out again for each part: kept, they would take as much room to the end.
     parts = [stored(_met(unique, part, per_cent), "met") for part in range(TOKEN_PARTS)]
     return _merged(reduce(DataFrame.unionByName, parts))
 
