@@ -22,6 +22,8 @@ from lakeload.llm.encoding import encoder
 from lakeload.names import column
 
 BLOCK_IDS = 1 << 20
+#: Of pieces met, in each Python worker: words come back less often than a task's texts would tell.
+REMEMBERED_BYTES = 256 << 20
 _CHUNK = 512  # bits of the upper part between two counts
 
 
@@ -127,7 +129,7 @@ def write_ids(
     )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, REMEMBERED_BYTES)
         width = encode.width
         end = int(end_id).to_bytes(width, "little")
         part, block = TaskContext.get().partitionId(), 0

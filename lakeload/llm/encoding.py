@@ -29,6 +29,9 @@ _ENTRY_BYTES = 80
 # here is Python's, which includes all that the tokenizers' own expressions count as such.
 _DOUBTFUL = re.compile(r"[\s᠎] ")
 _SAFE = re.compile(r"(?<=[^\s᠎])(?= )")
+# What it finds, as texts; no white space comes after U+3000. Looking for a letter is far cheaper than
+# an expression, and most texts have two kinds of white space only.
+_DOUBTFUL_PAIRS = [(c, c + " ") for c in map(chr, range(0x3001)) if _DOUBTFUL.match(c + " ")]
 
 # A word of Latin letters, each of them one letter in lower case too, and perhaps a few signs; and
 # after a line end perhaps another one. Tokenizers split these in front of the signs and around the
@@ -41,9 +44,10 @@ _PLAIN_SAMPLE = ("Word", "word", "Äpfel", "éèçñ", "Ünïcödé", "ıĳſɏ"
 
 def split_before_spaces(text: str) -> list[str]:
     """Cut before each space that follows something other than white space; those spaces go."""
-    if _DOUBTFUL.search(text):
-        first, *rest = _SAFE.split(text)
-        return [first, *[piece[1:] for piece in rest]]
+    for white, pair in _DOUBTFUL_PAIRS:
+        if white in text and pair in text:
+            first, *rest = _SAFE.split(text)
+            return [first, *[piece[1:] for piece in rest]]
     return text.split(" ")
 
 
@@ -103,15 +107,16 @@ class Encoder:
         They need no splitting, and its bookkeeping for one word costs more than the merges.
         """
         tokenize = self.tokenizer.model.tokenize
-        one, space = self._one, _LETTERS[32] if space and not self._lower else ""
-        found = []
-        for word in words:
-            if self._lower:
-                word = word.lower()
-            if not word.isascii():  # ASCII letters stand for themselves
-                word = word.encode().decode("latin-1").translate(_LETTERS)
-            found.append(b"".join([one[token.id] for token in tokenize(space + word)]))
-        return found
+        one, joined = self._one, b"".join
+        space = _LETTERS[32] if space and not self._lower else ""
+        if self._lower:
+            words = map(str.lower, words)
+        # ASCII letters stand for themselves.
+        letters = [
+            space + (word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS))
+            for word in words
+        ]
+        return [joined([one[token.id] for token in tokenize(word)]) for word in letters]
 
     def _drops_white_space(self) -> bool:
         return not self.tokenizer.encode(" \n", add_special_tokens=False).ids
@@ -140,10 +145,11 @@ class Encoder:
         new = set().union(*cut).difference(self._known)
         older = self._older
         if older:
-            self._keep({piece: older[piece] for piece in new if piece in older})
-            new = new.difference(older)
+            met = list(older.keys() & new)  # goes through the smaller one
+            self._keep(met, [older[piece] for piece in met])
+            new.difference_update(met)
         rest = self._learn_words(new) if self._plain else list(new)
-        self._keep(dict(zip(rest, self._batch([" " + piece for piece in rest]), strict=True)))
+        self._keep(rest, self._batch([" " + piece for piece in rest]))
 
     def _batch(self, pieces: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -175,18 +181,19 @@ class Encoder:
         self._learn_new(self._bare, {bare for _, _, _, bare, _ in composed if bare}, "")
         known, after, bare = self._known, self._sign, self._bare
         line = self._signs["\n"]
-        self._keep({piece: known[word] + after(piece[-1]) for piece, word in signed})
+        self._keep([x[0] for x in signed], [known[word] + after(piece[-1]) for piece, word in signed])
         self._keep(
-            {
-                piece: known[word] + after(sign) + (line + bare[second] + after(more) if second else b"")
-                for piece, word, sign, second, more in composed
-            }
+            [x[0] for x in composed],
+            [
+                known[word] + after(sign) + (line + bare[second] + after(more) if second else b"")
+                for _, word, sign, second, more in composed
+            ],
         )
         return rest
 
     def _learn_new(self, known: dict[str, bytes], words: set[str], space: str) -> None:
         unknown = list(words.difference(known))
-        self._keep(dict(zip(unknown, self._words(unknown, space), strict=True)), known)
+        self._keep(unknown, self._words(unknown, space), known)
 
     def _sign(self, sign: str) -> bytes:
         """Ids of some signs: so few at most that there are no more than a thousand."""
@@ -194,10 +201,11 @@ class Encoder:
             self._signs[sign] = self._ids(sign)
         return self._signs[sign]
 
-    def _keep(self, found: dict[str, bytes], known: dict[str, bytes] | None = None) -> None:
-        (self._known if known is None else known).update(found)
+    def _keep(self, pieces: list[str], ids: list[bytes], known: dict[str, bytes] | None = None) -> None:
+        """Remember the ids of pieces that are not known yet."""
+        (self._known if known is None else known).update(zip(pieces, ids, strict=True))
         size = sys.getsizeof
-        self._bytes += sum(map(size, found)) + sum(map(size, found.values())) + _ENTRY_BYTES * len(found)
+        self._bytes += sum(map(size, pieces)) + sum(map(size, ids)) + _ENTRY_BYTES * len(pieces)
 
 
 def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:

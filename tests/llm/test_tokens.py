@@ -1,6 +1,9 @@
 """Token counts, ids in files, packing: all against the tokenizers library itself."""
 
 import random
+import re
+import sys
+import time
 import zlib
 
 import numpy as np
@@ -51,6 +54,26 @@ def test_words_signs_and_line_ends_encode_as_whole_texts(tokenizer):
     assert ours == [encoded.ids for encoded in whole]
 
 
+def test_doubtful_white_space_is_all_of_it():
+    found = re.findall(r"[\s᠎]", "".join(map(chr, range(sys.maxunicode + 1))))
+    assert [white for white, _ in encoding._DOUBTFUL_PAIRS] == found
+
+
+def test_cutting_costs_little_more_than_splitting():
+    text = "the salted fish, the bright woollen blankets\nand the long cold nights ahead of spring " * 20_000
+
+    def least(cut):
+        seconds = []
+        for _ in range(5):
+            began = time.process_time()
+            cut(text)
+            seconds.append(time.process_time() - began)
+        return min(seconds)
+
+    assert encoding.split_before_spaces(text) == text.split(" ")
+    assert least(encoding.split_before_spaces) < 2 * least(lambda t: t.split(" "))
+
+
 def test_memory_of_pieces_is_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(encoding, "REMEMBERED_BYTES", 2000)
     monkeypatch.setattr(encoding, "BATCH_BYTES", 100)
