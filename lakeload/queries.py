@@ -21,6 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: Rows of a compressed input file: each is read by one task, so there are many.
+CSV_FILE_ROWS = 1 << 17
+
 _workspaces: dict[str, list[Workspace]] = {}
 _csv_inputs: dict[tuple, str] = {}
 
@@ -80,7 +83,10 @@ def drop_workspaces(spark: SparkSession, *, keep_inputs: bool = False) -> None:
 def as_csv(
     spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str] | None = None
 ) -> str:
-    """The whole table as CSV files, the input of the loads; written once per session."""
+    """The whole table as CSV files, the input of the loads; written once per session.
+
+    As text a table is several times its Parquet files, so the CSV is compressed.
+    """
     key = (spark.conf.get("spark.app.id"), sf_dir, table, tuple((columns or {}).items()))
     if key not in _csv_inputs:
         rows = given(spark, sf_dir, table)
@@ -89,7 +95,8 @@ def as_csv(
         path = workspace(spark).path(table)
         # By default only three decimals are written; the tables hold microseconds.
         times = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-        rows.write.option("timestampNTZFormat", times).csv(path, header=True)
+        options = {"timestampNTZFormat": times, "maxRecordsPerFile": CSV_FILE_ROWS}
+        rows.write.options(**options).csv(path, header=True, compression="gzip")
         _csv_inputs[key] = path
     return _csv_inputs[key]
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from lakeload.queries import ORACLES, QUERIES
+from lakeload.queries import ORACLES, QUERIES, as_csv
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01"))
 
@@ -63,3 +63,16 @@ def test_same_as_duckdb(spark, duck, key):
 def test_entry(spark):
     row = entry.entry(spark).first()
     assert row.total_products > 0
+
+
+def test_csv_input_is_compressed_and_in_many_files(spark, tmp_path):
+    columns = ["id AS l_orderkey", "id % 7 AS l_quantity", "concat('line number ', id % 1000) AS l_comment"]
+    rows = spark.range(400_000, numPartitions=1).selectExpr(*columns)
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    path = as_csv(spark, str(tmp_path), "lineitem")
+    files = list(Path(path).glob("part-*"))
+    text = rows.selectExpr("sum(length(concat_ws(',', *)) + 1)").first()[0]
+    assert sum(file.stat().st_size for file in files) < text / 2
+    assert len(files) > 3  # none of them can be split
+    again = spark.read.csv(path, header=True, schema=rows.schema)
+    assert again.exceptAll(rows).isEmpty() and again.count() == 400_000
