@@ -234,3 +234,11 @@ def encoder(path: str, remembered: int | None = None) -> Encoder:
     # What earlier stages have left to this worker goes back first.
     pa.default_memory_pool().release_unused()
     return Encoder(path, remembered)
+
+
+def forget_encoder() -> None:
+    """Free the worker's encoder: workers live on from one query to the next, and what an earlier one
+    remembered would be there beside what this one needs."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        pa.default_memory_pool().release_unused()

@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeload.llm import storage
 from lakeload.llm.components import components
+from lakeload.llm.encoding import forget_encoder
 from lakeload.llm.shingles import SHINGLE_WORDS, shingle_set, word_hashes
-from lakeload.llm.storage import stored
 from lakeload.names import column
 
 #: Similarity as a fraction: 100 * overlap >= 75 * union.
@@ -51,11 +52,19 @@ TURNS = 2
 #: Ids of documents to look up are broadcast up to this many (32 MB), beyond that joined.
 BROADCAST_IDS = 2_000_000
 
+#: Of rows that Python gets at once. A batch is there several times, in Spark and in Python, for each
+#: task; Spark's own bound, 10,000 rows, is dozens of MB of texts, bitmaps or sets.
+BATCH_BYTES = 4 << 20
+
 _MAX_BITS = 1 << 16
 _PAIRS = 1 << 15
 _ROWS = 1024
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return storage.stored(df, name, batch_bytes=BATCH_BYTES)
+
+
 def least_overlap(n: np.ndarray | int, m: np.ndarray | int, per_cent: int = PER_CENT):
     """The smallest overlap with which sets of ``n`` and ``m`` are similar."""
     return -(-per_cent * (n + m) // (100 + per_cent))
@@ -93,6 +102,7 @@ def fingerprint(shingles: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int):
     """Record batches of few rows with the shingle sets of their column ``body``."""
+    forget_encoder()
     for whole in batches:
         for at in range(0, whole.num_rows, _ROWS):
             batch = whole.slice(at, _ROWS)
