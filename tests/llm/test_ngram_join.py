@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeload.llm import ngram_join, shingles
+from lakeload.llm import components as graph, ngram_join, shingles
 from lakeload.llm.components import components
 from lakeload.llm.ngram_join import near_copies, one_of_each
+from lakeload.llm.storage import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -138,3 +139,34 @@ def test_components_of_paths_stars_and_rings(spark):
     wanted |= {k: 300 for k in range(300, 320)} | {8: 8, 9: 8}
     assert found == wanted
     assert components(df.filter(F.lit(False))).count() == 0
+
+
+def some_links(seed=3):
+    """Links of paths, stars and pairs, and the smallest node that each of their nodes reaches."""
+    chance = random.Random(seed)
+    names = [chance.randrange(-(1 << 62), 1 << 62) for _ in range(600)]
+    links, wanted = [], {}
+    for group in (names[:200], names[200:400], *(names[k : k + 2] for k in range(400, 600, 2))):
+        ends = group if group[0] == names[0] else [group[0]] * len(group)
+        links += [chance.choice([(a, b), (b, a)]) for a, b in zip(ends, group[1:], strict=False)]
+        wanted |= dict.fromkeys(group, min(group))
+    chance.shuffle(links)
+    return links + links[:50], wanted
+
+
+@pytest.mark.parametrize("held", [1, 8, 1 << 17])
+def test_components_do_not_depend_on_what_a_task_holds(spark, monkeypatch, held):
+    monkeypatch.setattr(graph, "LINKS_A_TASK", held)
+    links, wanted = some_links()
+    df = spark.createDataFrame(links, "x bigint, y bigint").repartition(3)
+    rows = components(df).collect()
+    assert len(rows) == len(wanted) and {r.node: r.root for r in rows} == wanted
+
+
+def test_components_of_few_links_take_no_rounds(spark, monkeypatch):
+    """However long their paths are."""
+    tables = []
+    monkeypatch.setattr(graph, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    df = spark.createDataFrame([(k, k + 1) for k in range(5000)], "x bigint, y bigint").repartition(5)
+    assert {r.root for r in components(df).collect()} == {0}
+    assert len(tables) == 2
