@@ -60,6 +60,9 @@ EXTRA_RULES = (
 )
 PRODUCTION_RULES = (*BASE_RULES, *EXTRA_RULES)
 
+#: Of redacted texts that go back to Spark together.
+_OUT_CHARS = 1 << 20
+
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 _ARROW_SPANS = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -187,14 +190,25 @@ def redacted(text: Column, rules: Sequence[SecretRule] = PRODUCTION_RULES) -> Co
     rules = tuple(rules)
 
     def replaced(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scan = scanner(rules)
-        for texts in batches:
-            strings = (value.as_py() for value in texts)
-            yield pa.array([_without(scan, s) for s in strings], type=pa.string())
+        return _redacted(batches, rules)
 
     return F.arrow_udf(replaced, "string")(text)
 
 
+def _redacted(batches: Iterator[pa.Array], rules: tuple[SecretRule, ...]) -> Iterator[pa.Array]:
+    """A batch may hold the texts of a whole file; what becomes of them goes back in small parts."""
+    scan = scanner(rules)
+    for texts in batches:
+        done, size = [], 0
+        for value in texts:
+            done.append(_without(scan, value.as_py()))
+            size += len(done[-1] or "")
+            if size >= _OUT_CHARS:
+                yield pa.array(done, type=pa.string())
+                done, size = [], 0
+        yield pa.array(done, type=pa.string())
+
+
 def _without(scan: Scanner, text: str | None) -> str | None:
     parts, done, filled = [], 0, 0
     for start, k, end in scan.spans(text):

@@ -3,6 +3,7 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,13 @@ def test_time_grows_with_the_length_only():
         took.append(time.process_time() - began)
         assert len(spans) == n
     assert took[1] < 20 * max(took[0], 0.05)
+
+
+def test_redacted_texts_go_back_in_small_parts():
+    """A batch of a whole file is not there a second and third time as what becomes of it."""
+    text = "plain words only " * 20_000 + "password = hunter22hunter22"
+    batches = [pa.array([text] * 9 + [None, "", "x"]), pa.array([], pa.string()), pa.array([None])]
+    parts = list(secrets._redacted(iter(batches), secrets.BASE_RULES))
+    assert max(part.nbytes for part in parts) < 2 << 20
+    clean = text[: text.index("password")] + "<assign>"
+    assert [x for part in parts for x in part.to_pylist()] == [clean] * 9 + [None, "", "x", None]
