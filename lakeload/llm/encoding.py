@@ -3,8 +3,9 @@
 A text is cut at safe boundaries, places at which its tokens are those of the left part followed by
 those of the right part, so that only short pieces reach the tokenizer, in batches of about equal
 bytes. A piece seen before is not encoded again: prose repeats its words, and a lookup is far
-cheaper than an encoding. What is remembered is bounded by bytes; when half of that is full, what was
-not met while it filled is forgotten.
+cheaper than an encoding. Arrow cuts the texts of a batch and numbers its different pieces, so that
+each is looked up once, and puts their ids in place. What is remembered is bounded by bytes; when
+half of that is full, what was not met while it filled is forgotten.
 """
 
 from __future__ import annotations
@@ -17,13 +18,19 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+#: Of what the tokenizer gets at once; it keeps much about each piece.
 BATCH_BYTES = 1 << 17
+_TEXT_BATCHES = 8  # so many times that, at most, are texts cut together
+_PART_OF_REMEMBERED = 256  # what they have, next to what is remembered
 #: Of pieces in both generations together, in each Python worker.
 REMEMBERED_BYTES = 128 << 20
 # What an entry costs beside its two objects: its part of a dictionary.
 _ENTRY_BYTES = 80
+_BYTES_OBJECT = sys.getsizeof(b"")
 
 # A space after anything but white space begins a new word of a byte-level tokenizer. White space
 # here is Python's, which includes all that the tokenizers' own expressions count as such.
@@ -42,18 +49,20 @@ _ONE_SIGN = frozenset(".,;:!?#*$%&")
 _PLAIN_SAMPLE = ("Word", "word", "Äpfel", "éèçñ", "Ünïcödé", "ıĳſɏ", "McDonald", "a")
 
 
-def split_before_spaces(text: str) -> list[str]:
-    """Cut before each space that follows something other than white space; those spaces go."""
+def _is_doubtful(text: str) -> bool:
+    """Whether a space follows white space."""
     for white, pair in _DOUBTFUL_PAIRS:
         if white in text and pair in text:
-            first, *rest = _SAFE.split(text)
-            return [first, *[piece[1:] for piece in rest]]
-    return text.split(" ")
+            return True
+    return False
 
 
-def split_at_spaces(text: str) -> list[str]:
-    """Cut at spaces and line ends, for tokenizers that drop white space."""
-    return text.replace("\n", " ").split(" ")
+def split_before_spaces(text: str) -> list[str]:
+    """Cut before each space that follows something other than white space; those spaces go."""
+    if _is_doubtful(text):
+        first, *rest = _SAFE.split(text)
+        return [first, *[piece[1:] for piece in rest]]
+    return text.split(" ")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -67,6 +76,17 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class _Letters(dict):
+    """The letters that stand for the bytes of a character."""
+
+    def __missing__(self, character: str) -> str:
+        letters = self[character] = character.encode().decode("latin-1").translate(_LETTERS)
+        return letters
+
+
+_LETTERS_OF = _Letters()  # of a few hundred characters that plain words have
+
+
 class Encoder:
     """Encodes texts with one tokenizer file; ids come as little-endian bytes, ``width`` each."""
 
@@ -81,7 +101,6 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._one = [n.to_bytes(self.width, "little") for n in range(self.tokenizer.get_vocab_size())]
-        self._split = split_at_spaces if self._drops_white_space() else split_before_spaces
         self._lower = self._drops_white_space()
         self._plain = all(
             self._words([w], space) == [self._ids(space + w)] for w in _PLAIN_SAMPLE for space in ("", " ")
@@ -112,9 +131,9 @@ class Encoder:
         if self._lower:
             words = map(str.lower, words)
         # ASCII letters stand for themselves.
+        letters_of, spell = _LETTERS_OF.__getitem__, "".join
         letters = [
-            space + (word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS))
-            for word in words
+            space + (word if word.isascii() else spell(map(letters_of, word))) for word in words
         ]
         return [joined([one[token.id] for token in tokenize(word)]) for word in letters]
 
@@ -123,26 +142,62 @@ class Encoder:
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order; a null text is an empty one."""
-        for batch in _by_bytes(texts):
-            cut = [self._split(text) for text in batch]
+        most = min(max(self._most // _PART_OF_REMEMBERED, BATCH_BYTES), _TEXT_BATCHES * BATCH_BYTES)
+        for batch in _by_bytes(texts, most):
+            first, pieces, starts, ends = self._cut(batch)
+            data, places = self._known_ids(pieces)
             # The first piece of a text has no space before it.
-            first = self._batch([pieces[0] for pieces in cut])
-            cut = [pieces[1:] for pieces in cut]
-            self._learn(cut)
-            known = self._known.__getitem__
-            for ids, pieces in zip(first, cut, strict=True):
-                yield ids + b"".join(map(known, pieces))
+            spans = zip(self._batch(first), places[starts].tolist(), places[ends].tolist(), strict=True)
+            for ids, start, end in spans:
+                yield ids + data[start:end]
+
+    def _cut(self, batch: list[str]) -> tuple[list[str], pa.Array, np.ndarray, np.ndarray]:
+        """First pieces; all others, each after a space that is left out, and where those of each
+        text start and end."""
+        first, rests, doubtful, rows = [], [], [], []
+        for text in batch:
+            if self._lower:  # line ends part words as spaces do
+                text = text.replace("\n", " ")
+            elif _is_doubtful(text):
+                head, *rest = split_before_spaces(text)
+                first.append(head)
+                doubtful.append(rest)
+                rows.append(-len(doubtful))
+                continue
+            head, space, rest = text.partition(" ")
+            first.append(head)
+            rows.append(len(rests))
+            rests.append(rest if space else None)
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        if doubtful:  # the last comes first: those rows count from the end
+            lists = pa.concat_arrays([lists, pa.array(doubtful[::-1], lists.type)])
+        counts = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts, dtype=np.int64)
+        return first, lists.flatten(), (ends - counts)[rows], ends[rows]
+
+    def _known_ids(self, pieces: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """The ids of all pieces one behind the other, and the place where each piece's begin."""
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self._learned(different)
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
+        if not len(ids):
+            return memoryview(b""), np.zeros(1, np.int64)
+        _, places, data = ids.buffers()
+        return memoryview(data or b""), np.frombuffer(places, np.int64, len(ids) + 1)
 
     def count(self, texts: Iterable[str | None]) -> Iterator[int]:
         """The number of ids of each text, in order."""
         return (len(ids) // self.width for ids in self.encode(texts))
 
-    def _learn(self, cut: list[list[str]]) -> None:
+    def _learned(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces, which are remembered from now on."""
         if 2 * self._bytes > self._most:
             self._known, self._older = {}, self._known
             self._bare, self._bytes = {}, 0
-        # A set less a dictionary looks up the set's items, not the dictionary's.
-        new = set().union(*cut).difference(self._known)
+        found = list(map(self._known.get, pieces))
+        missing = [n for n, ids in enumerate(found) if ids is None]
+        new = {pieces[n] for n in missing}
         older = self._older
         if older:
             met = list(older.keys() & new)  # goes through the smaller one
@@ -150,6 +205,10 @@ class Encoder:
             new.difference_update(met)
         rest = self._learn_words(new) if self._plain else list(new)
         self._keep(rest, self._batch([" " + piece for piece in rest]))
+        known = self._known
+        for n in missing:
+            found[n] = known[pieces[n]]
+        return found
 
     def _batch(self, pieces: list[str]) -> list[bytes]:
         found: list[bytes] = []
@@ -204,17 +263,19 @@ class Encoder:
     def _keep(self, pieces: list[str], ids: list[bytes], known: dict[str, bytes] | None = None) -> None:
         """Remember the ids of pieces that are not known yet."""
         (self._known if known is None else known).update(zip(pieces, ids, strict=True))
-        size = sys.getsizeof
-        self._bytes += sum(map(size, pieces)) + sum(map(size, ids)) + _ENTRY_BYTES * len(pieces)
+        size = sum(map(str.__sizeof__, pieces)) + len(b"".join(ids))
+        self._bytes += size + (_ENTRY_BYTES + _BYTES_OBJECT) * len(pieces)
 
 
-def _by_bytes(texts: Iterable[str | None]) -> Iterator[list[str]]:
-    """Lists of texts of about ``BATCH_BYTES`` together; a longer text comes alone."""
+def _by_bytes(texts: Iterable[str | None], most: int | None = None) -> Iterator[list[str]]:
+    """Lists of texts of about ``most`` bytes together, by default ``BATCH_BYTES``; a longer text
+    comes alone."""
+    most = most or BATCH_BYTES
     batch: list[str] = []
     size = 0
     for text in texts:
         text = text or ""
-        if batch and size + len(text) > BATCH_BYTES:
+        if batch and size + len(text) > most:
             yield batch
             batch, size = [], 0
         batch.append(text)

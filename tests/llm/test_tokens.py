@@ -83,6 +83,26 @@ def test_memory_of_pieces_is_bounded(tokenizer, monkeypatch):
     assert encoder._bytes < 10_000
 
 
+def test_each_different_piece_of_a_batch_is_looked_up_once(tokenizer):
+    class Watched(dict):
+        looks = 0
+
+        def get(self, piece):
+            self.looks += 1
+            return super().get(piece)
+
+        def __getitem__(self, piece):
+            self.looks += 1
+            return super().__getitem__(piece)
+
+    encoder = Encoder(tokenizer)
+    encoder._known = Watched()
+    texts = ["the cat, " * 20_000, "no", "", "the  cat \t and the dog", " the"] * 2
+    ours = [np.frombuffer(ids, f"<u{encoder.width}").tolist() for ids in encoder.encode(texts)]
+    assert ours == [ids_of(tokenizer, t) for t in texts]
+    assert encoder._known.looks < 100
+
+
 def test_counts(awkward, texts_of, tokenizer):
     clashing = awkward.withColumnRenamed("lang", "n_tokens").withColumnRenamed("source", "text_")
     counted = with_token_counts(clashing, tokenizer)
